@@ -15,7 +15,7 @@ def signed64(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``."""
     return F.transform(F.array(value), body)[0]
 
@@ -41,7 +41,7 @@ def fnv1a64(text: Column) -> Column:
             )
             return F.shiftleft(high, 32).bitwiseOR(product.bitwiseAND(F.lit(_WORD)))
 
-        return _let(state.bitwiseXOR(F.ascii(char).cast("bigint")), multiply)
+        return let(state.bitwiseXOR(F.ascii(char).cast("bigint")), multiply)
 
     start = F.lit(signed64(fixed.FNV_OFFSET_BASIS)).cast("bigint")
     chars = F.when(F.length(as_bytes) == 0, F.array().cast("array<string>")).otherwise(F.split(as_bytes, ""))

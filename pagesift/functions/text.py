@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from pagesift import fixed
 
 # Java's trim drops every character up to U+0020, Spark's only spaces.
-_ENDS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_UP_TO_SPACE = "".join(chr(code) for code in range(0x21))
 _HAN = r"[一-鿋]"
 _RUNS = r"[一-鿋]+|[\p{L}\p{N}&&[^一-鿋]]+"
 
 
 def java_trim(text: Column) -> Column:
-    return F.regexp_replace(text, _ENDS, "")
+    return F.btrim(text, F.lit(_UP_TO_SPACE))
 
 
 def content_len(text: Column) -> Column:

@@ -11,15 +11,20 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesift import fixed
+from pagesift.functions.hashing import let
 from pagesift.operators.lookup import MAX_BROADCAST_ROWS, fits, lookup_join
+from pagesift.operators.words import token_rows
+from pagesift.session import stage
 
 # Labels whose probabilities agree to this many places are ordered by name.
 TIE_PLACES = 6
+# Labels of all models together; they are part of the plan.
+MAX_LABELS = 10_000
 
 
 @dataclass(frozen=True)
@@ -27,65 +32,88 @@ class TopicModel:
     """Weights with one row per token, ready to be joined to tokens.
 
     ``weights``: model, token and one column ``w{i}`` per label slot.
-    ``heads``: model, its label names and biases by slot (one row per model).
+    ``heads``: per model its (label, bias) pairs by slot, part of the plan.
     """
 
     weights: DataFrame
-    heads: DataFrame
+    heads: dict[str, list[tuple[str, float]]]
     slots: int
     small: bool
 
 
 def topic_model(model: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> TopicModel:
-    """Prepare a model table. It is read several times: pass one that is stored.
+    """Prepare a model table, reading it a few times: pass one that is stored.
+
+    The prepared weights are stored too, since every scoring reads them.
 
     Turning labels into columns lets each text token be one row through the
     join and the sums, however many labels there are. Labels get their slots
     per model, so models with different labels share the columns.
     """
     model = model.withColumn("label", F.replace("label", F.lit(fixed.LABEL_PREFIX), F.lit("")))
-    labels = model.select("model", "label").distinct()
-    slot = (F.row_number().over(Window.partitionBy("model").orderBy("label")) - 1).alias("slot")
-    slotted = labels.select("model", "label", slot)
-    slots = (slotted.agg(F.max("slot")).first()[0] or 0) + 1
-
-    with_slot = model.join(F.broadcast(slotted), ["model", "label"])
-    weights = (
-        with_slot.where(F.col("token") != "")
-        .groupBy("model", "token")
-        .agg(*[F.sum(F.when(F.col("slot") == i, F.col("weight")).otherwise(0.0)).alias(f"w{i}") for i in range(slots)])
-    )
-    biases = model.where(F.col("token") == "").select("model", "label", F.col("weight").alias("bias"))
-    head = F.struct("slot", "label", F.coalesce("bias", F.lit(0.0)).alias("bias"))
-    heads = (
-        slotted.join(F.broadcast(biases), ["model", "label"], "left")
-        .groupBy("model")
-        .agg(F.array_sort(F.collect_list(head)).alias("_heads"))
-        .select("model", F.col("_heads.label").alias("labels"), F.col("_heads.bias").alias("biases"))
+    bias = F.max(F.when(F.col("token") == "", F.col("weight")))
+    labels = model.groupBy("model", "label").agg(F.coalesce(bias, F.lit(0.0)).alias("bias"))
+    # As many rows as there are topics; a table with more is no label table.
+    rows = labels.orderBy("model", "label").limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    heads: dict[str, list[tuple[str, float]]] = {}
+    slotted = []
+    for row in rows:
+        head = heads.setdefault(row.model, [])
+        slotted.append((row.model, row.label, len(head)))
+        head.append((row.label, row.bias))
+    slots = max((len(head) for head in heads.values()), default=1)
+
+    slot_of = model.sparkSession.createDataFrame(slotted, "model string, label string, slot int")
+    with_slot = model.where(F.col("token") != "").join(F.broadcast(slot_of), ["model", "label"])
+    weights = stage(
+        with_slot.groupBy("model", "token")
+        .agg(*[F.sum(F.when(F.col("slot") == i, F.col("weight")).otherwise(0.0)).alias(f"w{i}") for i in range(slots)]),
+        "weights",
     )
     # Wide rows count by their weights, so the bound is one of bytes.
-    small = fits(weights, max(1, max_broadcast_rows // max(1, slots // 8))) if max_broadcast_rows > 0 else False
+    small = max_broadcast_rows > 0 and fits(weights, max(1, max_broadcast_rows // max(1, slots // 8)))
     return TopicModel(weights, heads, slots, small)
 
 
-def _best_label(slots: int) -> tuple[Column, Column]:
-    """Label and probability of the best slot of ``labels``, ``biases`` and ``m{i}``."""
-    used = [F.get("labels", F.lit(i)).isNotNull() for i in range(slots)]
-    logits = [
-        F.when(used[i], F.col(f"m{i}") + F.get("biases", F.lit(i))) for i in range(slots)
-    ]
-    top = F.greatest(*logits) if slots > 1 else logits[0]
-    # exp is taken relative to the largest logit, which keeps it in range.
-    powers = F.array(*[F.exp(logit - top) for logit in logits])
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, p: acc + F.coalesce(p, F.lit(0.0)))
-    scored = F.transform(
-        F.filter(F.arrays_zip(powers.alias("p"), F.col("labels").alias("label")), lambda x: x["p"].isNotNull()),
-        lambda x: F.struct(
-            (-F.round(x["p"] / total, TIE_PLACES)).alias("key"), x["label"].alias("label"), (x["p"] / total).alias("p")
-        ),
+def _head(model: TopicModel, key: Column | None) -> Column:
+    """The (label, bias) array of a row's model; null for a model that is not there."""
+
+    def literal(head: list[tuple[str, float]]) -> Column:
+        return F.array(*[F.struct(F.lit(l).alias("label"), F.lit(b).alias("bias")) for l, b in head])
+
+    if key is None:
+        root = model.heads.get(fixed.ROOT_MODEL)
+        return literal(root) if root else F.lit(None).cast("array<struct<label:string,bias:double>>")
+    pairs = [part for name, head in model.heads.items() for part in (F.lit(name), literal(head))]
+    return F.try_element_at(F.create_map(*pairs), key)
+
+
+def _best_label(head: Column, slots: int) -> Column:
+    """Struct of the best label and its probability, from the sums ``m{i}``
+    over ``_known`` tokens."""
+    sums = F.array(*[F.col(f"m{i}") for i in range(slots)])
+    logits = F.transform(
+        head, lambda h, i: F.struct(h["label"].alias("label"), (F.get(sums, i) / F.col("_known") + h["bias"]).alias("z"))
     )
-    best = F.array_min(scored)
-    return best["label"], best["p"]
+
+    def soften(scored: Column) -> Column:
+        # exp is taken relative to the largest logit, which keeps it in range.
+        top = F.array_max(F.transform(scored, lambda s: s["z"]))
+        return F.transform(scored, lambda s: F.struct(s["label"].alias("label"), F.exp(s["z"] - top).alias("p")))
+
+    def choose(powers: Column) -> Column:
+        total = F.aggregate(powers, F.lit(0.0), lambda acc, s: acc + s["p"])
+        ranked = F.transform(
+            powers,
+            lambda s: F.struct(
+                (-F.round(s["p"] / total, TIE_PLACES)).alias("key"), s["label"].alias("label"), (s["p"] / total).alias("p")
+            ),
+        )
+        return F.array_min(ranked)
+
+    return let(let(logits, soften), choose)
 
 
 def score_labels(
@@ -110,33 +138,35 @@ def score_labels(
     if isinstance(df.schema[tokens].dataType, T.StringType):
         words = F.filter(F.split(words, r"[\x00-\x20]+"), lambda w: w != "")
     which = F.col(key) if key else F.lit(fixed.ROOT_MODEL)
-    rows = df.select(*ids, which.alias("model"), F.explode_outer(words).alias("token"))
+    rows = token_rows(df, [*ids, which.alias("model")], words)
     found = lookup_join(rows, model.weights, ["model", "token"], [*ids, "token"], model.small)
-    means = found.groupBy(*ids, "model").agg(
+    sums = found.groupBy(*ids, "model").agg(
         F.count("token").alias("_tokens"),
         F.count("w0").alias("_known"),
-        *[F.avg(f"w{i}").alias(f"m{i}") for i in range(model.slots)],
+        *[F.sum(f"w{i}").alias(f"m{i}") for i in range(model.slots)],
     )
-    best, prob = _best_label(model.slots)
+    head = _head(model, F.col("model") if key else None)
     blank = F.col("_tokens") == 0
-    unknown = (F.col("_known") == 0) | F.col("labels").isNull()
-    child = F.col("model") != fixed.ROOT_MODEL
-    label = (
-        F.when(blank, F.lit(fixed.UNKNOWN))
-        .when(unknown & child, F.concat("model", F.lit(fixed.OTHER_SUFFIX)))
-        .when(unknown, F.lit(fixed.UNKNOWN))
-        .otherwise(best)
-    )
-    score = (
-        F.when(blank, F.lit(fixed.BLANK_TEXT))
-        .when(unknown & child, F.lit(fixed.NO_ANSWER_CHILD))
-        .when(unknown, F.lit(fixed.NO_ANSWER_ROOT))
-        .otherwise(prob)
+    unknown = (F.col("_known") == 0) | head.isNull()
+    best = _best_label(head, model.slots)
+    if key:
+        is_root = F.col("model") == fixed.ROOT_MODEL
+        other = F.concat("model", F.lit(fixed.OTHER_SUFFIX))
+        no_answer = F.when(is_root, F.lit(fixed.UNKNOWN)).otherwise(other)
+        code = F.when(is_root, F.lit(fixed.NO_ANSWER_ROOT)).otherwise(F.lit(fixed.NO_ANSWER_CHILD))
+    else:
+        no_answer, code = F.lit(fixed.UNKNOWN), F.lit(fixed.NO_ANSWER_ROOT)
+
+    def answer(label: Column, prob: Column) -> Column:
+        return F.struct(label.alias("label"), prob.alias("prob"))
+
+    chosen = (
+        F.when(blank, answer(F.lit(fixed.UNKNOWN), F.lit(fixed.BLANK_TEXT)))
+        .when(unknown, answer(no_answer, code))
+        .otherwise(let(best, lambda b: answer(b["label"], b["p"])))
     )
-    # One row per model: its length is the number of topics.
-    with_heads = means.join(F.broadcast(model.heads), "model", "left")
     named_key = [F.col("model").alias(key)] if key else []
-    return with_heads.select(*ids, *named_key, label.alias("label"), score.alias("prob"))
+    return sums.select(*ids, *named_key, chosen.alias("_a")).select(*ids, *([key] if key else []), "_a.label", "_a.prob")
 
 
 def score_label_only(

@@ -41,7 +41,7 @@ def near_pairs(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFra
     """
     _check(k)
     by = list(by)
-    blocks = F.explode(
+    blocks = F.explode_outer(
         F.array(
             *[
                 F.struct(F.lit(b).alias("block"), mask_block(F.col("hash"), b).alias("masked"))
@@ -61,7 +61,7 @@ def near_pairs(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFra
     ]
     in_block = F.filter(F.array(*bits), lambda x: x["in_block"] == F.col("block"))
     powers = F.array(*[F.lit(signed64(1 << bit)).cast("bigint") for bit in range(64)])
-    keyed = shared.select(*by, "block", "masked", "fid", "hash", F.explode(in_block).alias("x")).select(
+    keyed = shared.select(*by, "block", "masked", "fid", "hash", F.explode_outer(in_block).alias("x")).select(
         *by, "block", "masked", "fid", "hash", F.col("x.bit").alias("bit")
     )
     cleared = F.col("hash").bitwiseAND(F.bitwise_not(powers[F.col("bit")]))
@@ -159,8 +159,10 @@ def absorb_block(
     leads = F.when(is_large, _leader_of_each_large(block)(F.when(is_large, in_order))).otherwise(
         _leader_of_each(in_order, k)
     )
+    # Never empty; the outer explode keeps Catalyst from computing the leaders
+    # a second time for a non-empty filter.
     placed = buckets.select(
-        *by, "_masked", F.explode(F.arrays_zip(leads.alias("lead"), F.col("_rows").alias("r"))).alias("_led")
+        *by, "_masked", F.explode_outer(F.arrays_zip(leads.alias("lead"), F.col("_rows").alias("r"))).alias("_led")
     ).select(*by, "_masked", F.col("_led.lead").alias("_lead"), F.col("_led.r").alias("r"))
     # Still partitioned by bucket: no shuffle here.
     taken = placed.groupBy(*by, "_masked", "_lead").agg(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.functions.hashing import signed64, xxh64
+from pagesift.operators.words import token_rows
 
 # Bits j and j + 32 of a token hash are counted in the two halves of one long:
 # half the sums, half the shuffled bytes. A text has fewer than 2**31 tokens
@@ -59,5 +60,4 @@ def simhash64(
 
     ``ids`` must tell the rows apart.
     """
-    rows = df.select(*ids, F.explode_outer(tokens).alias("token"))
-    return simhash_rows(rows, ids, token_hash)
+    return simhash_rows(token_rows(df, ids, tokens), ids, token_hash)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift import fixed
@@ -28,6 +28,15 @@ def script_tokens(
     return crawl.select(*ids, tokenize(keep_script(F.col(column), drop)).alias("tokens"))
 
 
+def token_rows(df: DataFrame, keep: Sequence[str | Column], tokens: str | Column = "tokens") -> DataFrame:
+    """One row per token, a null token for a text without any.
+
+    The explode is an outer one on purpose: for an inner explode Catalyst adds
+    a non-empty filter in front, which computes the token array a second time.
+    """
+    return df.select(*keep, F.explode_outer(tokens).alias("token"))
+
+
 def keyword_rows(
     tokens: DataFrame,
     lexicon: DataFrame,
@@ -49,7 +58,8 @@ def keyword_rows(
     )
     if small is None:
         small = fits(wanted)
-    rows = tokens.select(*ids, F.posexplode("tokens").alias("pos", "token")).where(F.length("token") >= min_len)
+    rows = tokens.select(*ids, F.posexplode_outer("tokens").alias("pos", "token"))
+    rows = rows.where(F.length("token") >= min_len)
     return lookup_join(rows, wanted, ["token"], [*ids, "pos"], small, "left_semi" if small else "inner")
 
 

@@ -11,7 +11,7 @@ from pagesift.functions.hashing import md5_64
 from pagesift.operators.classify import TopicModel, topic_model
 from pagesift.operators.filters import Rules
 from pagesift.operators.simhash import simhash64
-from pagesift.operators.words import keywords, script_tokens
+from pagesift.operators.words import keywords, script_tokens, token_rows
 from pagesift.session import stage
 
 DAY = "stat_date"
@@ -110,11 +110,11 @@ def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A nature for each word of the page titles, by its length."""
     words = pages(spark, sf_dir).select(
-        F.explode(tokenize(F.regexp_extract("html", r"<title>(.*?)</title>", 1))).alias("word")
+        F.explode_outer(tokenize(F.regexp_extract("html", r"<title>(.*?)</title>", 1))).alias("word")
     )
     three = F.length("word") % 3
     nature = F.when(three == 0, "v").when(three == 1, "n").otherwise("nz")
-    return words.distinct().select("word", nature.alias("nature"))
+    return words.where(F.col("word").isNotNull()).distinct().select("word", nature.alias("nature"))
 
 
 def count_model(labelled: DataFrame) -> DataFrame:
@@ -124,7 +124,8 @@ def count_model(labelled: DataFrame) -> DataFrame:
     row; the bias is minus the log of the label's tokens plus the vocabulary.
     """
     counts = stage(
-        labelled.select("model", "label", F.explode("tokens").alias("token"))
+        token_rows(labelled, ["model", "label"])
+        .where(F.col("token").isNotNull())
         .groupBy("model", "label", "token")
         .agg(F.count("*").alias("c")),
         "token_counts",

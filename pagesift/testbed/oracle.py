@@ -350,7 +350,7 @@ ORACLE: dict[str, str] = {
         f"lines AS (SELECT fid, {_site('furl')} AS host, fkeywords AS label FROM crawl)",
         select="SELECT host, arg_max(label, fid) AS label FROM lines WHERE host <> '' AND label <> 'de' GROUP BY host",
     ),
-    "debug_limit": _with(CRAWL, select=f"SELECT fid, furl, src_type FROM crawl ORDER BY fid LIMIT {fixed.DEBUG_ROWS}"),
+    "debug_limit": _with(CRAWL, select="SELECT fid, furl, src_type FROM crawl ORDER BY fid LIMIT 250"),
     "site_strict": f"SELECT page_id, {_strict('url')} AS furl FROM pages",
     "site": f"SELECT page_id, {_site('url')} AS furl FROM pages",
     "content_len": "SELECT doc_id AS fid, length(text)::INT AS fcontent_len FROM documents",

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift import fixed
 from pagesift.functions import hashing, text, urls
 from pagesift.operators import assemble, classify, decide, exact, filters, near, words
 from pagesift.operators import simhash as similarity
@@ -97,7 +96,7 @@ def label_rules(spark, sf_dir):
 @query
 def debug_limit(spark, sf_dir):
     rows = data.crawl(spark, sf_dir).select("fid", "furl", "src_type")
-    return tables.debug_limit(rows, fixed.DEBUG_ROWS)
+    return tables.debug_limit(rows, 250)
 
 
 # Projections, filters, scalars
@@ -196,8 +195,8 @@ def words_csv(spark, sf_dir):
 @query
 def fnv1a64(spark, sf_dir):
     """Hash of every distinct word of the documents."""
-    token = data.content_words(spark, sf_dir).select(F.explode("tokens").alias("token")).distinct()
-    return token.select("token", hashing.fnv1a64(F.col("token")).alias("hash"))
+    token = words.token_rows(data.content_words(spark, sf_dir), []).distinct()
+    return token.where(F.col("token").isNotNull()).select("token", hashing.fnv1a64(F.col("token")).alias("hash"))
 
 
 @query
