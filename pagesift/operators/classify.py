@@ -228,15 +228,50 @@ def child_labels(
     listed: Sequence[str] = fixed.PARENT_TOPICS,
     ids: Sequence[str] = ("fid",),
     column: str = "words",
+    keep_words: bool = True,
 ) -> DataFrame:
-    """Texts of the listed parents, each scored by its parent's own model.
+    """Texts of the listed parents, each scored by its parent's own model:
+    ``(ids, words, cat, prob)``, or without the words and the join for them.
 
     One pass over all parents, with the parent in the join key. Other texts,
     those labelled unknown among them, give no row.
     """
     chosen = parents.where(F.col("cat").isin(*listed)).select(*ids, column, F.col("cat").alias("_parent"))
-    scores = score_labels(chosen, models, ids, column, key="_parent").withColumnRenamed("label", "cat")
-    return chosen.drop("_parent").join(scores.drop("_parent"), list(ids)).select(*ids, column, "cat", "prob")
+    scores = score_labels(chosen, models, ids, column, key="_parent").withColumnRenamed("label", "cat").drop("_parent")
+    if not keep_words:
+        return scores
+    return chosen.drop("_parent").join(scores, list(ids)).select(*ids, column, "cat", "prob")
+
+
+def two_level_labels(
+    tokens: DataFrame,
+    parent: TopicModel,
+    children: TopicModel,
+    listed: Sequence[str],
+    ids: Sequence[str],
+    column: str,
+    prefix: str,
+) -> DataFrame:
+    """Parent and child label of each text in one row:
+    ``(ids, {prefix}_pcat, {prefix}_pprob, {prefix}_ccat, {prefix}_cprob)``.
+
+    The words are spread by ``ids`` once. Parent scores, the join that gives
+    each text its parent's model, and child scores all keep that partitioning.
+    """
+    pcat, pprob, ccat, cprob = (f"{prefix}_{name}" for name in ("pcat", "pprob", "ccat", "cprob"))
+    spread = tokens.select(*ids, column).repartition(*ids)
+    above = score_labels(spread, parent, ids, column).select(
+        *ids, F.col("label").alias(pcat), F.col("prob").alias(pprob)
+    )
+    below = F.when(F.col(pcat).isin(*listed), F.col(pcat))
+    named = spread.join(above, list(ids)).withColumn("_model", below)
+    # Words that no child model will see are not unrolled.
+    named = named.withColumn(column, F.when(F.col("_model").isNotNull(), F.col(column)))
+    scored = score_labels(named, children, [*ids, pcat, pprob], column, key="_model")
+    has_child = F.col("_model").isNotNull()
+    return scored.select(
+        *ids, pcat, pprob, F.when(has_child, F.col("label")).alias(ccat), F.when(has_child, F.col("prob")).alias(cprob)
+    )
 
 
 def union_labels(*parts: DataFrame) -> DataFrame:

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.functions.hashing import signed64, xxh64
+from pagesift.functions.hashing import xxh64
 from pagesift.operators.words import token_rows
 
 # Bits j and j + 32 of a token hash are counted in the two halves of one long:
@@ -33,20 +32,19 @@ def simhash_rows(
     hashed = rows.select(*ids, token_hash(F.col("token")).alias("_h"))
     counts = hashed.groupBy(*ids).agg(
         F.count("_h").alias("_n"),
-        *[
-            F.sum(F.shiftrightunsigned("_h", j).bitwiseAND(F.lit(_PAIR).cast("bigint"))).alias(f"_s{j}")
-            for j in range(_HALF)
-        ],
+        *[F.expr(f"sum(shiftrightunsigned(_h, {j}) & {_PAIR}L)").alias(f"_s{j}") for j in range(_HALF)],
     )
 
-    def bit(j: int) -> Column:
-        pair = F.col(f"_s{j % _HALF}")
-        ones = F.shiftrightunsigned(pair, _HALF) if j >= _HALF else pair.bitwiseAND(F.lit(_LOW))
-        return F.when(ones * 2 > F.col("_n"), F.lit(signed64(1 << j)).cast("bigint")).otherwise(
-            F.lit(0).cast("bigint")
-        )
+    def bit(ones: Column, place: Column) -> Column:
+        one = F.when(ones * 2 > F.col("_n"), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+        return F.call_function("shiftleft", one, place)
 
-    value = reduce(lambda a, b: a.bitwiseOR(b), [bit(j) for j in range(2 * _HALF)])
+    def two_bits(pair: Column, j: Column) -> Column:
+        low = bit(pair.bitwiseAND(F.lit(_LOW)), j)
+        return low.bitwiseOR(bit(F.shiftrightunsigned(pair, _HALF), j + _HALF))
+
+    bits = F.transform(F.array(*[F.col(f"_s{j}") for j in range(_HALF)]), two_bits)
+    value = F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
     return counts.select(*ids, value.alias("hash"))
 
 

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift import fixed
 from pagesift.operators.assemble import assemble_labels
-from pagesift.operators.classify import TopicModel, child_labels, parent_labels
+from pagesift.operators.classify import TopicModel, child_labels, parent_labels, two_level_labels
 from pagesift.operators.words import title_content_tokens
 from pagesift.schemas import EXTRACT, LABELS, UNION_LABELS, WORDS, conform
 from pagesift.sources.tables import DAY, StageStore, keep_sources
@@ -22,30 +21,18 @@ UNION = "union_cat"
 _IDS = (DAY, "fid")
 
 
-@dataclass(frozen=True)
-class LabelTables:
-    title_parent: DataFrame
-    title_child: DataFrame
-    content_parent: DataFrame
-    content_child: DataFrame
-    union: DataFrame
-
-
-def label_tables(
-    crawl: DataFrame,
+def label_articles(
+    tokens: DataFrame,
     parent: TopicModel,
     children: TopicModel,
     listed: Sequence[str] = fixed.PARENT_TOPICS,
     ids: Sequence[str] = _IDS,
-) -> LabelTables:
-    """The whole run as one plan, spread by ``ids`` once per text column."""
-    tokens = title_content_tokens(crawl, ids)
-    title_parent = parent_labels(tokens, parent, ids, "title_tokens")
-    content_parent = parent_labels(tokens, parent, ids, "content_tokens")
-    title_child = child_labels(title_parent, children, listed, ids, "title_tokens")
-    content_child = child_labels(content_parent, children, listed, ids, "content_tokens")
-    union = assemble_labels(title_parent, title_child, content_parent, content_child, ids)
-    return LabelTables(title_parent, title_child, content_parent, content_child, union)
+) -> DataFrame:
+    """The run as one plan, from ``(ids, title_tokens, content_tokens)`` to the
+    union of labels. Only the words are shuffled, once per text column."""
+    title = two_level_labels(tokens, parent, children, listed, ids, "title_tokens", "title")
+    content = two_level_labels(tokens, parent, children, listed, ids, "content_tokens", "content")
+    return title.join(content, list(ids), "left")
 
 
 def run_labels(

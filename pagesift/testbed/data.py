@@ -11,7 +11,7 @@ from pagesift.functions.hashing import md5_64
 from pagesift.operators.classify import TopicModel, topic_model
 from pagesift.operators.filters import Rules
 from pagesift.operators.simhash import simhash64
-from pagesift.operators.words import keywords, script_tokens, token_rows
+from pagesift.operators.words import keywords, script_tokens, title_content_tokens, token_rows
 from pagesift.session import stage
 
 DAY = "stat_date"
@@ -90,10 +90,10 @@ def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def content_words(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """``(fid, extra, tokens)`` of the cleaned documents."""
+def content_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(fid, tokens)`` of the cleaned documents."""
     return documents(spark, sf_dir).select(
-        F.col("doc_id").alias("fid"), *extra, tokenize(clean_markup(F.col("text"))).alias("tokens")
+        F.col("doc_id").alias("fid"), tokenize(clean_markup(F.col("text"))).alias("tokens")
     )
 
 
@@ -142,23 +142,20 @@ def count_model(labelled: DataFrame) -> DataFrame:
     return stage(weights.unionByName(biases), "model")
 
 
-def parent_model(spark: SparkSession, sf_dir: str) -> TopicModel:
-    """Predicts the language of a text."""
-    docs = content_words(spark, sf_dir, "lang")
-    labelled = docs.select(F.lit(fixed.ROOT_MODEL).alias("model"), F.col("lang").alias("label"), "tokens")
-    return topic_model(count_model(labelled))
+def article_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(fid, lang, title_tokens, content_tokens)``, stored like the word tables
+    of a daily run, since training and scoring read it several times."""
+    words = title_content_tokens(crawl(spark, sf_dir), ["fid", F.col("fkeywords").alias("lang")])
+    return stage(words, "words")
 
 
-def child_models(spark: SparkSession, sf_dir: str) -> TopicModel:
-    """One model per language; each predicts the quality label."""
-    quality = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("fid"), "quality")
-    labelled = (
-        content_words(spark, sf_dir, "lang")
-        .join(quality, "fid")
-        .select(
-            F.col("lang").alias("model"),
-            F.concat("lang", F.lit("/q"), F.col("quality").cast("string")).alias("label"),
-            "tokens",
-        )
+def models(words: DataFrame, labels: DataFrame) -> TopicModel:
+    """The root model, which predicts the language of a text, and one model per
+    language, which predicts its quality label, from ``(fid, lang, content_tokens)``."""
+    tokens = F.col("content_tokens").alias("tokens")
+    root = words.select(F.lit(fixed.ROOT_MODEL).alias("model"), F.col("lang").alias("label"), tokens)
+    quality = labels.select(F.col("doc_id").alias("fid"), F.col("quality").cast("string").alias("quality"))
+    children = words.join(quality, "fid").select(
+        F.col("lang").alias("model"), F.concat("lang", F.lit("/q"), "quality").alias("label"), tokens
     )
-    return topic_model(count_model(labelled))
+    return topic_model(count_model(root.unionByName(children)))

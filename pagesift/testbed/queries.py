@@ -13,7 +13,7 @@ from pagesift.operators import simhash as similarity
 from pagesift.plans.articles import PUBLISHED, publish
 from pagesift.plans.backfill import run_range
 from pagesift.plans.duplicates import HASHES, REPORT, run_duplicates
-from pagesift.plans.labels import UNION, label_tables
+from pagesift.plans.labels import UNION, label_articles
 from pagesift.session import new_path, stage
 from pagesift.sources import rules as rule_files
 from pagesift.sources import tables
@@ -309,25 +309,30 @@ def dup_report(spark, sf_dir):
 # Classification
 
 
+def _words_and_models(spark, sf_dir):
+    tokens = data.article_words(spark, sf_dir)
+    return tokens, data.models(tokens, data.table(spark, sf_dir, "labels"))
+
+
 @query
 def score_parent(spark, sf_dir):
-    scores = classify.score_labels(data.content_words(spark, sf_dir), data.parent_model(spark, sf_dir))
-    return scores.select("fid", "label", _prob())
+    tokens, models = _words_and_models(spark, sf_dir)
+    return classify.score_labels(tokens, models, tokens="content_tokens").select("fid", "label", _prob())
 
 
 @query
 def score_label_only(spark, sf_dir):
-    return classify.score_label_only(data.content_words(spark, sf_dir), data.parent_model(spark, sf_dir))
+    tokens, models = _words_and_models(spark, sf_dir)
+    return classify.score_label_only(tokens, models, tokens="content_tokens")
 
 
 @query
 def score_codes(spark, sf_dir):
     """Long title words only, so that some texts are blank and some unknown."""
-    rows = data.crawl(spark, sf_dir)
-    long_words = F.filter(text.tokenize(F.col("ftitle")), lambda w: F.length(w) >= 11)
-    tokens = rows.select("fid", F.col("fkeywords").alias("model"), F.concat_ws(" ", long_words).alias("words"))
-    scores = classify.score_labels(tokens, data.child_models(spark, sf_dir), tokens="words", key="model")
-    return scores.select("fid", "model", "label", _prob())
+    tokens, models = _words_and_models(spark, sf_dir)
+    long_words = F.filter("title_tokens", lambda w: F.length(w) >= 11)
+    rows = tokens.select("fid", F.col("lang").alias("model"), F.concat_ws(" ", long_words).alias("words"))
+    return classify.score_labels(rows, models, tokens="words", key="model").select("fid", "model", "label", _prob())
 
 
 @query
@@ -346,39 +351,33 @@ def score_plugin(spark, sf_dir):
     return classify.score_with(rows, load, score).select("fid", "label", F.round("prob", 9).alias("prob"))
 
 
-def _labels(spark, sf_dir):
-    return label_tables(
-        data.crawl(spark, sf_dir),
-        data.parent_model(spark, sf_dir),
-        data.child_models(spark, sf_dir),
-        data.LISTED,
-        ("fid",),
-    )
-
-
 @query
 def parent_labels(spark, sf_dir):
-    tokens = data.content_words(spark, sf_dir)
-    scored = classify.parent_labels(tokens, data.parent_model(spark, sf_dir), column="tokens")
-    return scored.select("fid", text.join_tokens(F.col("tokens")).alias("words"), "cat", _prob())
+    tokens, models = _words_and_models(spark, sf_dir)
+    scored = classify.parent_labels(tokens, models, column="content_tokens")
+    return scored.select("fid", text.join_tokens(F.col("content_tokens")).alias("words"), "cat", _prob())
+
+
+def _children(tokens, models, column):
+    parents = classify.parent_labels(tokens, models, column=column)
+    return classify.child_labels(parents, models, data.LISTED, column=column, keep_words=False)
 
 
 @query
 def child_labels(spark, sf_dir):
-    tokens = data.content_words(spark, sf_dir)
-    parents = classify.parent_labels(tokens, data.parent_model(spark, sf_dir), column="tokens")
-    scored = classify.child_labels(parents, data.child_models(spark, sf_dir), data.LISTED, column="tokens")
-    return scored.select("fid", "cat", _prob())
+    return _children(*_words_and_models(spark, sf_dir), "content_tokens").select("fid", "cat", _prob())
 
 
 @query
 def union_all_labels(spark, sf_dir):
-    labels = _labels(spark, sf_dir)
-    parts = [
-        labels.title_child.select("fid", "cat", "prob"),
-        labels.content_child.select("fid", "cat", "prob"),
-    ]
-    return classify.union_labels(*parts).select("fid", "cat", _prob())
+    tokens, models = _words_and_models(spark, sf_dir)
+    sides = [_children(tokens, models, column) for column in ("title_tokens", "content_tokens")]
+    return classify.union_labels(*sides).select("fid", "cat", _prob())
+
+
+def _labels(spark, sf_dir):
+    tokens, models = _words_and_models(spark, sf_dir)
+    return label_articles(tokens, models, models, data.LISTED, ("fid",))
 
 
 # Assembly and decision
@@ -392,13 +391,13 @@ def _rounded(df):
 
 @query
 def assemble_labels(spark, sf_dir):
-    return _rounded(_labels(spark, sf_dir).union)
+    return _rounded(_labels(spark, sf_dir))
 
 
 def _assembled(spark, sf_dir):
     """Articles of the wanted sources with hashes and labels."""
     rows = tables.keep_sources(data.crawl(spark, sf_dir), data.SOURCES)
-    labels = _labels(spark, sf_dir).union
+    labels = _labels(spark, sf_dir)
     return assemble.assemble_articles(rows, data.hashes(spark, sf_dir), labels, data.RULES)
 
 
@@ -424,7 +423,7 @@ def final_label(spark, sf_dir):
     """The decision alone: labels of all articles, no row rule before it."""
     articles = decide.with_site_rules(
         assemble.assemble_articles(
-            data.crawl(spark, sf_dir), data.hashes(spark, sf_dir), _labels(spark, sf_dir).union, data.RULES
+            data.crawl(spark, sf_dir), data.hashes(spark, sf_dir), _labels(spark, sf_dir), data.RULES
         ),
         data.RULES,
     )
@@ -463,13 +462,14 @@ def label_range(spark, sf_dir):
     crawl_path = new_path(spark, "crawl")
     tables.write_days(data.crawl(spark, sf_dir), crawl_path)
     store = tables.StageStore(spark, new_path(spark, "store"))
+    models = _words_and_models(spark, sf_dir)[1]
     run_range(
         store,
         crawl_path,
         FIRST_DAY,
         LAST_DAY_EXCLUSIVE,
-        data.parent_model(spark, sf_dir),
-        data.child_models(spark, sf_dir),
+        models,
+        models,
         rules=data.RULES,
         sources=data.SOURCES,
         listed=data.LISTED,
