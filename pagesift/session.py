@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_own_dirs: dict[str, str] = {}
 
 
 def get_spark(app: str = "pagesift", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,9 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="pagesift-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    # The setting is fixed once a session runs, so the folder is kept here.
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="pagesift-")
+    return _own_dirs[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
