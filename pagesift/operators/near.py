@@ -7,15 +7,16 @@ distinct a bucket has at most 65,536 of them however large the table is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagesift import fixed
-from pagesift.functions.hashing import mask_block, signed64, within_bits
+from pagesift.functions.hashing import let, mask_block, signed64, within_bits
 from pagesift.operators.lookup import HOT_KEYS, attach
+from pagesift.session import stage
 
 BLOCKS = range(len(fixed.BLOCK_MASKS))
 _BLOCK_BITS = 16
@@ -90,8 +91,9 @@ def group_top(groups: DataFrame, block: int, by: Sequence[str] = ()) -> DataFram
     )
 
 
-def _leader_of_each(hashes: Column, k: int) -> Column:
-    """For hashes in greedy order, the leader of each: a fold over the array."""
+def _merge_small(hashes: Column, k: int) -> Column:
+    """For hashes in greedy order, the positions of each merged group, its
+    leader's first: a fold over the array."""
     none = F.array().cast("array<bigint>")
 
     def take(leaders: Column, h: Column) -> Column:
@@ -99,38 +101,46 @@ def _leader_of_each(hashes: Column, k: int) -> Column:
         return F.when(near, leaders).otherwise(F.concat(leaders, F.array(h)))
 
     def place(leaders: Column) -> Column:
+        # A hash belongs to the first leader it is near to; a leader to itself.
         return F.transform(hashes, lambda h: F.filter(leaders, lambda lead: within_bits(lead, h, k))[0])
 
-    # The one-element transform evaluates the fold once for all rows.
-    return F.transform(F.array(F.aggregate(hashes, none, take)), place)[0]
+    def gather(leads: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(leads) - 1)
+        return F.transform(
+            F.array_distinct(leads), lambda lead: F.filter(places, lambda i: F.get(leads, i) == lead)
+        )
+
+    return let(let(F.aggregate(hashes, none, take), place), gather)
 
 
-def _leader_of_each_large(block: int):
+def _merge_large(block: int):
     """The same for large buckets, where the fold would be quadratic.
 
-    A hash has 16 neighbours inside its bucket, so each row asks 17 times
+    A hash has 16 neighbours inside its bucket, so each row asks 16 times
     whether a leader is there instead of searching the list of leaders.
     """
     low = 64 - _BLOCK_BITS * (block + 1)
     flips = [signed64(1 << bit) for bit in range(low, low + _BLOCK_BITS)]
 
-    @F.pandas_udf("array<bigint>")
-    def place(buckets: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<array<int>>")
+    def merge(buckets: pd.Series) -> pd.Series:
         def one(hashes):
             if hashes is None:
                 return None
-            rank: dict[int, int] = {}
-            leads = []
-            for h in hashes.tolist():
-                near = [(rank[h ^ f], h ^ f) for f in flips if h ^ f in rank]
-                if not near:
-                    rank[h] = len(rank)
-                leads.append(min(near)[1] if near else h)
-            return leads
+            group_of: dict[int, int] = {}
+            groups: list[list[int]] = []
+            for i, h in enumerate(hashes.tolist()):
+                near = [group_of[h ^ f] for f in flips if h ^ f in group_of]
+                if near:
+                    groups[min(near)].append(i)
+                else:
+                    group_of[h] = len(groups)
+                    groups.append([i])
+            return groups
 
         return buckets.map(one)
 
-    return place
+    return merge
 
 
 def absorb_block(
@@ -140,60 +150,83 @@ def absorb_block(
 
     In the order of size (then fid) a group joins the first leader within ``k``
     bits, or else becomes a leader. Returns ``(by, fid, hash, absorbed,
-    samelen, hashes)``: the leader, the fids of the groups it took (its own
-    first), their total size, and all exact hashes below it.
+    samelen)``: the leader, the fids of the groups it took in this pass (its
+    own first, 17 at most) and their total size.
 
-    A leader takes at most 16 others per pass, so after four passes ``hashes``
-    has at most 17**4 = 83,521 entries.
+    One shuffle brings a bucket together; the rest happens inside its row, of
+    24 bytes per hash and so below 2 MB.
     """
     _check(k)
     by = list(by)
-    if "hashes" not in groups.columns:
-        groups = groups.withColumn("hashes", F.array("hash"))
-    row = F.struct((-F.col("samelen")).alias("neg"), "fid", "hash", "hashes")
+    row = F.struct((-F.col("samelen")).alias("neg"), "fid", "hash")
     buckets = groups.groupBy(*by, mask_block(F.col("hash"), block).alias("_masked")).agg(
         F.array_sort(F.collect_list(row)).alias("_rows")
     )
-    in_order = F.col("_rows.hash")
-    is_large = F.size("_rows") > small_bucket
-    leads = F.when(is_large, _leader_of_each_large(block)(F.when(is_large, in_order))).otherwise(
-        _leader_of_each(in_order, k)
+    rows, in_order = F.col("_rows"), F.col("_rows.hash")
+    is_large = F.size(rows) > small_bucket
+    merged = (
+        F.when(F.size(rows) == 1, F.array(F.array(F.lit(0))))
+        .when(is_large, _merge_large(block)(F.when(is_large, in_order)))
+        .otherwise(_merge_small(in_order, k))
     )
-    # Never empty; the outer explode keeps Catalyst from computing the leaders
-    # a second time for a non-empty filter.
-    placed = buckets.select(
-        *by, "_masked", F.explode_outer(F.arrays_zip(leads.alias("lead"), F.col("_rows").alias("r"))).alias("_led")
-    ).select(*by, "_masked", F.col("_led.lead").alias("_lead"), F.col("_led.r").alias("r"))
-    # Still partitioned by bucket: no shuffle here.
-    taken = placed.groupBy(*by, "_masked", "_lead").agg(
-        F.array_sort(F.collect_list("r")).alias("_taken"), F.sum(-F.col("r.neg")).alias("samelen")
+    # Never empty; the outer explode keeps Catalyst from merging a second time
+    # for a non-empty filter.
+    taken = buckets.select(
+        *by, F.explode_outer(F.transform(merged, lambda g: F.transform(g, lambda i: F.get(rows, i)))).alias("_taken")
     )
+    size = F.aggregate("_taken", F.lit(0).cast("bigint"), lambda total, r: total - r["neg"])
     return taken.select(
         *by,
         F.col("_taken.fid")[0].alias("fid"),
-        F.col("_lead").alias("hash"),
+        F.col("_taken.hash")[0].alias("hash"),
         F.col("_taken.fid").alias("absorbed"),
-        "samelen",
-        F.flatten("_taken.hashes").alias("hashes"),
+        size.alias("samelen"),
     )
 
 
-def near_groups(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFrame:
-    """The four passes, one per block, each over the leaders of the one before."""
+def near_passes(
+    groups: DataFrame,
+    k: int = 1,
+    by: Sequence[str] = (),
+    store: Callable[[DataFrame, str], DataFrame] = stage,
+) -> list[DataFrame]:
+    """The four passes, one per block, each over the leaders of the one before.
+
+    Each is stored, since the next pass and the membership both read it.
+    """
+    passes = []
     for block in BLOCKS:
-        groups = absorb_block(groups, block, k, by)
-    return groups
+        groups = store(absorb_block(groups, block, k, by), f"near_{block}")
+        passes.append(groups)
+    return passes
+
+
+def near_groups(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFrame:
+    """The groups after the last pass, as one plan."""
+    return near_passes(groups, k, by, store=lambda df, _: df)[-1]
 
 
 def near_members(
-    hashes: DataFrame, exact: DataFrame, near: DataFrame, by: Sequence[str] = (), hot_keys: int = HOT_KEYS
+    hashes: DataFrame,
+    exact: DataFrame,
+    passes: Sequence[DataFrame],
+    by: Sequence[str] = (),
+    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
-    """``(by, leader, samelen, fid)``: every text with the leader of its near group."""
+    """``(by, leader, samelen, fid)``: every text with the leader of its near group.
+
+    Each pass lists only leaders of the pass before, so the lists are followed
+    back from the last pass to the exact groups, by joins on unique ids.
+    """
     by = list(by)
-    leader_of = near.select(
-        *by, F.col("fid").alias("leader"), F.col("samelen").alias("_total"), F.explode("hashes").alias("hash")
+    below = passes[-1].select(
+        *by, F.col("fid").alias("leader"), F.col("samelen").alias("_total"), F.explode_outer("absorbed").alias("fid")
     )
-    named = exact.select(*by, "hash", "samelen").join(leader_of, [*by, "hash"])
+    for earlier in reversed(passes[:-1]):
+        below = below.join(earlier.select(*by, "fid", "absorbed"), [*by, "fid"]).select(
+            *by, "leader", "_total", F.explode_outer("absorbed").alias("fid")
+        )
+    named = exact.join(below, [*by, "fid"]).select(*by, "hash", "samelen", "leader", "_total")
     return attach(hashes.select(*by, "hash", "fid"), named, [*by, "hash"], "samelen", hot_keys).select(
         *by, "leader", F.col("_total").alias("samelen"), "fid"
     )

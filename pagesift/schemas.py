@@ -17,9 +17,7 @@ EXTRACT = _schema(fid=_LONG, ftitle=_STR, fcontent=_STR)
 WORDS = _schema(fid=_LONG, words=_STR)
 HASH = _schema(fid=_LONG, hash=_LONG)
 EXACT_GROUPS = _schema(hash=_LONG, fid=_LONG, samelen=_LONG)
-NEAR_GROUPS = _schema(
-    fid=_LONG, hash=_LONG, absorbed=T.ArrayType(_LONG), samelen=_LONG, hashes=T.ArrayType(_LONG)
-)
+NEAR_GROUPS = _schema(fid=_LONG, hash=_LONG, absorbed=T.ArrayType(_LONG), samelen=_LONG)
 MEMBERS = _schema(leader=_LONG, fid=_LONG)
 DUP_REPORT = _schema(
     fid=_LONG, hash=_LONG, samelen=_LONG, furl=_STR, ftitle=_STR, fkeywords=_STR,

@@ -153,10 +153,7 @@ def _near(source: str = "exact", by: str = "") -> list[str]:
     return ctes
 
 
-SHOWN = (
-    "fid, hash, array_to_string(absorbed, ',') AS samefid, samelen, "
-    "array_to_string(list_sort(hashes), ',') AS hashes"
-)
+SHOWN = "fid, hash, array_to_string(absorbed, ',') AS samefid, samelen"
 REPORT_ROW_OK = (
     "(furl IS NULL OR (NOT (" + " OR ".join(f"contains(furl, {_text(p)})" for p in data.RULES.blocked) + ")"
     f" AND ftitle IS NOT NULL AND NOT contains(ftitle, {_text(data.RULES.search_home)})"

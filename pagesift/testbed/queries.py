@@ -32,10 +32,6 @@ def _prob(name: str = "prob"):
     return F.round(name, 6).alias(name)
 
 
-def _csv(column):
-    return F.concat_ws(",", column.cast("array<string>"))
-
-
 # Scans, sources, sinks
 
 
@@ -255,9 +251,7 @@ def group_top(spark, sf_dir):
 
 
 def _shown(groups):
-    return groups.select(
-        "fid", "hash", _csv(F.col("absorbed")).alias("samefid"), "samelen", _csv(F.array_sort("hashes")).alias("hashes")
-    )
+    return groups.select("fid", "hash", F.concat_ws(",", F.col("absorbed").cast("array<string>")).alias("samefid"), "samelen")
 
 
 @query
@@ -278,8 +272,8 @@ def near_groups_check(spark, sf_dir):
     """Sizes, members and distances of the final groups in one row."""
     hashes = stage(data.hashes(spark, sf_dir), "hashes")
     groups = stage(exact.exact_groups(hashes), "exact")
-    final = stage(near.near_groups(groups), "near")
-    members = near.near_members(hashes, groups, final)
+    passes = near.near_passes(groups)
+    final, members = passes[-1], near.near_members(hashes, groups, passes)
     zero = F.lit(0).cast("bigint")
     counts = classify.union_labels(
         final.select(F.col("samelen"), zero.alias("members"), zero.alias("near_leaders")),
@@ -297,7 +291,7 @@ def near_groups_check(spark, sf_dir):
 def near_members(spark, sf_dir):
     hashes = stage(data.hashes(spark, sf_dir), "hashes")
     groups = stage(exact.exact_groups(hashes), "exact")
-    return near.near_members(hashes, groups, stage(near.near_groups(groups), "near"))
+    return near.near_members(hashes, groups, near.near_passes(groups))
 
 
 @query

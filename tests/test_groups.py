@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,11 +15,11 @@ GROUP = "fid long, hash long, samelen long"
 
 
 def shown(df):
-    return sorted((r.fid, r.hash, r.samelen, sorted(r.hashes)) for r in df.collect())
+    return sorted((r.fid, r.hash, r.samelen, r.absorbed) for r in df.collect())
 
 
 def greedy(rows, block, k=1):
-    """rows: (fid, hash, samelen, hashes) -> the same after one pass."""
+    """rows: (fid, hash, samelen, any) -> (fid, hash, samelen, absorbed) after one pass."""
     mask = ~(0xFFFF << (48 - 16 * block)) & (2**64 - 1)
     buckets = {}
     for r in rows:
@@ -29,15 +30,11 @@ def greedy(rows, block, k=1):
         while left:
             lead = left[0]
             taken = [r for r in left if ((lead[1] ^ r[1]) & (2**64 - 1)).bit_count() <= k]
-            out.append((lead[0], lead[1], sum(r[2] for r in taken), sorted(h for r in taken for h in r[3])))
+            out.append((lead[0], lead[1], sum(r[2] for r in taken), [r[0] for r in taken]))
             left = [r for r in left if r not in taken]
     return sorted(out)
 
 
-def with_hashes(rows):
-    return [(f, h, s, [h]) for f, h, s in rows]
-
-
 def random_rows(n, seed):
     rng = random.Random(seed)
     hashes = set()
@@ -68,13 +65,13 @@ def test_as_built_members_are_the_leaders_of_the_pass_before(spark):
     rows = [(1, 0, 9), (2, 1, 4), (3, 65536, 2)]
     third = near.absorb_block(spark.createDataFrame(rows, GROUP), 2)
     fourth = near.absorb_block(third, 3).collect()
-    assert [(r.fid, r.absorbed, sorted(r.hashes)) for r in fourth] == [(1, [1, 2], [0, 1, 65536])]
+    assert [(r.fid, r.absorbed, r.samelen) for r in fourth] == [(1, [1, 2], 15)]
 
 
 @pytest.mark.parametrize("small_bucket", [0, 512])
 def test_passes_match_brute_force(spark, small_bucket):
     rows = random_rows(600, 11)
-    df, model = spark.createDataFrame(rows, GROUP), with_hashes(rows)
+    df, model = spark.createDataFrame(rows, GROUP), rows
     for block in near.BLOCKS:
         df = near.absorb_block(df, block, small_bucket=small_bucket)
         model = greedy(model, block)
@@ -86,7 +83,7 @@ def test_full_buckets_take_both_ways(spark):
     df = spark.range(8192).select(
         F.col("id").alias("fid"), (F.col("id") + 5 * 65536).alias("hash"), (F.pmod(F.xxhash64("id"), F.lit(3)) + 1).alias("samelen")
     )
-    rows = [(r.fid, r.hash, r.samelen, [r.hash]) for r in df.collect()]
+    rows = [(r.fid, r.hash, r.samelen) for r in df.collect()]
     rows = [r for r in rows if r[0] < 1024]
     part = df.where("fid < 1024")
     assert shown(near.absorb_block(part, 3)) == greedy(rows, 3)
@@ -103,20 +100,21 @@ def test_invariants(spark, seed):
     rng.shuffle(texts)
     hashes = spark.createDataFrame(texts, "fid long, hash long")
     groups = exact.exact_groups(hashes)
-    final = near.near_groups(groups)
-    leaders = final.collect()
+    passes = near.near_passes(groups)
+    leaders = passes[-1].collect()
+    assert shown(passes[-1]) == shown(near.near_groups(groups))
     assert sum(r.samelen for r in leaders) == len(texts)
     for i, a in enumerate(leaders):
         for b in leaders[i + 1 :]:
             assert ((a.hash ^ b.hash) & (2**64 - 1)).bit_count() > 1
-        for h in a.hashes:
-            assert ((a.hash ^ h) & (2**64 - 1)).bit_count() <= 4
+    hash_of, size_of = dict(texts), {r.fid: r.samelen for r in leaders}
     for hot_keys in (1, 1024):
-        members = near.near_members(hashes, groups, final, hot_keys=hot_keys).collect()
-        assert sorted(r.fid for r in members) == sorted(f for f, _ in texts)
-        hash_of = dict(texts)
-        own = {h: r.fid for r in leaders for h in r.hashes}
-        assert all(r.leader == own[hash_of[r.fid]] for r in members)
+        members = near.near_members(hashes, groups, passes, hot_keys=hot_keys).collect()
+        assert sorted(r.fid for r in members) == sorted(hash_of)
+        assert all(r.samelen == size_of[r.leader] for r in members)
+        assert Counter(r.leader for r in members) == size_of
+        for r in members:
+            assert ((hash_of[r.leader] ^ hash_of[r.fid]) & (2**64 - 1)).bit_count() <= 4
 
 
 def test_near_pairs_match_brute_force(spark):
