@@ -13,18 +13,19 @@ from pyspark.sql import functions as F
 from pagesift import fixed
 from pagesift.functions.hashing import xxh64
 from pagesift.operators.assemble import dup_report
-from pagesift.operators.exact import exact_groups
+from pagesift.operators.exact import exact_groups, exact_members, members_csv
 from pagesift.operators.filters import Rules
 from pagesift.operators.lookup import fits
 from pagesift.operators.near import BLOCKS, absorb_block
 from pagesift.operators.simhash import simhash64
 from pagesift.operators.words import keywords, script_tokens
-from pagesift.schemas import DUP_REPORT, EXACT_GROUPS, HASH, NEAR_GROUPS, WORDS, conform
+from pagesift.schemas import DUP_REPORT, EXACT_GROUPS, HASH, MEMBER_STRINGS, NEAR_GROUPS, WORDS, conform
 from pagesift.sources.tables import DAY, StageStore, keep_sources
 
 KEYWORDS, HASHES, EXACT, NEAR, REPORT = (
     "simhash_seg", "simhash_hash", "simhash_same", "simhash_distance_1", "simhash_dup_threshold_10",
 )
+EXACT_MEMBERS = "simhash_same_members"
 _IDS = (DAY, "fid")
 
 
@@ -56,7 +57,10 @@ def run_duplicates(
     bags = stored.select(*_IDS, F.filter(F.split("words", ","), lambda w: w != "").alias("tokens"))
     store.write(HASHES, conform(simhash64(bags, _IDS, token_hash=token_hash), HASH, DAY))
 
-    store.write(EXACT, conform(exact_groups(store.read(HASHES, start, end), (DAY,)), EXACT_GROUPS, DAY))
+    hashes = store.read(HASHES, start, end)
+    store.write(EXACT, conform(exact_groups(hashes, (DAY,)), EXACT_GROUPS, DAY))
+    members = exact_members(hashes, store.read(EXACT, start, end), (DAY,))
+    store.write(EXACT_MEMBERS, conform(members_csv(members, (DAY,)), MEMBER_STRINGS, DAY))
 
     latest = EXACT
     for block in BLOCKS:

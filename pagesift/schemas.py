@@ -18,7 +18,7 @@ WORDS = _schema(fid=_LONG, words=_STR)
 HASH = _schema(fid=_LONG, hash=_LONG)
 EXACT_GROUPS = _schema(hash=_LONG, fid=_LONG, samelen=_LONG)
 NEAR_GROUPS = _schema(fid=_LONG, hash=_LONG, absorbed=T.ArrayType(_LONG), samelen=_LONG)
-MEMBERS = _schema(leader=_LONG, fid=_LONG)
+MEMBER_STRINGS = _schema(leader=_LONG, samelen=_LONG, part=_INT, samefid=_STR)
 DUP_REPORT = _schema(
     fid=_LONG, hash=_LONG, samelen=_LONG, furl=_STR, ftitle=_STR, fkeywords=_STR,
     fcontent=_STR, fcontent_len=_INT, src_type=_STR,

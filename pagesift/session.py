@@ -47,7 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/pagesift/{uuid.uuid4().hex}/{name}"
+    """A fresh path; all of a session's lie in one folder, named by its
+    application id, which can be removed when the session has ended."""
+    return f"{shared_dir(spark)}/pagesift/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

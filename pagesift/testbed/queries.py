@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagesift.functions import hashing, text, urls
 from pagesift.operators import assemble, classify, decide, exact, filters, near, words
 from pagesift.operators import simhash as similarity
+from pagesift.operators.lookup import fits
 from pagesift.plans.articles import PUBLISHED, publish
 from pagesift.plans.backfill import run_range
 from pagesift.plans.duplicates import HASHES, REPORT, run_duplicates
@@ -297,7 +298,8 @@ def near_members(spark, sf_dir):
 @query
 def dup_report(spark, sf_dir):
     groups = near.near_groups(_exact(spark, sf_dir))
-    return assemble.dup_report(groups, data.crawl(spark, sf_dir), data.RULES, threshold=2)
+    leaders = stage(groups.where(F.col("samelen") >= 2), "leaders")
+    return assemble.dup_report(leaders, data.crawl(spark, sf_dir), data.RULES, threshold=2, small=fits(leaders))
 
 
 # Classification

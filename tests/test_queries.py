@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__
 from pagesift.plans.backfill import run_range
-from pagesift.plans.duplicates import REPORT
+from pagesift.plans.duplicates import EXACT, EXACT_MEMBERS, REPORT
 from pagesift.plans.labels import UNION
 from pagesift.session import new_path
 from pagesift.sources.tables import StageStore, write_days
@@ -88,6 +88,6 @@ def test_backfill_equals_single_days(spark, sf_dir):
     run_range(ranged, path, "20240101", "20240103", models, models, **options)
     for start, end in (("20240101", "20240102"), ("20240102", "20240103")):
         run_range(daily, path, start, end, models, models, **options)
-    for name in (REPORT, UNION, "etl"):
+    for name in (EXACT, EXACT_MEMBERS, REPORT, UNION, "etl"):
         a, b = (sorted(map(tuple, s.read(name, "20240101", "20240103").collect()), key=_key) for s in (ranged, daily))
         assert a == b and a
