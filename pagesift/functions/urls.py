@@ -41,13 +41,14 @@ def contains_any(text: Column, patterns: Sequence[str]) -> Column:
 
 
 def site_label(url: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """Label of the one rule whose host is in the URL; ``''`` for none or several."""
+    """Label of the one host that is in the URL; ``''`` for none or several.
+
+    Of several rules for a host the last counts.
+    """
     if not rules:
         return F.lit("")
-    table = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(l).alias("label")) for h, l in rules])
-    hits = F.filter(table, lambda r: F.contains(url, r["host"]))
-    # The single hit comes out of a one-row filter, so the table is searched once.
-    labels = F.transform(hits, lambda r: r["label"])
+    table = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(l).alias("label")) for h, l in dict(rules).items()])
+    labels = F.transform(F.filter(table, lambda r: F.contains(url, r["host"])), lambda r: r["label"])
     return F.coalesce(
         F.aggregate(
             labels,

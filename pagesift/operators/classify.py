@@ -42,7 +42,7 @@ class TopicModel:
 
 
 def topic_model(model: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> TopicModel:
-    """Prepare a model table, reading it a few times: pass one that is stored.
+    """Prepare a model table, reading it twice: pass one that is stored.
 
     The prepared weights are stored too, since every scoring reads them.
 

@@ -36,7 +36,7 @@ def run_articles(
 ) -> DataFrame:
     """Write the assembled and the published table; returns the latter."""
     assembled = assemble_articles(keep_sources(crawl, sources), hashes, labels, rules, _IDS)
-    store.write(ASSEMBLED, conform(assembled, ARTICLES, DAY))
+    store.write(ASSEMBLED, conform(assembled, ARTICLES, DAY), rebalance=True)
     final = publish(store.read(ASSEMBLED, start, end), rules, mode)
-    store.write(PUBLISHED, conform(final, FINAL, DAY))
+    store.write(PUBLISHED, conform(final, FINAL, DAY), rebalance=True)
     return store.read(PUBLISHED, start, end)

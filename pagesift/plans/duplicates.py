@@ -55,10 +55,10 @@ def run_duplicates(
 
     stored = store.read(KEYWORDS, start, end)
     bags = stored.select(*_IDS, F.filter(F.split("words", ","), lambda w: w != "").alias("tokens"))
-    store.write(HASHES, conform(simhash64(bags, _IDS, token_hash=token_hash), HASH, DAY))
+    store.write(HASHES, conform(simhash64(bags, _IDS, token_hash=token_hash), HASH, DAY), rebalance=True)
 
     hashes = store.read(HASHES, start, end)
-    store.write(EXACT, conform(exact_groups(hashes, (DAY,)), EXACT_GROUPS, DAY))
+    store.write(EXACT, conform(exact_groups(hashes, (DAY,)), EXACT_GROUPS, DAY), rebalance=True)
     members = exact_members(hashes, store.read(EXACT, start, end), (DAY,))
     store.write(EXACT_MEMBERS, conform(members_csv(members, (DAY,)), MEMBER_STRINGS, DAY))
 
@@ -66,7 +66,7 @@ def run_duplicates(
     for block in BLOCKS:
         merged = absorb_block(store.read(latest, start, end), block, by=(DAY,))
         latest = f"{NEAR}_{block}"
-        store.write(latest, conform(merged, NEAR_GROUPS, DAY))
+        store.write(latest, conform(merged, NEAR_GROUPS, DAY), rebalance=True)
 
     # Only the leaders at or over the threshold are joined: count them first.
     leaders = store.read(latest, start, end).where(F.col("samelen") >= threshold)

@@ -65,5 +65,5 @@ def run_labels(
         store.read(name, start, end, [*_IDS, "cat", "prob"])
         for name in (TITLE_PARENT, TITLE_CHILD, CONTENT_PARENT, CONTENT_CHILD)
     ]
-    store.write(UNION, conform(assemble_labels(*sides, ids=_IDS), UNION_LABELS, DAY))
+    store.write(UNION, conform(assemble_labels(*sides, ids=_IDS), UNION_LABELS, DAY), rebalance=True)
     return store.read(UNION, start, end)

@@ -47,18 +47,21 @@ def debug_limit(df: DataFrame, n: int = fixed.DEBUG_ROWS, key: str = "fid") -> D
     return df.orderBy(key).limit(n)
 
 
-def write_days(df: DataFrame, path: str, day: str | None = None) -> None:
+def write_days(df: DataFrame, path: str, day: str | None = None, rebalance: bool = False) -> None:
     """Replace the partitions that ``df`` holds and leave all others alone.
 
     ``day`` names the one partition to write; without it ``df`` must have a
-    ``stat_date`` column. Rows are rebalanced by day, and AQE splits a day that
-    is larger than a file should be, so no day ends up in one task.
+    ``stat_date`` column. Rows are written by the tasks that have them, so
+    text is not moved for the sake of files. ``rebalance`` is for narrow tables
+    over many days: it gathers each day, and AQE splits a day that is larger
+    than a file should be, so no day ends up in one task.
     """
     if day is not None:
         df = df.withColumn(DAY, F.lit(day))
+    if rebalance:
+        df = df.hint("rebalance", DAY)
     (
-        df.hint("rebalance", DAY)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)
@@ -75,8 +78,8 @@ class StageStore:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def write(self, name: str, df: DataFrame, day: str | None = None) -> None:
-        write_days(df, self.path(name), day)
+    def write(self, name: str, df: DataFrame, day: str | None = None, rebalance: bool = False) -> None:
+        write_days(df, self.path(name), day, rebalance)
 
     def read(self, name: str, start: str, end: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         return read_days(self.spark, self.path(name), start, end, columns)

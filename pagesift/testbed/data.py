@@ -139,7 +139,7 @@ def count_model(labelled: DataFrame) -> DataFrame:
         .join(vocabulary, "model")
         .select("model", F.lit("").alias("token"), name, (-F.ln(F.col("n") + F.col("v"))).alias("weight"))
     )
-    return stage(weights.unionByName(biases), "model")
+    return weights.unionByName(biases)
 
 
 def article_words(spark: SparkSession, sf_dir: str) -> DataFrame:

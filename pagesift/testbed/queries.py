@@ -61,9 +61,9 @@ def sink_roundtrip(spark, sf_dir):
     """Write all days, write the second half of the month again, read rows per day."""
     path = new_path(spark, "sink")
     rows = data.crawl(spark, sf_dir).select("fid", "src_type", DAY)
-    tables.write_days(rows.withColumn("version", F.lit(1)), path)
+    tables.write_days(rows.withColumn("version", F.lit(1)), path, rebalance=True)
     later = rows.where(F.col(DAY) >= "20240116").withColumn("version", F.lit(2))
-    tables.write_days(later, path)
+    tables.write_days(later, path, rebalance=True)
     back = tables.read_days(spark, path, FIRST_DAY, LAST_DAY_EXCLUSIVE)
     return back.groupBy(DAY, "version").agg(F.count("*").alias("n"), F.sum("fid").alias("sum_fid"))
 
