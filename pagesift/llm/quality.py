@@ -29,9 +29,9 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 # Of the method: texts this short say too little about a distribution.
 MIN_CHARS = 200
-MIN_COMMON = 20
+MIN_COMMON = 40
 MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.62
+MAX_WORD_DISTANCE = 0.3
 COMMON_WORDS = 12
 # A word of a language's reference has at least this share of its words, and a
 # language this share of the documents; so there are at most a thousand.

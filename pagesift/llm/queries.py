@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagesift.llm import decontam, licenses, packing, quality, sharding
+from pagesift.llm import decontam, licenses, packing, quality, sharding, sigtree
 from pagesift.llm.sql import ORACLE  # noqa: F401
 from pagesift.llm.tasks import table
 
@@ -37,6 +37,10 @@ def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -46,5 +50,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_harmonic_packing": op3_harmonic_packing,
     "op6_license_diagonals": op6_license_diagonals,
     "op7_suffix_automaton": op7_suffix_automaton,
+    "op9_signature_trees": op9_signature_trees,
     "op10_distribution_divergence": op10_distribution_divergence,
 }
