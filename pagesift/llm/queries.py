@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagesift.llm import decontam, licenses, packing, quality, sharding, sigtree
+from pagesift.llm import decontam, licenses, packing, quality, sharding, sigtree, suffixdedup
 from pagesift.llm.sql import ORACLE  # noqa: F401
 from pagesift.llm.tasks import table
 
@@ -25,6 +25,10 @@ def op1_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), TREE)
 
 
+def op2_suffix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), word_bpe()))
 
@@ -47,6 +51,7 @@ def op10_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
+    "op2_suffix_shards": op2_suffix_shards,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op6_license_diagonals": op6_license_diagonals,
     "op7_suffix_automaton": op7_suffix_automaton,

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from pagesift.llm.components import components
 from pagesift.llm.shingles import set_id, shingle_sets
-from pagesift.llm.tasks import buffers, rows_of, small_batches, staged, utf8
+from pagesift.llm.tasks import buffers, groups_of, rows_of, small_batches, staged, utf8
 
 WORDS = 4
 PERCENT = 85
@@ -138,36 +138,6 @@ def nodes(texts: DataFrame, words: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, node long, n long, signature binary, prefix array<long>")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of whole groups of rows that come sorted by the keys, with the
-    places where groups start (and the end)."""
-    held: list[pa.RecordBatch] = []
-
-    def starts(table: pa.Table) -> np.ndarray:
-        new = np.zeros(table.num_rows, bool)
-        new[0] = True
-        for k in keys:
-            v = table.column(k).to_numpy()
-            new[1:] |= v[1:] != v[:-1]
-        return np.flatnonzero(new)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        if sum(b.num_rows for b in held) < 20_000:
-            continue
-        table = pa.Table.from_batches(held)
-        at = starts(table)
-        if len(at) > 1:
-            yield table.slice(0, at[-1]), at
-            table = table.slice(at[-1])
-        held = table.to_batches()
-    if held:
-        table = pa.Table.from_batches(held)
-        yield table, np.append(starts(table), table.num_rows)
-
-
 CELLS = "cell long, node long, n long, hub long, hub_n long, size long"
 
 
@@ -175,7 +145,7 @@ def cells(made: DataFrame) -> DataFrame:
     """The nodes of prefix shingles that two nodes or more have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, at in _groups(batches, ["cell"]):
+        for table, at in groups_of(batches, ["cell"]):
             cell, node, n = (table.column(c).to_numpy() for c in ("cell", "node", "n"))
             # Sorted by node within the cell; a node comes once per task that met it.
             keep = np.ones(len(cell), bool)
@@ -267,7 +237,7 @@ def tree_pairs(x: SignatureTree, y: SignatureTree | None, percent: int) -> tuple
 
 
 def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for table, at in _groups(batches, ["cell", "i", "j"]):
+    for table, at in groups_of(batches, ["cell", "i", "j"]):
         node, n, comp, side = (table.column(c).to_numpy() for c in ("node", "n", "component", "side"))
         data, _ = buffers(table.column("signature").combine_chunks())
         maps = data.reshape(len(node), BITS // 8).view(np.uint64)

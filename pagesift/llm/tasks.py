@@ -62,6 +62,36 @@ def rows_of(batch: pa.RecordBatch, max_bytes: int, column: str) -> Iterator[pa.R
         yield batch.slice(start)
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of rows that come sorted by the keys, with the
+    places where groups start (and the end)."""
+    held: list[pa.RecordBatch] = []
+
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            v = table.column(k).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) < 20_000:
+            continue
+        table = pa.Table.from_batches(held)
+        at = starts(table)
+        if len(at) > 1:
+            yield table.slice(0, at[-1]), at
+            table = table.slice(at[-1])
+        held = table.to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, np.append(starts(table), table.num_rows)
+
+
 def number(rows: DataFrame, groups: Sequence[str], order: Sequence[str], name: str, total: int) -> DataFrame:
     """Number the rows of each group 0, 1, 2, ... without gaps.
 
