@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagesift.llm import decontam, licenses, packing, quality, sharding, sigtree, suffixdedup
+from pagesift.llm import decontam, langid, licenses, packing, quality, sharding, sigtree, suffixdedup
 from pagesift.llm.sql import ORACLE  # noqa: F401
 from pagesift.llm.tasks import table
 
@@ -33,6 +33,10 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), word_bpe()))
 
 
+def op5_script_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.judge(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_suffix_shards": op2_suffix_shards,
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op5_script_viterbi": op5_script_viterbi,
     "op6_license_diagonals": op6_license_diagonals,
     "op7_suffix_automaton": op7_suffix_automaton,
     "op9_signature_trees": op9_signature_trees,
