@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagesift.llm import decontam, langid, licenses, packing, quality, sharding, sigtree, suffixdedup
+from pagesift.llm import bloomlm, decontam, langid, licenses, packing, quality, sharding, sigtree, suffixdedup, urlfilter
 from pagesift.llm.sql import ORACLE  # noqa: F401
 from pagesift.llm.tasks import table
 
@@ -33,6 +33,10 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), word_bpe()))
 
 
+def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloomlm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_script_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.judge(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,10 @@ def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sigtree.judge(table(spark, sf_dir, "documents"))
 
@@ -57,9 +65,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_suffix_shards": op2_suffix_shards,
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op4_bloom_lm": op4_bloom_lm,
     "op5_script_viterbi": op5_script_viterbi,
     "op6_license_diagonals": op6_license_diagonals,
     "op7_suffix_automaton": op7_suffix_automaton,
+    "op8_host_words": op8_host_words,
     "op9_signature_trees": op9_signature_trees,
     "op10_distribution_divergence": op10_distribution_divergence,
 }
