@@ -52,8 +52,11 @@ CHUNK_MIN = 3
 # Sets of one cell in one task.
 CELL = 2048
 FANOUT = 8
+# Sets of one block of pairs that are compared.
+BLOCK_NODES = 1000
 # Rows of a table that is broadcast after it was counted.
-MAX_BROADCAST = 1_000_000
+MAX_BROADCAST = 200_000
+NULL_ID = -(2**63)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -249,17 +252,15 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             crossed = bool(table.column("crossed")[a].as_py())
             if crossed and (trees[0] is None or trees[1] is None):
                 continue
-            if crossed:
-                p, q = tree_pairs(trees[0], trees[1], percent)
-                left.append(node[sides[0][p]])
-                right.append(node[sides[1][q]])
-            else:
-                p, q = tree_pairs(trees[0], None, percent)
-                left.append(node[sides[0][p]])
-                right.append(node[sides[0][q]])
+            p, q = tree_pairs(trees[0], trees[1] if crossed else None, percent)
+            left.append(sides[0][p])
+            right.append(sides[1 if crossed else 0][q])
         if left:
             a, b = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            low = np.where(node[a] < node[b], a, b)
+            high = a + b - low
+            columns = (node[low], node[high], comp[low], comp[high])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "ca", "cb"])
 
 
 def _deal(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -299,38 +300,68 @@ class Join:
         self.made = staged(nodes(self.texts, words, percent), "nodes")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` of nodes whose sets link."""
+        """Of pairs ``(a, b, ca, cb)`` of nodes and their components enough
+        links ``(a, b)`` to connect whatever the pairs' links connect.
+
+        Nodes fall into blocks, pairs into cells of two blocks. A cell gets the
+        texts of its nodes, each once, and then its pairs; a pair whose
+        components its links have joined already is not compared.
+        """
         words, percent = self.words, self.percent
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        met = self.made.where(F.col("signature").isNotNull()).select("doc_id", "node")
-        # One text of each wanted set.
-        chosen = staged(met.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "chosen")
-        ids = chosen.select("doc_id").distinct()
-        ids = F.broadcast(ids) if chosen.count() <= MAX_BROADCAST else ids
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, sets in _sets(batches, words):
-                kept = [(set_id(s), s.tobytes()) for s in sets if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.int64()), pa.array([v for _, v in kept], pa.binary())], names=["node", "shingles"])
-
-        texts = self.texts.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
-        if met.where(F.col("doc_id").isNull()).limit(1).count():
-            texts = texts.unionByName(self.texts.where(F.col("doc_id").isNull()))
-        sets = staged(texts.select("text").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "sets")
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
+        small = ["a", "b", "ca", "cb"]
+        n_nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().count()
+        blocks = max(1, round((n_nodes / BLOCK_NODES) ** 0.5 + 0.5))
+        block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+        first, second = block("a"), block("b")
+        placed = pairs.select(F.least(first, second).alias("i"), F.greatest(first, second).alias("j"), *small)
+        wanted = placed.select("i", "j", F.col("a").alias("node")).unionByName(placed.select("i", "j", F.col("b").alias("node")))
+        wanted = wanted.groupBy("node").agg(F.collect_set(F.struct("i", "j")).alias("at"))
+        # One text of each wanted set, with the cells it goes to.
+        met = self.made.where(F.col("signature").isNotNull()).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "node")
+        chosen = met.join(wanted, "node").groupBy("node").agg(F.min("doc").alias("doc"), F.first("at").alias("at"))
+        chosen = staged(chosen, "chosen")
+        chosen = F.broadcast(chosen) if chosen.count() <= MAX_BROADCAST else chosen
+        texts = self.texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text").join(chosen, "doc")
+        none = F.lit(None).cast("long")
+        sets = texts.select("node", "text", F.explode("at").alias("k")).select(
+            "k.*", F.col("node").alias("a"), none.alias("b"), none.alias("ca"), none.alias("cb"), "text"
         )
+        both = sets.unionByName(placed.withColumn("text", F.lit(None).cast("binary")))
+        both = both.repartition("i", "j").sortWithinPartitions("i", "j", F.col("text").isNull())
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cell, known, parent = None, {}, {}
+
+            def root(c: int) -> int:
+                while parent.setdefault(c, c) != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
             for batch in batches:
-                keep = []
-                for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                    u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                found_a, found_b = [], []
+                texts = batch.column("text")
+                sets = iter(shingle_sets(*buffers(texts), words))
+                is_pair = texts.is_null().to_pylist()
+                for i, j, a, b, ca, cb, pair, own in zip(*(batch.column(c).to_pylist() for c in ("i", "j", *small)), is_pair, sets):
+                    if (i, j) != cell:
+                        cell, known, parent = (i, j), {}, {}
+                    if not pair:
+                        if set_id(own) == a:  # else another text with this id
+                            known[a] = own
+                        continue
+                    ra, rb = root(ca), root(cb)
+                    if ra == rb:
+                        continue
+                    u, v = known[a], known[b]
                     common = len(np.intersect1d(u, v, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(u) + len(v) - common))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                    if 100 * common >= percent * (len(u) + len(v) - common):
+                        parent[max(ra, rb)] = min(ra, rb)
+                        found_a.append(a)
+                        found_b.append(b)
+                yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
-        return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+        return both.mapInArrow(compare, "a long, b long")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links ``(a, b)`` that connect every component, and the components."""
@@ -350,11 +381,12 @@ class Join:
                 keep = (100 + percent) * most >= percent * (na + nb)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-        near = staged(hubs.mapInArrow(leaves, "a long, b long"), "hub_pairs")
+        near = hubs.mapInArrow(leaves, "a long, b long").withColumns({"ca": F.col("a"), "cb": F.col("b")})
+        near = staged(near, "hub_pairs")
         first = staged(self.verify(near), "hub_links")
         labels = staged(components(first), "hub_components")
         dealt = _deal(members, labels).join(signatures, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-        rest = staged(dealt.mapInArrow(lambda b: _cell_pairs(b, percent), "a long, b long").distinct(), "tree_pairs")
+        rest = staged(dealt.mapInArrow(lambda b: _cell_pairs(b, percent), "a long, b long, ca long, cb long").distinct(), "tree_pairs")
         second = staged(self.verify(rest), "tree_links")
         return first.unionByName(second), components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
