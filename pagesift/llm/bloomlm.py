@@ -3,8 +3,9 @@
 Base: unigrams with a half added to every count. Model: bigrams of frequent
 words, whose counts are quantised to powers of ``BASE`` and stored in a Bloom
 filter as the members ``(bigram, 1) .. (bigram, level)`` (Talbot and Osborne). A
-count is read back by probing levels until one is missing, and mixed with the
-base probability; a history the filter does not cover leaves the base alone.
+count is read back by probing levels until one is missing. A discount is taken
+off it, and what a history's bigrams leave goes to the base probability; so does
+all of a history that the filter does not cover.
 
 The filter has a fixed size, in blocks: a bigram's bits all lie in one block,
 so blocks are built by tasks of their own and gathered. With more bigrams false
@@ -37,7 +38,8 @@ MIN_BIGRAM = 2
 BASE = 1.6
 BLOCKS, BLOCK_BITS = 512, 1 << 19
 HASHES = 4
-MIXTURE = 0.6  # weight of a bigram's own share
+DISCOUNT = 1.0
+LEAST_LEFT = 0.02
 SLICE_BYTES = 2 << 20
 CHUNK = 3_000_000
 END = np.uint64(0x5E6D0F3A1B2C4D97)
@@ -128,6 +130,7 @@ class Model:
     frequent: np.ndarray  # sorted word hashes
     counts: np.ndarray
     pair: np.ndarray  # number among the bigrams' words, or -1
+    left: np.ndarray  # of each of those, as a history: what its bigrams leave
     filter: Filter
     n: int
     v: int
@@ -174,12 +177,12 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     pair = np.full(len(counts), -1, np.int64)
     chosen = counts >= least(BIGRAM_WORDS)
     pair[chosen] = np.arange(chosen.sum())
-    model = Model(frequent, counts, pair, Filter(np.zeros(BLOCKS * BLOCK_BITS // 8, np.uint8)), int(n or 0), int(v))
+    model = Model(frequent, counts, pair, np.ones(int(chosen.sum())), Filter(np.zeros(BLOCKS * BLOCK_BITS // 8, np.uint8)), int(n or 0), int(v))
     shared = docs.sparkSession.sparkContext.broadcast((frequent, counts, pair))
 
     def pairs(words: np.ndarray, text: np.ndarray) -> np.ndarray:
         frequent, counts, pair = shared.value
-        small = Model(frequent, counts, pair, None, 0, 0)
+        small = Model(frequent, counts, pair, None, None, 0, 0)
         keys, _, _ = bigram_keys(words, text, small.find, pair)
         return keys[keys > 0]
 
@@ -202,7 +205,12 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
                 packed = np.packbits(bits, bitorder="little").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([int(block[a])]), pa.array([packed], pa.binary())], names=["block", "bits"])
 
-    bigrams = _sums(texts, pairs, "pair").where(F.col("n") >= MIN_BIGRAM)
+    bigrams = staged(_sums(texts, pairs, "pair").where(F.col("n") >= MIN_BIGRAM), "bigrams")
+    # One row per word that has bigrams.
+    taken = bigrams.groupBy(F.shiftright("pair", 20).alias("h")).agg(F.sum(F.col("n") - DISCOUNT).alias("taken")).toPandas()
+    own = taken["h"].to_numpy(np.int64)
+    model.left[own] -= taken["taken"].to_numpy() / counts[chosen][own]
+    np.maximum(model.left, LEAST_LEFT, out=model.left)
     blocks = bigrams.mapInArrow(quantised, "block long, pair long, level long").repartition("block").sortWithinPartitions("block")
     for r in blocks.mapInArrow(build, "block long, bits binary").toLocalIterator():  # of fixed size together
         start = r["block"] * BLOCK_BITS // 8
@@ -230,9 +238,11 @@ def score(docs: DataFrame, trained: tuple[Model, DataFrame] | None = None) -> Da
                 # Rare words have a base of 1 here; theirs is joined.
                 seen = np.zeros(len(own))
                 probe = keys > 0
-                seen[probe] = count_of(lm.filter.levels(keys[probe])) / lm.counts[history[probe]]
-                share = np.where(covered, MIXTURE, 0.0)
-                mixed = np.where(known, (1 - share) * base + share * np.minimum(seen, 1.0), 1 - share)
+                count = np.maximum(count_of(lm.filter.levels(keys[probe])) - DISCOUNT, 0.0)
+                seen[probe] = np.minimum(count / lm.counts[history[probe]], 1.0)
+                left = np.ones(len(own))
+                left[covered] = lm.left[lm.pair[history[covered]]]
+                mixed = np.where(known, left * base + seen, left)
                 n = batch.num_rows
                 edges = np.searchsorted(text, np.arange(n + 1))
                 rare = own.view(np.int64)[~known]

@@ -18,7 +18,6 @@ are judged row by row; other columns of the documents are carried along.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.tasks import rows_of, small_batches
+from pagesift.llm.tasks import rows_of, small_batches, with_texts
 
 WINDOW = 10
 # Words of one automaton; it has at most twice as many states.
@@ -269,13 +268,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_s
     covered to ``max_coverage`` go. A cut can join words to a window that was
     not there, which ten words across one cut make all but impossible."""
     found = scan(docs, items, window)
-    schema = docs.schema
+    columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [clean_text(t, b, min_span, max_coverage) for t, b in zip(batch.column("text").to_pylist(), batch.column(HIT_WORDS).to_pylist())]
-            keep = pa.array([new is not None or not bits for new, bits in zip(texts, batch.column(HIT_WORDS).to_pylist())])
-            columns = [pa.array(texts, batch.column("text").type) if c == "text" else batch.column(c) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns).filter(keep)
+            bits = batch.column(HIT_WORDS).to_pylist()
+            texts = [clean_text(t, b, min_span, max_coverage) for t, b in zip(batch.column("text").to_pylist(), bits)]
+            keep = [new is not None or not own for new, own in zip(texts, bits)]
+            yield with_texts(batch, columns, texts, [bool(own) for own in bits]).filter(pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(run, docs.schema)

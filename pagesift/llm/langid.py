@@ -174,7 +174,8 @@ def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
 
 def _one_language(scores: np.ndarray, at: np.ndarray, switch: float) -> tuple[np.ndarray, np.ndarray]:
     """The best single language of each text, and whether it surely is the best
-    path: no other language gains more than one change costs anywhere."""
+    path: no other language gains more than half a change costs anywhere (a path
+    of k stretches of others has k changes, or k - 1 if it is all others)."""
     sums = np.add.reduceat(scores, at[:-1], axis=0, dtype=np.float64)
     best = sums.argmax(axis=1)
     text = np.repeat(np.arange(len(best)), np.diff(at))
@@ -187,7 +188,7 @@ def _one_language(scores: np.ndarray, at: np.ndarray, switch: float) -> tuple[np
     drop = 4 * (np.abs(total).max() + 1) * text[:, None]
     lowest = np.minimum.accumulate(before - drop, axis=0) + drop
     most = np.maximum.reduceat((total - lowest).max(axis=1), at[:-1])
-    return best, most <= switch * (1 - 1e-6)
+    return best, most <= switch / 2 * (1 - 1e-6)
 
 
 def _paths(scores: np.ndarray, at: np.ndarray, switch: float) -> np.ndarray:

@@ -56,6 +56,7 @@ FANOUT = 8
 BLOCK_NODES = 1000
 # Rows of a table that is broadcast after it was counted.
 MAX_BROADCAST = 200_000
+MAX_DROPPED = 1_000_000
 NULL_ID = -(2**63)
 
 
@@ -87,7 +88,7 @@ def frequent_shingles(texts: DataFrame, words: int) -> np.ndarray:
         if held:
             yield count(held)
 
-    sums = texts.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT)
+    sums = texts.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT)
     top = sums.orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).toPandas()
     return top["shingle"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
 
@@ -103,8 +104,9 @@ def _signature(shingles: np.ndarray) -> bytes:
 
 
 def nodes(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(doc_id, node, n, signature, prefix)`` of all documents; the last two
-    are null for a set that the task has met before."""
+    """``(doc_id, key, node, n, signature, prefix)`` of all documents, where
+    ``key`` is a hash of the text; the last two are null for a set that the task
+    has met before."""
     common = frequent_shingles(texts, words)
     order = np.argsort(common)
     shared = texts.sparkSession.sparkContext.broadcast((common[order], order))
@@ -134,11 +136,11 @@ def nodes(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 signatures.append(_signature(s))
                 prefixes.append(first[:want].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "n", "signature", "prefix"],
+                [batch.column("doc_id"), batch.column("key"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["doc_id", "key", "node", "n", "signature", "prefix"],
             )
 
-    return texts.mapInArrow(run, "doc_id long, node long, n long, signature binary, prefix array<long>")
+    return texts.mapInArrow(run, "doc_id long, key long, node long, n long, signature binary, prefix array<long>")
 
 
 CELLS = "cell long, node long, n long, hub long, hub_n long, size long"
@@ -296,7 +298,7 @@ class Join:
     def __init__(self, docs: DataFrame, words: int = WORDS, percent: int = PERCENT):
         small_batches(docs.sparkSession)
         self.words, self.percent = words, percent
-        self.texts = docs.select("doc_id", utf8().alias("text"))
+        self.texts = docs.select("doc_id", F.xxhash64("text").alias("key"), utf8().alias("text"))
         self.made = staged(nodes(self.texts, words, percent), "nodes")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
@@ -391,19 +393,29 @@ class Join:
         return first.unionByName(second), components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
     def groups(self) -> DataFrame:
-        """``(doc_id, node, n_shingles, component_id)`` of all documents."""
+        """``(doc_id, key, node, n_shingles, component_id)`` of all documents."""
         _, comps = self.links()
         reps = self.made.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"))
         named = reps.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         named = staged(named, "named")
         linked = named.join(comps.select("node"), "node", "left_semi").groupBy("component").agg(F.min("rep").alias("linked"))
         of_node = named.join(linked, "component", "left").select("node", F.coalesce("linked", "rep").alias("component_id"))
-        rows = self.made.select("doc_id", "node", F.col("n").alias("n_shingles"))
+        rows = self.made.select("doc_id", "key", "node", F.col("n").alias("n_shingles"))
         return rows.join(of_node, "node", "left").select(
-            "doc_id", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+            "doc_id", "key", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
         )
 
 
 def judge(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: its number of shingles and its component."""
     return Join(docs, words, percent).groups().select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Of each component the document with its name, the smallest id; documents
+    without words stay. Rows equal in id and text are one document."""
+    found = Join(docs, words, percent).groups()
+    gone = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = staged(gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= MAX_DROPPED else gone
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pagesift.llm.shingles import mix
 from pagesift.llm.suffixes import permuted_lcp, suffix_array
-from pagesift.llm.tasks import buffers, groups_of, rows_of, small_batches, staged, utf8
+from pagesift.llm.tasks import buffers, groups_of, rows_of, small_batches, staged, utf8, with_texts
 
 LENGTH = 100
 ANCHOR = 32
@@ -333,3 +333,31 @@ def dedup(docs: DataFrame) -> DataFrame:
         F.when(whole, 1).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, F.lit(empty)).otherwise(F.coalesce("sha", "sha256")).alias("kept_sha256"),
     )
+
+
+def remove(docs: DataFrame) -> DataFrame:
+    """The documents without repeated passages. A document that is all passage
+    goes; a character that is cut in two goes whole. ``n_chars``, if there is
+    such a column, follows the text."""
+    rows, ranges = removals(docs)
+    columns = docs.columns
+    copies = rows.where("whole").select(F.col("doc").alias("__doc"), F.col("key").alias("__key"))
+    copies = F.broadcast(copies.distinct()) if copies.count() <= MAX_BROADCAST else copies.distinct()
+    by_doc = ranges.groupBy("doc", "key").agg(F.collect_list(F.struct("begin", "end")).alias("__ranges"))
+    by_doc = by_doc.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), "__ranges")
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__doc")
+    named = docs.select("*", doc, F.xxhash64(F.coalesce(utf8(), F.lit(b""))).alias("__key"))
+    joined = named.join(copies, ["__doc", "__key"], "left_anti").join(by_doc, ["__doc", "__key"], "left").select(*columns, "__ranges")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keep = batch.column("text").to_pylist(), []
+            ranges = batch.column("__ranges").to_pylist()
+            for i, own in enumerate(ranges):
+                if own:
+                    left, _ = _cut(texts[i].encode(), *(np.array([r[c] for r in own], np.int64) for c in ("begin", "end")))
+                    texts[i] = left.decode("utf-8", "ignore")
+                keep.append(not own or bool(texts[i].strip()))
+            yield with_texts(batch, columns, texts, [bool(own) for own in ranges]).filter(pa.array(keep, pa.bool_()))
+
+    return joined.mapInArrow(run, docs.schema)

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +63,17 @@ def rows_of(batch: pa.RecordBatch, max_bytes: int, column: str) -> Iterator[pa.R
         yield batch.slice(start)
 
 
+def with_texts(batch: pa.RecordBatch, columns: Sequence[str], texts: list, changed: list[bool]) -> pa.RecordBatch:
+    """The batch's ``columns`` with other texts; ``n_chars``, if it is among
+    them, follows the texts that changed."""
+    arrays = {c: batch.column(c) for c in columns}
+    arrays["text"] = pa.array(texts, batch.column("text").type)
+    if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
+        lengths = pa.array([len(t) if new and t is not None else None for t, new in zip(texts, changed)], pa.int64())
+        arrays["n_chars"] = pc.coalesce(lengths, arrays["n_chars"].cast(pa.int64())).cast(arrays["n_chars"].type)
+    return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(columns))
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups of rows that come sorted by the keys, with the
     places where groups start (and the end)."""
