@@ -50,22 +50,22 @@ def text_words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def base_counts(text: Column, words: Column) -> dict[str, Column]:
-    """``word_chars``, ``n_symbols`` and ``n_dup_lines``."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    return {
-        "word_chars": F.length(F.translate(text, SPACES, "")),
-        "n_symbols": _without(text, SYMBOLS),
-        "_lines": lines,
-    }
+def lines_with_words(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
 
 
-def ordered_windows(hashes: Column) -> Column:
-    """The windows' hashes with their places, sorted, from the words' hashes."""
+def window_hashes(hashes: Column) -> Column:
+    """Hashes of all windows of ``WINDOW`` words, from the words' hashes."""
     n = F.size(hashes)
     window = lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)])
-    keyed = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.struct(window(i).alias("h"), i.alias("i")))
-    return F.when(n >= WINDOW, F.array_sort(keyed)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
+    return F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), window)).otherwise(F.array().cast("array<bigint>"))
+
+
+def ordered_windows(windows: Column) -> Column:
+    """The windows' hashes with their places, sorted; empty if all differ."""
+    keyed = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.array_sort(keyed)).otherwise(none)
 
 
 def repeated_places(ordered: Column) -> Column:
@@ -85,13 +85,21 @@ def covered_words(places: Column) -> Column:
     return F.aggregate(F.transform(places, step), F.lit(0), lambda a, x: a + x)
 
 
-def class_counts(text: Column) -> Column:
-    """Characters of the text by class, as an array of doubles."""
-    upper = F.length(F.regexp_replace(text, "[^\\p{Lu}]+", ""))
-    letters = F.length(F.regexp_replace(text, "[^\\p{L}]+", ""))
-    digits, marks, symbols, spaces = (_without(text, c) for c in (DIGITS, MARKS, SYMBOLS, SPACES))
-    other = F.length(text) - letters - digits - marks - symbols - spaces
-    parts = [upper, letters - upper, digits, marks, symbols, spaces, F.greatest(other, F.lit(0))]
+def without_small(text: Column) -> Column:
+    """The text without its small letters, which are most of it."""
+    return F.regexp_replace(text, "\\p{Ll}+", "")
+
+
+def without_letters(text: Column) -> Column:
+    return F.regexp_replace(text, "\\p{L}+", "")
+
+
+def class_counts(length: Column, no_small: Column, no_letters: Column) -> Column:
+    """Characters by class, as an array of doubles, from a text's length, the
+    text without small letters and the text without letters."""
+    rest = F.length(no_letters)
+    digits, marks, symbols, spaces = (_without(no_letters, c) for c in (DIGITS, MARKS, SYMBOLS, SPACES))
+    parts = [F.length(no_small) - rest, length - F.length(no_small), digits, marks, symbols, spaces, rest - digits - marks - symbols - spaces]
     return F.array(*[p.cast("double") for p in parts])
 
 
@@ -135,8 +143,9 @@ def references(docs: DataFrame) -> dict[str, Reference]:
     and the counts of its common words. Both are counted over all documents;
     what comes to the driver is at most a thousand languages' histograms."""
     told = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").alias("lang"), F.col("text").alias("text"))
-    counts = class_counts(F.col("text"))
-    per_doc = told.select("lang", counts.alias("c"))
+    per_doc = told.select("lang", F.length("text").alias("length"), without_small(F.col("text")).alias("small"))
+    per_doc = per_doc.withColumn("rest", without_letters(F.col("small")))
+    per_doc = per_doc.select("lang", class_counts(F.col("length"), F.col("small"), F.col("rest")).alias("c"))
     sums = per_doc.groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(CLASSES)])
     total = told.count()
     classes = {r["lang"]: [float(r[f"c{i}"]) for i in range(CLASSES)] for r in sums.where(F.col("n") >= MIN_SHARE * total).collect()}
@@ -171,19 +180,21 @@ def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFra
     words = text_words(F.col("text"))
     # Words in lower case that some language has as a common word, " w  w ".
     shared = F.filter(F.transform("_words", F.lower), lambda w: w.isin(common) if common else F.lit(False))
-    rows = rows.withColumns({"_words": words, **base_counts(F.col("text"), words), "_classes": class_counts(F.col("text"))})
+    rows = rows.withColumns({"_words": words, "_lines": lines_with_words(F.col("text")), "_small": without_small(F.col("text"))})
+    rows = rows.withColumn("_rest", without_letters(F.col("_small")))
     rows = rows.select(
         "doc_id",
         F.size("_words").cast("long").alias("n_words"),
-        F.col("word_chars").cast("long").alias("word_chars"),
-        F.col("n_symbols").cast("long").alias("n_symbols"),
+        (F.length("text") - _without(F.col("_rest"), SPACES)).cast("long").alias("word_chars"),
+        _without(F.col("_rest"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
         F.concat(F.lit(" "), F.array_join(shared, "  "), F.lit(" ")).alias("_shared"),
-        "_classes",
+        class_counts(F.length("text"), F.col("_small"), F.col("_rest")).alias("_classes"),
         F.length("text").alias("_chars"),
     )
-    rows = rows.withColumn("_ordered", ordered_windows(F.col("_hashes"))).drop("_hashes")
+    rows = rows.withColumn("_windows", window_hashes(F.col("_hashes"))).drop("_hashes")
+    rows = rows.withColumn("_ordered", ordered_windows(F.col("_windows"))).drop("_windows")
     rows = rows.withColumn("_places", repeated_places(F.col("_ordered"))).drop("_ordered")
     rows = rows.withColumn("n_repeat_words", covered_words(F.col("_places")).cast("long")).drop("_places")
     langs = list(known.values())
