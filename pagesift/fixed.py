@@ -47,7 +47,8 @@ ERROR_BODY = "ERROR"
 # Patterns over URLs and text.
 STRICT_SITE = r"(http[:s/]+[a-z.]+/)"
 SITE = r"(http[:s/]+[^/]+/)"
-NON_HAN = r"[^一-鿋]+"
+HAN = "\u4e00-\u9fcb"
+NON_HAN = f"[^{HAN}]+"
 TAG = r"<.*?>"
 
 # Labels and the codes that stand in for a probability.
@@ -61,13 +62,21 @@ NO_ANSWER_CHILD = -4.0
 SCORER_FAILED = -255.0
 ALGO_VERSION = "algo_basic"
 
+# Tables of the daily runs.
+KEYWORDS, HASHES, EXACT = "simhash_seg", "simhash_hash", "simhash_same"
+NEAR, REPORT = "simhash_distance_1", "simhash_dup_threshold_10"
+EXACT_MEMBERS, NEAR_MEMBERS = "simhash_same_members", "simhash_distance_1_members"
+EXTRACTED, TITLE_WORDS, CONTENT_WORDS = "fid_title_content", "title_seg", "content_seg"
+TITLE_PARENT, TITLE_CHILD = "title_pcat", "title_ccat"
+CONTENT_PARENT, CONTENT_CHILD = "content_pcat", "content_ccat"
+UNION, ASSEMBLED, PUBLISHED = "union_cat", "union_data", "etl"
+
 # Thresholds.
 TITLE_ONLY_PROB = 0.5
 SURE_PROB = 0.8
 DUPLICATE_THRESHOLD = 10
 MEMBERS_PER_STRING = 50000
 DEBUG_ROWS = 1000
-DEBUG_ROWS_NEAR = 10000
 
 # 64-bit FNV-1a.
 FNV_OFFSET_BASIS = 0xCBF29CE484222325

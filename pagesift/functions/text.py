@@ -9,8 +9,8 @@ from pagesift import fixed
 
 # Java's trim drops every character up to U+0020, Spark's only spaces.
 _UP_TO_SPACE = "".join(chr(code) for code in range(0x21))
-_HAN = r"[一-鿋]"
-_RUNS = r"[一-鿋]+|[\p{L}\p{N}&&[^一-鿋]]+"
+_HAN = f"[{fixed.HAN}]"
+_RUNS = rf"[{fixed.HAN}]+|[\p{{L}}\p{{N}}&&[^{fixed.HAN}]]+"
 
 
 def java_trim(text: Column) -> Column:

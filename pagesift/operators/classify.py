@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +23,7 @@ from pagesift.session import stage
 
 # Labels whose probabilities agree to this many places are ordered by name.
 TIE_PLACES = 6
-# Labels of all models together; they are part of the plan.
-MAX_LABELS = 10_000
+_ROW = "_row"
 
 
 @dataclass(frozen=True)
@@ -32,13 +31,24 @@ class TopicModel:
     """Weights with one row per token, ready to be joined to tokens.
 
     ``weights``: model, token and one column ``w{i}`` per label slot.
-    ``heads``: per model its (label, bias) pairs by slot, part of the plan.
+    ``heads``: per model the array of its (label, bias) pairs by slot.
     """
 
     weights: DataFrame
-    heads: dict[str, list[tuple[str, float]]]
+    heads: DataFrame
     slots: int
     small: bool
+    small_heads: bool
+
+
+@dataclass(frozen=True)
+class Plugin:
+    """A user's own Python model: ``load()`` makes it, ``score(model, words)``,
+    or ``score(model, words, parent)`` for children, gives a label with its
+    probability, or None for no answer."""
+
+    load: Callable[[], object]
+    score: Callable[..., tuple[str, float] | None]
 
 
 def topic_model(model: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> TopicModel:
@@ -53,20 +63,13 @@ def topic_model(model: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS)
     model = model.withColumn("label", F.replace("label", F.lit(fixed.LABEL_PREFIX), F.lit("")))
     bias = F.max(F.when(F.col("token") == "", F.col("weight")))
     labels = model.groupBy("model", "label").agg(F.coalesce(bias, F.lit(0.0)).alias("bias"))
-    # As many rows as there are topics; a table with more is no label table.
-    rows = labels.orderBy("model", "label").limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels")
-    heads: dict[str, list[tuple[str, float]]] = {}
-    slotted = []
-    for row in rows:
-        head = heads.setdefault(row.model, [])
-        slotted.append((row.model, row.label, len(head)))
-        head.append((row.label, row.bias))
-    slots = max((len(head) for head in heads.values()), default=1)
-
-    slot_of = model.sparkSession.createDataFrame(slotted, "model string, label string, slot int")
-    with_slot = model.where(F.col("token") != "").join(F.broadcast(slot_of), ["model", "label"])
+    # One row per model; its labels are slots in the order of their names.
+    head = F.array_sort(F.collect_list(F.struct("label", "bias")))
+    heads = stage(labels.groupBy("model").agg(head.alias("head")), "heads")
+    small_heads = max_broadcast_rows > 0 and fits(heads, max_broadcast_rows)
+    slots = heads.agg(F.max(F.size("head"))).first()[0] or 1
+    slot_of = heads.select("model", F.posexplode("head").alias("slot", "_h")).select("model", F.col("_h.label").alias("label"), "slot")
+    with_slot = model.where(F.col("token") != "").join(F.broadcast(slot_of) if small_heads else slot_of, ["model", "label"])
     weights = stage(
         with_slot.groupBy("model", "token")
         .agg(*[F.sum(F.when(F.col("slot") == i, F.col("weight")).otherwise(0.0)).alias(f"w{i}") for i in range(slots)]),
@@ -74,20 +77,15 @@ def topic_model(model: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS)
     )
     # Wide rows count by their weights, so the bound is one of bytes.
     small = max_broadcast_rows > 0 and fits(weights, max(1, max_broadcast_rows // max(1, slots // 8)))
-    return TopicModel(weights, heads, slots, small)
-
-
-def _head(model: TopicModel, key: Column | None) -> Column:
-    """The (label, bias) array of a row's model; null for a model that is not there."""
+    return TopicModel(weights, heads, slots, small, small_heads)
 
-    def literal(head: list[tuple[str, float]]) -> Column:
-        return F.array(*[F.struct(F.lit(l).alias("label"), F.lit(b).alias("bias")) for l, b in head])
 
-    if key is None:
-        root = model.heads.get(fixed.ROOT_MODEL)
-        return literal(root) if root else F.lit(None).cast("array<struct<label:string,bias:double>>")
-    pairs = [part for name, head in model.heads.items() for part in (F.lit(name), literal(head))]
-    return F.try_element_at(F.create_map(*pairs), key)
+def _root_head(model: TopicModel) -> Column:
+    """The (label, bias) array of the one model that all texts share."""
+    root = model.heads.where(F.col("model") == fixed.ROOT_MODEL).first()
+    if root is None:
+        return F.lit(None).cast("array<struct<label:string,bias:double>>")
+    return F.array(*[F.struct(F.lit(h.label).alias("label"), F.lit(h.bias).alias("bias")) for h in root["head"]])
 
 
 def _best_label(head: Column, slots: int) -> Column:
@@ -122,14 +120,15 @@ def score_labels(
     ids: Sequence[str] = ("fid",),
     tokens: str = "tokens",
     key: str | None = None,
+    keep_row: bool = False,
 ) -> DataFrame:
     """Best label of each text: ``(ids, [key], label, prob)``.
 
     ``tokens`` is an array of words or a string of words parted by spaces. All
     texts use the root model, or with ``key`` the model named in that column.
     Blank texts get (unknown, -1); texts without a known token (unknown, -3) for
-    the root model and (<model>_other, -4) for others. ``ids`` must tell the
-    rows apart. With a broadcast model the tokens of a text never leave their
+    the root model and (<model>_other, -4) for others. Rows that share their ids
+    but not their tokens are kept apart, and equal rows give one. With a broadcast model the tokens of a text never leave their
     task: what is shuffled is one row of sums per text, and not even that if
     ``df`` is already partitioned by ``ids``.
     """
@@ -138,14 +137,20 @@ def score_labels(
     if isinstance(df.schema[tokens].dataType, T.StringType):
         words = F.filter(F.split(words, r"[\x00-\x20]+"), lambda w: w != "")
     which = F.col(key) if key else F.lit(fixed.ROOT_MODEL)
-    rows = token_rows(df, [*ids, which.alias("model")], words)
+    keys = [*ids, _ROW]
+    df = df if _ROW in df.columns else df.withColumn(_ROW, F.xxhash64(tokens))
+    rows = token_rows(df, [*keys, which.alias("model")], words)
     found = lookup_join(rows, model.weights, ["model", "token"], [*ids, "token"], model.small)
-    sums = found.groupBy(*ids, "model").agg(
+    sums = found.groupBy(*keys, "model").agg(
         F.count("token").alias("_tokens"),
         F.count("w0").alias("_known"),
         *[F.sum(f"w{i}").alias(f"m{i}") for i in range(model.slots)],
     )
-    head = _head(model, F.col("model") if key else None)
+    if key:
+        sums = sums.join(F.broadcast(model.heads) if model.small_heads else model.heads, "model", "left")
+        head = F.col("head")
+    else:
+        head = _root_head(model)
     blank = F.col("_tokens") == 0
     unknown = (F.col("_known") == 0) | head.isNull()
     best = _best_label(head, model.slots)
@@ -166,7 +171,8 @@ def score_labels(
         .otherwise(let(best, lambda b: answer(b["label"], b["p"])))
     )
     named_key = [F.col("model").alias(key)] if key else []
-    return sums.select(*ids, *named_key, chosen.alias("_a")).select(*ids, *([key] if key else []), "_a.label", "_a.prob")
+    shown = keys if keep_row else ids
+    return sums.select(*shown, *named_key, chosen.alias("_a")).select(*shown, *([key] if key else []), "_a.label", "_a.prob")
 
 
 def score_label_only(
@@ -179,52 +185,72 @@ def score_label_only(
 def score_with(
     df: DataFrame,
     load: Callable[[], object],
-    score: Callable[[object, str], tuple[str, float]],
-    id_column: str = "fid",
+    score: Callable[..., tuple[str, float] | None],
+    ids: Sequence[str] = ("fid",),
     words: str = "words",
+    parent: str | None = None,
 ) -> DataFrame:
-    """Score texts with a user's own Python model: ``(id, words, label, prob)``.
+    """Score texts with a user's own Python model: ``(ids, words, [parent], label, prob)``.
 
-    The model is loaded once per partition. A text on which ``score`` fails gets
-    (unknown, -255) and the job goes on.
+    The model is loaded once per partition. A null or blank text gets (unknown,
+    -1) without being shown to it; no answer gives (unknown, -3), or with a
+    ``parent`` column (<parent>_other, -4); a text on which ``score`` fails gets
+    (unknown, -255), and the job goes on.
     """
     failed = (fixed.UNKNOWN, fixed.SCORER_FAILED)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    blank = (fixed.UNKNOWN, fixed.BLANK_TEXT)
+
+    def answer(model: object, text: str | None, above: str | None) -> tuple[str, float]:
+        if text is None or not text.strip():
+            return blank
+        try:
+            found = score(model, text) if parent is None else score(model, text, above)
+            if found is not None:
+                return str(found[0]), float(found[1])
+        except Exception:
+            return failed
+        if parent is None:
+            return fixed.UNKNOWN, fixed.NO_ANSWER_ROOT
+        return f"{above}{fixed.OTHER_SUFFIX}", fixed.NO_ANSWER_CHILD
+
+    columns = [*ids, words, *([parent] if parent else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = None
         for batch in batches:
             if loaded is None:
                 loaded = (load(),)
-            answers = []
-            for text in batch[words]:
-                try:
-                    label, prob = score(loaded[0], text)
-                    answers.append((str(label), float(prob)))
-                except Exception:
-                    answers.append(failed)
-            yield batch.assign(label=[a[0] for a in answers], prob=[a[1] for a in answers])
-
-    id_type = df.schema[id_column].dataType.simpleString()
-    return df.select(id_column, words).mapInPandas(
-        run, f"`{id_column}` {id_type}, `{words}` string, label string, prob double"
-    )
+            above = batch.column(parent).to_pylist() if parent else [None] * batch.num_rows
+            made = [answer(loaded[0], text, p) for text, p in zip(batch.column(words).to_pylist(), above)]
+            labels, probs = ([a[k] for a in made] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(labels, pa.string()), pa.array(probs, pa.float64())], names=[*columns, "label", "prob"]
+            )
+
+    given = df.select(*columns)
+    schema = T.StructType([*given.schema.fields, T.StructField("label", T.StringType()), T.StructField("prob", T.DoubleType())])
+    return given.mapInArrow(run, schema)
 
 
 def parent_labels(
-    words: DataFrame, model: TopicModel, ids: Sequence[str] = ("fid",), column: str = "words"
+    words: DataFrame, model: TopicModel | Plugin, ids: Sequence[str] = ("fid",), column: str = "words"
 ) -> DataFrame:
     """``(ids, words, cat, prob)`` by the root model.
 
     Texts are spread by ``ids`` once; scoring and the join back both keep that.
+    A user's own model scores them where they are.
     """
-    spread = words.select(*ids, column).repartition(*ids)
-    scores = score_labels(spread, model, ids, column).withColumnRenamed("label", "cat")
-    return spread.join(scores, list(ids)).select(*ids, column, "cat", "prob")
+    if isinstance(model, Plugin):
+        scored = score_with(words, model.load, model.score, ids, column)
+        return scored.select(*ids, column, F.col("label").alias("cat"), "prob")
+    spread = words.select(*ids, column, F.xxhash64(column).alias(_ROW)).repartition(*ids, _ROW)
+    scores = score_labels(spread, model, ids, column, keep_row=True).withColumnRenamed("label", "cat")
+    return spread.join(scores, [*ids, _ROW]).select(*ids, column, "cat", "prob")
 
 
 def child_labels(
     parents: DataFrame,
-    models: TopicModel,
+    models: TopicModel | Plugin,
     listed: Sequence[str] = fixed.PARENT_TOPICS,
     ids: Sequence[str] = ("fid",),
     column: str = "words",
@@ -237,10 +263,14 @@ def child_labels(
     those labelled unknown among them, give no row.
     """
     chosen = parents.where(F.col("cat").isin(*listed)).select(*ids, column, F.col("cat").alias("_parent"))
-    scores = score_labels(chosen, models, ids, column, key="_parent").withColumnRenamed("label", "cat").drop("_parent")
+    if isinstance(models, Plugin):
+        scored = score_with(chosen, models.load, models.score, ids, column, "_parent")
+        return scored.select(*ids, *([column] if keep_words else []), F.col("label").alias("cat"), "prob")
+    chosen = chosen.withColumn(_ROW, F.xxhash64(column))
+    scores = score_labels(chosen, models, ids, column, key="_parent", keep_row=True).withColumnRenamed("label", "cat").drop("_parent")
     if not keep_words:
-        return scores
-    return chosen.drop("_parent").join(scores, list(ids)).select(*ids, column, "cat", "prob")
+        return scores.drop(_ROW)
+    return chosen.drop("_parent").join(scores, [*ids, _ROW]).select(*ids, column, "cat", "prob")
 
 
 def two_level_labels(
@@ -259,12 +289,12 @@ def two_level_labels(
     each text its parent's model, and child scores all keep that partitioning.
     """
     pcat, pprob, ccat, cprob = (f"{prefix}_{name}" for name in ("pcat", "pprob", "ccat", "cprob"))
-    spread = tokens.select(*ids, column).repartition(*ids)
-    above = score_labels(spread, parent, ids, column).select(
-        *ids, F.col("label").alias(pcat), F.col("prob").alias(pprob)
+    spread = tokens.select(*ids, column, F.xxhash64(column).alias(_ROW)).repartition(*ids, _ROW)
+    above = score_labels(spread, parent, ids, column, keep_row=True).select(
+        *ids, _ROW, F.col("label").alias(pcat), F.col("prob").alias(pprob)
     )
     below = F.when(F.col(pcat).isin(*listed), F.col(pcat))
-    named = spread.join(above, list(ids)).withColumn("_model", below)
+    named = spread.join(above, [*ids, _ROW]).withColumn("_model", below)
     # Words that no child model will see are not unrolled.
     named = named.withColumn(column, F.when(F.col("_model").isNotNull(), F.col(column)))
     scored = score_labels(named, children, [*ids, pcat, pprob], column, key="_model")

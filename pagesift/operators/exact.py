@@ -40,12 +40,11 @@ def members_csv(
 ) -> DataFrame:
     """``(by, leader, samelen, part, samefid)``: members as comma strings.
 
-    A group of up to ``per_string`` members is one string. A larger one is
-    spread by member over as many parts as keep each about half full, so
-    nothing is cut off and no task holds a whole large group.
+    A group is spread by a hash of the member over as many parts as keep each
+    about half full, so nothing is cut off and no task holds a whole large group.
     """
     parts = F.ceil(F.col("samelen") * 2 / per_string)
-    part = F.when(F.col("samelen") <= per_string, F.lit(0)).otherwise(F.pmod(F.xxhash64("fid"), parts))
+    part = F.conv(F.substring(F.md5(F.col("fid").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % parts
     return (
         members.withColumn("part", part.cast("int"))
         .groupBy(*by, "leader", "samelen", "part")

@@ -55,16 +55,10 @@ def near_pairs(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFra
     shared = filed.withColumn("_rows", F.count("*").over(bucket)).where(F.col("_rows") > 1)
 
     # Block b is the b-th from the top.
-    bits = [
-        F.struct(F.lit(b).alias("in_block"), F.lit(bit).alias("bit"))
-        for b in BLOCKS
-        for bit in range(64 - _BLOCK_BITS * (b + 1), 64 - _BLOCK_BITS * b)
-    ]
-    in_block = F.filter(F.array(*bits), lambda x: x["in_block"] == F.col("block"))
+    lowest = 64 - _BLOCK_BITS * (F.col("block") + 1)
+    in_block = F.sequence(lowest, lowest + _BLOCK_BITS - 1)
     powers = F.array(*[F.lit(signed64(1 << bit)).cast("bigint") for bit in range(64)])
-    keyed = shared.select(*by, "block", "masked", "fid", "hash", F.explode_outer(in_block).alias("x")).select(
-        *by, "block", "masked", "fid", "hash", F.col("x.bit").alias("bit")
-    )
+    keyed = shared.select(*by, "block", "masked", "fid", "hash", F.explode_outer(in_block).alias("bit"))
     cleared = F.col("hash").bitwiseAND(F.bitwise_not(powers[F.col("bit")]))
     row = F.struct("fid", "hash")
     pairs = (
@@ -130,7 +124,7 @@ def _merge_large(block: int):
             group_of: dict[int, int] = {}
             groups: list[list[int]] = []
             for i, h in enumerate(hashes.tolist()):
-                near = [group_of[h ^ f] for f in flips if h ^ f in group_of]
+                near = [group_of[x] for x in (h, *(h ^ f for f in flips)) if x in group_of]
                 if near:
                     groups[min(near)].append(i)
                 else:
@@ -163,16 +157,19 @@ def absorb_block(
         F.array_sort(F.collect_list(row)).alias("_rows")
     )
     rows, in_order = F.col("_rows"), F.col("_rows.hash")
-    is_large = F.size(rows) > small_bucket
-    merged = (
-        F.when(F.size(rows) == 1, F.array(F.array(F.lit(0))))
-        .when(is_large, _merge_large(block)(F.when(is_large, in_order)))
-        .otherwise(_merge_small(in_order, k))
+    # The two kinds are branches of their own over one shuffle, so that only
+    # large buckets go to Python workers.
+    is_large = F.size(rows) > max(small_bucket, 1)
+    single = F.array(F.array(F.lit(0)))
+    in_row = F.when(F.size(rows) == 1, single).otherwise(_merge_small(in_order, k))
+    parts = (
+        buckets.where(~is_large).withColumn("_merged", in_row),
+        buckets.where(is_large).withColumn("_merged", _merge_large(block)(in_order)),
     )
     # Never empty; the outer explode keeps Catalyst from merging a second time
     # for a non-empty filter.
-    taken = buckets.select(
-        *by, F.explode_outer(F.transform(merged, lambda g: F.transform(g, lambda i: F.get(rows, i)))).alias("_taken")
+    taken = parts[0].unionByName(parts[1]).select(
+        *by, F.explode_outer(F.transform("_merged", lambda g: F.transform(g, lambda i: F.get(rows, i)))).alias("_taken")
     )
     size = F.aggregate("_taken", F.lit(0).cast("bigint"), lambda total, r: total - r["neg"])
     return taken.select(

@@ -48,8 +48,7 @@ def keyword_rows(
     """One row per kept token: ``(ids, pos, token)``; dropped texts have no row.
 
     A word is kept if the lexicon gives it a nature starting with ``nature``
-    and it has at least ``min_len`` characters. A bag of words (the similarity
-    hash) should use this form, which moves no text between executors.
+    and it has at least ``min_len`` characters. No text moves between executors.
     """
     wanted = (
         lexicon.where(F.col("nature").startswith(nature))

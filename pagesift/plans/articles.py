@@ -7,13 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from pagesift import fixed
+from pagesift.fixed import ASSEMBLED, PUBLISHED
 from pagesift.operators.assemble import assemble_articles
 from pagesift.operators.decide import final_label, with_site_rules
 from pagesift.operators.filters import Rules, drop_unusable
-from pagesift.schemas import ARTICLES, FINAL, conform
 from pagesift.sources.tables import DAY, StageStore, keep_sources
 
-ASSEMBLED, PUBLISHED = "union_data", "etl"
 _IDS = (DAY, "fid")
 
 
@@ -36,7 +35,7 @@ def run_articles(
 ) -> DataFrame:
     """Write the assembled and the published table; returns the latter."""
     assembled = assemble_articles(keep_sources(crawl, sources), hashes, labels, rules, _IDS)
-    store.write(ASSEMBLED, conform(assembled, ARTICLES, DAY), rebalance=True)
+    store.write(ASSEMBLED, assembled, start, end, rebalance=True)
     final = publish(store.read(ASSEMBLED, start, end), rules, mode)
-    store.write(PUBLISHED, conform(final, FINAL, DAY), rebalance=True)
+    store.write(PUBLISHED, final, start, end, rebalance=True)
     return store.read(PUBLISHED, start, end)

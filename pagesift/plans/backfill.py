@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from datetime import date
 
 from pagesift import fixed
-from pagesift.operators.classify import TopicModel
+from pagesift.operators.classify import Plugin, TopicModel
 from pagesift.operators.filters import Rules
 from pagesift.plans.articles import run_articles
-from pagesift.plans.duplicates import HASHES, run_duplicates
-from pagesift.plans.labels import UNION, run_labels
+from pagesift.fixed import HASHES, UNION
+from pagesift.plans.duplicates import run_duplicates
+from pagesift.plans.labels import run_labels
 from pagesift.sources.tables import StageStore, read_crawl
 
 STEPS = ("duplicates", "labels")
@@ -21,8 +22,8 @@ def run_range(
     crawl_path: str,
     start: str,
     end: str | None,
-    parent: TopicModel,
-    children: TopicModel,
+    parent: TopicModel | Plugin,
+    children: TopicModel | Plugin,
     *,
     rules: Rules = Rules(),
     sources: Sequence[str] = fixed.SOURCES,

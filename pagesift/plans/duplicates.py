@@ -11,21 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift import fixed
+from pagesift.fixed import EXACT, EXACT_MEMBERS, HASHES, KEYWORDS, NEAR, NEAR_MEMBERS, REPORT
 from pagesift.functions.hashing import xxh64
 from pagesift.operators.assemble import dup_report
 from pagesift.operators.exact import exact_groups, exact_members, members_csv
 from pagesift.operators.filters import Rules
 from pagesift.operators.lookup import fits
-from pagesift.operators.near import BLOCKS, absorb_block
+from pagesift.operators.near import BLOCKS, absorb_block, near_members
 from pagesift.operators.simhash import simhash64
 from pagesift.operators.words import keywords, script_tokens
-from pagesift.schemas import DUP_REPORT, EXACT_GROUPS, HASH, MEMBER_STRINGS, NEAR_GROUPS, WORDS, conform
 from pagesift.sources.tables import DAY, StageStore, keep_sources
 
-KEYWORDS, HASHES, EXACT, NEAR, REPORT = (
-    "simhash_seg", "simhash_hash", "simhash_same", "simhash_distance_1", "simhash_dup_threshold_10",
-)
-EXACT_MEMBERS = "simhash_same_members"
 _IDS = (DAY, "fid")
 
 
@@ -51,25 +47,28 @@ def run_duplicates(
     wanted = keep_sources(crawl, sources)
     tokens = keywords(script_tokens(wanted, _IDS, drop_script), lexicon, _IDS)
     words = tokens.select(*_IDS, F.concat_ws(",", "tokens").alias("words"))
-    store.write(KEYWORDS, conform(words, WORDS, DAY))
+    store.write(KEYWORDS, words, start, end)
 
     stored = store.read(KEYWORDS, start, end)
     bags = stored.select(*_IDS, F.filter(F.split("words", ","), lambda w: w != "").alias("tokens"))
-    store.write(HASHES, conform(simhash64(bags, _IDS, token_hash=token_hash), HASH, DAY), rebalance=True)
+    store.write(HASHES, simhash64(bags, _IDS, token_hash=token_hash), start, end, rebalance=True)
 
     hashes = store.read(HASHES, start, end)
-    store.write(EXACT, conform(exact_groups(hashes, (DAY,)), EXACT_GROUPS, DAY), rebalance=True)
+    store.write(EXACT, exact_groups(hashes, (DAY,)), start, end, rebalance=True)
     members = exact_members(hashes, store.read(EXACT, start, end), (DAY,))
-    store.write(EXACT_MEMBERS, conform(members_csv(members, (DAY,)), MEMBER_STRINGS, DAY))
+    store.write(EXACT_MEMBERS, members_csv(members, (DAY,)), start, end)
 
     latest = EXACT
     for block in BLOCKS:
         merged = absorb_block(store.read(latest, start, end), block, by=(DAY,))
         latest = f"{NEAR}_{block}"
-        store.write(latest, conform(merged, NEAR_GROUPS, DAY), rebalance=True)
+        store.write(latest, merged, start, end, rebalance=True)
+    passes = [store.read(f"{NEAR}_{block}", start, end) for block in BLOCKS]
+    texts = near_members(hashes, store.read(EXACT, start, end), passes, (DAY,))
+    store.write(NEAR_MEMBERS, members_csv(texts, (DAY,)), start, end)
 
     # Only the leaders at or over the threshold are joined: count them first.
     leaders = store.read(latest, start, end).where(F.col("samelen") >= threshold)
     report = dup_report(leaders, crawl, rules, threshold, _IDS, small=fits(leaders))
-    store.write(REPORT, conform(report, DUP_REPORT, DAY))
+    store.write(REPORT, report, start, end)
     return store.read(REPORT, start, end)

@@ -8,16 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift import fixed
+from pagesift.fixed import (
+    CONTENT_CHILD, CONTENT_PARENT, CONTENT_WORDS, EXTRACTED, TITLE_CHILD, TITLE_PARENT, TITLE_WORDS, UNION,
+)
 from pagesift.operators.assemble import assemble_labels
-from pagesift.operators.classify import TopicModel, child_labels, parent_labels, two_level_labels
+from pagesift.operators.classify import Plugin, TopicModel, child_labels, parent_labels, two_level_labels
 from pagesift.operators.words import title_content_tokens
-from pagesift.schemas import EXTRACT, LABELS, UNION_LABELS, WORDS, conform
 from pagesift.sources.tables import DAY, StageStore, keep_sources
 
-EXTRACTED, TITLE_WORDS, CONTENT_WORDS = "fid_title_content", "title_seg", "content_seg"
-TITLE_PARENT, TITLE_CHILD = "title_pcat", "title_ccat"
-CONTENT_PARENT, CONTENT_CHILD = "content_pcat", "content_ccat"
-UNION = "union_cat"
 _IDS = (DAY, "fid")
 
 
@@ -38,8 +36,8 @@ def label_articles(
 def run_labels(
     store: StageStore,
     crawl: DataFrame,
-    parent: TopicModel,
-    children: TopicModel,
+    parent: TopicModel | Plugin,
+    children: TopicModel | Plugin,
     start: str,
     end: str | None = None,
     *,
@@ -47,23 +45,23 @@ def run_labels(
     sources: Sequence[str] = fixed.SOURCES,
 ) -> DataFrame:
     """Write every table of the run for the days of ``crawl``; returns the union."""
-    store.write(EXTRACTED, conform(keep_sources(crawl, sources), EXTRACT, DAY))
+    store.write(EXTRACTED, keep_sources(crawl, sources), start, end)
     tokens = title_content_tokens(store.read(EXTRACTED, start, end), _IDS)
     for name, column in ((TITLE_WORDS, "title_tokens"), (CONTENT_WORDS, "content_tokens")):
-        store.write(name, conform(tokens.select(*_IDS, F.concat_ws(" ", column).alias("words")), WORDS, DAY))
+        store.write(name, tokens.select(*_IDS, F.concat_ws(" ", column).alias("words")), start, end)
 
     for words, parents, childs in (
         (TITLE_WORDS, TITLE_PARENT, TITLE_CHILD),
         (CONTENT_WORDS, CONTENT_PARENT, CONTENT_CHILD),
     ):
         labelled = parent_labels(store.read(words, start, end), parent, _IDS)
-        store.write(parents, conform(labelled, LABELS, DAY))
+        store.write(parents, labelled, start, end)
         below = child_labels(store.read(parents, start, end), children, listed, _IDS)
-        store.write(childs, conform(below, LABELS, DAY))
+        store.write(childs, below, start, end)
 
     sides = [
         store.read(name, start, end, [*_IDS, "cat", "prob"])
         for name in (TITLE_PARENT, TITLE_CHILD, CONTENT_PARENT, CONTENT_CHILD)
     ]
-    store.write(UNION, conform(assemble_labels(*sides, ids=_IDS), UNION_LABELS, DAY), rebalance=True)
+    store.write(UNION, assemble_labels(*sides, ids=_IDS), start, end, rebalance=True)
     return store.read(UNION, start, end)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from pagesift import fixed
+
 
 def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
@@ -40,8 +42,23 @@ FINAL = _schema(
     algo_ver=_STR, fid=_LONG, ftitle=_STR, cat=_STR, src_type=_STR, furl=_STR,
     title_pcat=_STR, title_pprob=_DBL, content_pcat=_STR, content_pprob=_DBL,
 )
-MODEL = _schema(model=_STR, token=_STR, label=_STR, weight=_DBL)
-LEXICON = _schema(word=_STR, nature=_STR)
+# Of the tables of the daily runs, by name.
+STAGES = {
+    fixed.KEYWORDS: WORDS,
+    fixed.HASHES: HASH,
+    fixed.EXACT: EXACT_GROUPS,
+    fixed.EXACT_MEMBERS: MEMBER_STRINGS,
+    **{f"{fixed.NEAR}_{block}": NEAR_GROUPS for block in range(len(fixed.BLOCK_MASKS))},
+    fixed.NEAR_MEMBERS: MEMBER_STRINGS,
+    fixed.REPORT: DUP_REPORT,
+    fixed.EXTRACTED: EXTRACT,
+    fixed.TITLE_WORDS: WORDS,
+    fixed.CONTENT_WORDS: WORDS,
+    **{name: LABELS for name in (fixed.TITLE_PARENT, fixed.TITLE_CHILD, fixed.CONTENT_PARENT, fixed.CONTENT_CHILD)},
+    fixed.UNION: UNION_LABELS,
+    fixed.ASSEMBLED: ARTICLES,
+    fixed.PUBLISHED: FINAL,
+}
 
 
 def conform(df: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:

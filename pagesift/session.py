@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_own_dirs: dict[str, str] = {}
+WAREHOUSE_CONF = "spark.sql.warehouse.dir"
 
 
 def get_spark(app: str = "pagesift", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. A local session that has
-    none gets a temporary folder; a cluster session without one is an error,
+    none uses its warehouse folder; a cluster session without one is an error,
     since a machine-local folder would lose data with its machine.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
@@ -39,17 +38,28 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    # The setting is fixed once a session runs, so the folder is kept here.
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = tempfile.mkdtemp(prefix="pagesift-")
-    return _own_dirs[app]
+    return spark.conf.get(WAREHOUSE_CONF).rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path; all of a session's lie in one folder, named by its
-    application id, which can be removed when the session has ended."""
-    return f"{shared_dir(spark)}/pagesift/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
+    application id, which ``clear_stages`` removes."""
+    return f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/pagesift/{spark.sparkContext.applicationId}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is, if it is there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove the session's staged tables, once no result reads them any more."""
+    remove(spark, _own_dir(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rule files are configuration that becomes part of the plan. One beyond this
-# size is a mistake and stops the job; it is never cut.
-MAX_RULES = 20000
-
 _SPACE_ENDS = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
@@ -45,20 +41,17 @@ def parse_label_rules(lines: DataFrame) -> DataFrame:
 def load_label_rules(spark: SparkSession, path: str) -> DataFrame:
     """Label rules of one text file; its lines are numbered in file order."""
     whole = spark.read.text(path, wholetext=True)
+    if whole.count() > 1:
+        raise ValueError("several files have no order in which a last line wins")
     lines = whole.select(F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line_no", "value"))
     return parse_label_rules(lines)
 
 
 def patterns(rules: DataFrame, column: str = "pattern") -> list[str]:
-    """Rules as a list for the plan, refusing a table that is not configuration."""
-    rows = rules.select(column).orderBy(column).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    return [row[0] for row in rows]
+    """Rules as a list for the plan: a site's configuration. A list too long
+    for that stays a table, see ``operators.filters.not_listed``."""
+    return [row[0] for row in rules.select(column).orderBy(column).collect()]
 
 
 def label_pairs(rules: DataFrame) -> list[tuple[str, str]]:
-    rows = rules.select("host", "label").orderBy("host").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    return [(row.host, row.label) for row in rows]
+    return [(row.host, row.label) for row in rules.select("host", "label").orderBy("host").collect()]

@@ -4,25 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesift import fixed, schemas
+from pagesift.session import remove
 
 DAY = "stat_date"
 
 
 def read_days(
-    spark: SparkSession, path: str, start: str, end: str | None = None, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    start: str,
+    end: str | None = None,
+    columns: Sequence[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """One day, or ``start <= day < end``; the predicate prunes partitions."""
-    found = spark.read.parquet(path).schema
+    """One day, or ``start <= day < end``; the predicate prunes partitions.
+
+    With a ``schema`` (without the day) no file is opened to infer one, and a
+    table without files is an empty one.
+    """
+    fields = (schema or spark.read.parquet(path).schema).fields
     # Day folders look like numbers; ask for the partition column as a string.
-    schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name == DAY else f.dataType) for f in found.fields]
-    )
-    table = spark.read.schema(schema).parquet(path)
+    day_last = [*(f for f in fields if f.name != DAY), T.StructField(DAY, T.StringType())]
+    table = spark.read.schema(T.StructType(day_last)).parquet(path)
     day = F.col(DAY)
     table = table.where(day == start) if end is None else table.where((day >= start) & (day < end))
     return table.select(*columns) if columns else table
@@ -30,7 +38,7 @@ def read_days(
 
 def read_crawl(spark: SparkSession, path: str, start: str, end: str | None = None) -> DataFrame:
     """Crawled articles of a day or a range of days."""
-    return read_days(spark, path, start, end, [*schemas.CRAWL.names, DAY])
+    return read_days(spark, path, start, end, [*schemas.CRAWL.names, DAY], schemas.CRAWL)
 
 
 def keep_sources(df: DataFrame, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
@@ -47,17 +55,22 @@ def debug_limit(df: DataFrame, n: int = fixed.DEBUG_ROWS, key: str = "fid") -> D
     return df.orderBy(key).limit(n)
 
 
-def write_days(df: DataFrame, path: str, day: str | None = None, rebalance: bool = False) -> None:
-    """Replace the partitions that ``df`` holds and leave all others alone.
+def write_days(
+    df: DataFrame, path: str, day: str | None = None, rebalance: bool = False, end: str | None = None
+) -> None:
+    """Replace the days that ``df`` holds and leave all others alone.
 
-    ``day`` names the one partition to write; without it ``df`` must have a
-    ``stat_date`` column. Rows are written by the tasks that have them, so
+    ``day`` names the one day to write, or with ``end`` the first of the days
+    (``end`` exclusive): then days of the range that have no row are emptied.
+    A table of several days must have a ``stat_date`` column. Rows are written by the tasks that have them, so
     text is not moved for the sake of files. ``rebalance`` is for narrow tables
     over many days: it gathers each day, and AQE splits a day that is larger
     than a file should be, so no day ends up in one task.
     """
-    if day is not None:
+    if day is not None and DAY not in df.columns:
         df = df.withColumn(DAY, F.lit(day))
+    written = Observation()
+    df = df.observe(written, F.collect_set(DAY).alias("days"))
     if rebalance:
         df = df.hint("rebalance", DAY)
     (
@@ -66,6 +79,12 @@ def write_days(df: DataFrame, path: str, day: str | None = None, rebalance: bool
         .partitionBy(DAY)
         .parquet(path)
     )
+    if day is not None:
+        spark, held = df.sparkSession, set(written.get["days"])
+        empty = T.StructType([T.StructField(DAY, T.StringType())])
+        for (old,) in read_days(spark, path, day, end, [DAY], empty).distinct().collect():  # days of the range
+            if old not in held:
+                remove(spark, f"{path}/{DAY}={old}")
 
 
 class StageStore:
@@ -78,8 +97,11 @@ class StageStore:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def write(self, name: str, df: DataFrame, day: str | None = None, rebalance: bool = False) -> None:
-        write_days(df, self.path(name), day, rebalance)
+    def write(self, name: str, df: DataFrame, start: str, end: str | None = None, rebalance: bool = False) -> None:
+        """Replace the day ``start``, or the days up to ``end``; the table's
+        columns are checked."""
+        rows = schemas.conform(df, schemas.STAGES[name], *([DAY] if DAY in df.columns else []))
+        write_days(rows, self.path(name), start, rebalance, end)
 
     def read(self, name: str, start: str, end: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-        return read_days(self.spark, self.path(name), start, end, columns)
+        return read_days(self.spark, self.path(name), start, end, columns, schemas.STAGES[name])

@@ -54,15 +54,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Use all cores on a table of fewer files than cores (a file of one row
-    group is one task); a table of many files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if len(df.inputFiles()) < cores else df
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

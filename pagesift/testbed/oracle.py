@@ -328,6 +328,19 @@ DAY_EXACT = [
 DAY_REPORT = [*DAY_EXACT, *_near("day_exact", "stat_date, "), *_report("pass3", "crawl", "stat_date, ")]
 
 
+ONE_DAY = [
+    CRAWL,
+    WANTED,
+    *HASHES,
+    "wanted_hashes AS (SELECT fid, hash FROM hashes SEMI JOIN wanted USING (fid))",
+    "exact AS (SELECT hash, min(fid) AS fid, count(*)::BIGINT AS samelen FROM wanted_hashes GROUP BY hash)",
+]
+
+
+def _part(fid: str, per_string: int) -> str:
+    return f"(('0x' || substr(md5({fid}::VARCHAR), 1, 8))::BIGINT % ceil(samelen * 2 / {per_string}.0)::BIGINT)::INT"
+
+
 def _day_counts(name: str, source: str) -> str:
     return f"SELECT '{name}' AS stage, stat_date, count(*) AS n, sum(fid)::BIGINT AS sum_fid FROM {source} GROUP BY ALL"
 
@@ -394,7 +407,7 @@ ORACLE: dict[str, str] = {
         "lexical AS (SELECT fid, token FROM content_words JOIN lexicon ON word = token "
         "WHERE starts_with(nature, 'n') AND length(token) >= 2)",
         *_hash_ctes(MD5_64, "lexical"),
-        select="SELECT fid, hash FROM hashes",
+        select="SELECT doc_id AS fid, coalesce(hash, 0) AS hash FROM documents LEFT JOIN hashes ON fid = doc_id",
     ),
     "exact_groups": _with(*EXACT, select="SELECT hash, fid, samelen FROM exact"),
     "exact_members": _with(
@@ -403,8 +416,8 @@ ORACLE: dict[str, str] = {
     ),
     "members_csv": _with(
         *EXACT,
-        select="SELECT e.fid AS leader, samelen, 0 AS part, string_agg(h.fid::VARCHAR, ',' ORDER BY h.fid) AS samefid "
-        "FROM hashes h JOIN exact e USING (hash) GROUP BY ALL",
+        select=f"SELECT e.fid AS leader, samelen, {_part('h.fid', 4)} AS part, "
+        "string_agg(h.fid::VARCHAR, ',' ORDER BY h.fid) AS samefid FROM hashes h JOIN exact e USING (hash) GROUP BY ALL",
     ),
     "mask_block": _with(
         *HASHES,
@@ -460,14 +473,23 @@ ORACLE: dict[str, str] = {
     "score_codes": _with(
         CRAWL,
         *CHILD_MODEL,
-        f"""long_words AS (
-  SELECT fid, model, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS token FROM (
-    SELECT fid, fkeywords AS model, list_filter({_tokens('ftitle')}, lambda w: length(w) >= 11) AS t FROM crawl))""",
-        *_score("long_words", "child", "scored"),
+        PARENT_TRAINING,
+        *_model("training", "parent"),
+        LEXICON,
+        f"""titles AS (SELECT fid, fkeywords, {_clean_tokens('ftitle')} AS t FROM crawl)""",
+        """asked AS (
+  SELECT fid, CASE fkeywords WHEN 'en' THEN 'de' WHEN 'de' THEN 'fr' WHEN 'fr' THEN 'none' ELSE 'all' END AS model, t FROM titles
+  UNION ALL
+  SELECT -1 - fid, 'all', list_filter(t, lambda w: length(w) >= 2 AND list_contains(v, w))
+  FROM titles, (SELECT list(word) AS v FROM lexicon WHERE starts_with(nature, 'v')))""",
+        "asked_words AS (SELECT fid, model, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS token FROM asked)",
+        *[f"both_{x} AS (SELECT * FROM parent_{x} UNION ALL SELECT * FROM child_{x})" for x in ("weight", "known", "bias")],
+        *_score("asked_words", "both", "scored"),
         select="SELECT fid, model, label, round(prob, 6) AS prob FROM scored",
     ),
-    "score_plugin": "SELECT doc_id AS fid, CASE WHEN length(text) < 400 THEN 'unknow' WHEN length(text) > 2000 "
-    "THEN 'long' ELSE 'short' END AS label, CASE WHEN length(text) < 400 THEN -255.0::DOUBLE "
+    "score_plugin": "SELECT doc_id AS fid, CASE WHEN doc_id % 50 < 2 OR length(text) < 400 OR length(text) > 5000 "
+    "THEN 'unknow' WHEN length(text) > 2000 THEN 'long' ELSE 'short' END AS label, CASE WHEN doc_id % 50 < 2 "
+    "THEN -1.0::DOUBLE WHEN length(text) < 400 THEN -255.0::DOUBLE WHEN length(text) > 5000 THEN -3.0::DOUBLE "
     "ELSE round(1.0::DOUBLE / length(text), 9) END AS prob FROM documents",
     "parent_labels": _with(
         *PARENT_MODEL,
@@ -507,6 +529,61 @@ ORACLE: dict[str, str] = {
         *DAY_REPORT,
         select="SELECT stat_date, fid, hash, samelen, furl, ftitle, fcontent_len, src_type FROM report",
     ),
+    "duplicate_run_none": _with(
+        *DAY_REPORT,
+        select="SELECT stat_date, fid, hash, samelen, furl, ftitle, fcontent_len, src_type FROM report WHERE samelen >= 10",
+    ),
+    "duplicate_run_day": _with(
+        *ONE_DAY, *_near(), *_report("pass3", "crawl"),
+        select=f"SELECT '{data.FIRST_DAY}' AS stat_date, fid, hash, samelen, furl, ftitle, fcontent_len, src_type FROM report",
+    ),
+    "run_near_members": _with(
+        *ONE_DAY, *_near(),
+        "led AS (SELECT fid AS leader, samelen, unnest(hashes) AS hash FROM pass3)",
+        select=f"SELECT leader, samelen, {_part('h.fid', fixed.MEMBERS_PER_STRING)} AS part, "
+        "string_agg(h.fid::VARCHAR, ',' ORDER BY h.fid) AS samefid FROM wanted_hashes h JOIN led USING (hash) GROUP BY ALL",
+    ),
+    "sink_empty_day": _with(
+        CRAWL,
+        select="SELECT stat_date, count(*) AS n, sum(fid)::BIGINT AS sum_fid FROM crawl "
+        "WHERE stat_date >= '20240111' OR (fid % 2 = 0 AND stat_date <> '20240105') GROUP BY ALL",
+    ),
+    "repeated_ids": _with(
+        CRAWL,
+        *PARENT_MODEL,
+        TITLE_WORDS,
+        # Second rows have ids of their own here.
+        """twice AS (
+  SELECT fid, token FROM content_words SEMI JOIN crawl USING (fid)
+  UNION ALL SELECT -1 - fid, token FROM title_words WHERE fid % 3 = 0)""",
+        *_hash_ctes(MD5_64, "twice"),
+        "twice_all AS (SELECT fid, 'all' AS model, token FROM twice)",
+        *_score("twice_all", "parent", "scored"),
+        select="SELECT CASE WHEN fid < 0 THEN -1 - fid ELSE fid END AS fid, value FROM "
+        "(SELECT fid, hash::VARCHAR AS value FROM hashes UNION ALL SELECT fid, label FROM scored)",
+    ),
+    "run_union_cat": _with(*UNION, WANTED, select=f"SELECT stat_date, fid, {_LABEL_COLUMNS} FROM union_cat JOIN wanted USING (fid)"),
+    "run_etl": _with(*_assembled("wanted"), *_published(USABLE), select=f"SELECT * FROM published {NOT_UNKNOWN}"),
+    "label_run_plugin": _with(
+        CRAWL,
+        WANTED,
+        *[
+            f"""{side} AS (
+  SELECT fid, stat_date, len(w), CASE WHEN w = '' THEN 'unknow' ELSE ['de', 'en', 'fr', 'es'][length(split_part(w, ' ', 1)) % 4 + 1] END AS pcat,
+    CASE WHEN w = '' THEN -1.0::DOUBLE ELSE 0.75::DOUBLE END AS pprob, w
+  FROM (SELECT fid, stat_date, array_to_string({_clean_tokens(column)}, ' ') AS w FROM wanted))"""
+            for side, column in (("title", "ftitle"), ("content", "fcontent"))
+        ],
+        select="SELECT t.stat_date, t.fid, "
+        + ", ".join(
+            f"{x}.pcat AS {side}_pcat, {x}.pprob AS {side}_pprob, CASE WHEN {x}.pcat = 'fr' THEN 'fr_other' "
+            f"WHEN {x}.pcat IN ({_list(data.LISTED)}) THEN {x}.pcat || CASE WHEN length({x}.w) > 1000 THEN '/long' ELSE '/short' END END "
+            f"AS {side}_ccat, CASE WHEN {x}.pcat = 'fr' THEN -4.0::DOUBLE WHEN {x}.pcat IN ({_list(data.LISTED)}) THEN 0.25::DOUBLE END "
+            f"AS {side}_cprob"
+            for x, side in (("t", "title"), ("c", "content"))
+        )
+        + " FROM title t JOIN content c USING (fid)",
+    ),
     "label_range": _with(
         *_assembled("wanted"),
         *_published(USABLE),

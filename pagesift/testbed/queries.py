@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagesift import fixed
 from pagesift.functions import hashing, text, urls
 from pagesift.operators import assemble, classify, decide, exact, filters, near, words
 from pagesift.operators import simhash as similarity
 from pagesift.operators.lookup import fits
-from pagesift.plans.articles import PUBLISHED, publish
+from pagesift.plans.articles import publish
 from pagesift.plans.backfill import run_range
-from pagesift.plans.duplicates import HASHES, REPORT, run_duplicates
-from pagesift.plans.labels import UNION, label_articles
+from pagesift.plans.duplicates import run_duplicates
+from pagesift.plans.labels import label_articles
 from pagesift.session import new_path, stage
 from pagesift.sources import rules as rule_files
 from pagesift.sources import tables
@@ -208,9 +209,8 @@ def simhash_fnv(spark, sf_dir):
 
 @query
 def simhash_keywords(spark, sf_dir):
-    """Hash of lexicon keywords without collecting them; texts with none are absent."""
-    rows = words.keyword_rows(data.content_words(spark, sf_dir), data.lexicon(spark, sf_dir))
-    return similarity.simhash_rows(rows, token_hash=hashing.md5_64)
+    """Hash of lexicon keywords without collecting them; 0 for texts with none."""
+    return similarity.simhash_keywords(data.content_words(spark, sf_dir), data.lexicon(spark, sf_dir), token_hash=hashing.md5_64)
 
 
 def _exact(spark, sf_dir):
@@ -231,7 +231,7 @@ def exact_members(spark, sf_dir):
 @query
 def members_csv(spark, sf_dir):
     hashes = stage(data.hashes(spark, sf_dir), "hashes")
-    return exact.members_csv(exact.exact_members(hashes, exact.exact_groups(hashes)))
+    return exact.members_csv(exact.exact_members(hashes, exact.exact_groups(hashes)), per_string=4)
 
 
 @query
@@ -324,26 +324,35 @@ def score_label_only(spark, sf_dir):
 
 @query
 def score_codes(spark, sf_dir):
-    """Long title words only, so that some texts are blank and some unknown."""
+    """Whole titles by the next language's child model, or one that is not there,
+    so that some texts are unknown; keywords of the titles, so that some are blank."""
     tokens, models = _words_and_models(spark, sf_dir)
-    long_words = F.filter("title_tokens", lambda w: F.length(w) >= 11)
-    rows = tokens.select("fid", F.col("lang").alias("model"), F.concat_ws(" ", long_words).alias("words"))
+    tokens = stage(tokens.select("fid", "lang", F.col("title_tokens").alias("tokens")), "titles")
+    kept = words.keywords(tokens.select("fid", "tokens"), data.lexicon(spark, sf_dir), nature="v")
+    model = F.when(F.col("lang") == "en", "de").when(F.col("lang") == "de", "fr").when(F.col("lang") == "fr", "none").otherwise("all")
+    titles = tokens.select("fid", model.alias("model"), F.concat_ws(" ", "tokens").alias("words"))
+    blanks = kept.select((-1 - F.col("fid")).alias("fid"), F.lit("all").alias("model"), F.concat_ws(" ", "tokens").alias("words"))
+    rows = titles.unionByName(blanks)
     return classify.score_labels(rows, models, tokens="words", key="model").select("fid", "model", "label", _prob())
 
 
 @query
 def score_plugin(spark, sf_dir):
-    """A user's model that fails on short texts."""
+    """A user's model that fails on short texts and has no answer to very long
+    ones; some texts are null, some blank."""
 
     def load():
-        return {"long": 2000, "failing": 400}
+        return {"long": 2000, "failing": 400, "too_long": 5000}
 
     def score(model, words):
         if len(words) < model["failing"]:
             raise ValueError("too short")
+        if len(words) > model["too_long"]:
+            return None
         return ("long" if len(words) > model["long"] else "short", 1.0 / len(words))
 
-    rows = data.documents(spark, sf_dir).select(F.col("doc_id").alias("fid"), F.col("text").alias("words"))
+    given = F.when(F.col("doc_id") % 50 == 0, None).when(F.col("doc_id") % 50 == 1, " \t").otherwise(F.col("text"))
+    rows = data.documents(spark, sf_dir).select(F.col("doc_id").alias("fid"), given.alias("words"))
     return classify.score_with(rows, load, score).select("fid", "label", F.round("prob", 9).alias("prob"))
 
 
@@ -387,7 +396,13 @@ def _rounded(df):
 
 @query
 def assemble_labels(spark, sf_dir):
-    return _rounded(_labels(spark, sf_dir))
+    """Four label tables, each scored by itself, brought together."""
+    tokens, models = _words_and_models(spark, sf_dir)
+    sides = []
+    for column in ("title_tokens", "content_tokens"):
+        parents = classify.parent_labels(tokens, models, column=column)
+        sides += [parents, classify.child_labels(parents, models, data.LISTED, column=column, keep_words=False)]
+    return _rounded(assemble.assemble_labels(*sides))
 
 
 def _assembled(spark, sf_dir):
@@ -436,49 +451,124 @@ def article_labels_run(spark, sf_dir):
 
 
 @query
-def duplicate_run(spark, sf_dir):
-    """All days through every table of the duplicate run; days do not mix."""
+def sink_empty_day(spark, sf_dir):
+    """Write all days, then the first ten again without their odd ids, and the
+    fifth without a row."""
+    path = new_path(spark, "sink")
+    rows = data.crawl(spark, sf_dir).select("fid", "src_type", DAY)
+    tables.write_days(rows, path, FIRST_DAY, rebalance=True, end=LAST_DAY_EXCLUSIVE)
+    again = rows.where((F.col(DAY) < "20240111") & (F.col("fid") % 2 == 0) & (F.col(DAY) != "20240105"))
+    tables.write_days(again, path, FIRST_DAY, rebalance=True, end="20240111")
+    back = tables.read_days(spark, path, FIRST_DAY, LAST_DAY_EXCLUSIVE)
+    return back.groupBy(DAY).agg(F.count("*").alias("n"), F.sum("fid").alias("sum_fid"))
+
+
+@query
+def repeated_ids(spark, sf_dir):
+    """The crawl with some articles given twice, the second time with the title
+    as the text: each row has its own hash and label."""
+    tokens, models = _words_and_models(spark, sf_dir)
+    first = tokens.select("fid", F.lit(0).alias("of"), F.col("content_tokens").alias("tokens"))
+    second = tokens.where(F.col("fid") % 3 == 0).select("fid", F.lit(1).alias("of"), F.col("title_tokens").alias("tokens"))
+    rows = first.unionByName(second).select("fid", "tokens")
+    hashes = similarity.simhash64(rows, token_hash=hashing.md5_64)
+    labels = classify.score_labels(rows, models)
+    return classify.union_labels(
+        hashes.select("fid", F.col("hash").cast("string").alias("value")), labels.select("fid", F.col("label").alias("value"))
+    )
+
+
+def _duplicates(spark, sf_dir, crawl, threshold):
     store = tables.StageStore(spark, new_path(spark, "store"))
-    return run_duplicates(
+    report = run_duplicates(
         store,
-        data.crawl(spark, sf_dir),
+        crawl,
         FIRST_DAY,
         LAST_DAY_EXCLUSIVE,
         rules=data.RULES,
         sources=data.SOURCES,
         drop_script=data.NOT_LETTERS,
-        threshold=2,
+        threshold=threshold,
         token_hash=hashing.md5_64,
-    ).select(DAY, "fid", "hash", "samelen", "furl", "ftitle", "fcontent_len", "src_type")
+    )
+    return store, report.select(DAY, "fid", "hash", "samelen", "furl", "ftitle", "fcontent_len", "src_type")
 
 
 @query
-def label_range(spark, sf_dir):
-    """Backfill of the month, then rows per day of its tables."""
+def duplicate_run(spark, sf_dir):
+    """All days through every table of the duplicate run; days do not mix."""
+    return _duplicates(spark, sf_dir, data.crawl(spark, sf_dir), 2)[1]
+
+
+@query
+def duplicate_run_none(spark, sf_dir):
+    """The default threshold, which no group of these days reaches."""
+    return _duplicates(spark, sf_dir, data.crawl(spark, sf_dir), fixed.DUPLICATE_THRESHOLD)[1]
+
+
+@query
+def duplicate_run_day(spark, sf_dir):
+    """Everything in one day."""
+    return _duplicates(spark, sf_dir, data.crawl(spark, sf_dir).withColumn(DAY, F.lit(FIRST_DAY)), 2)[1]
+
+
+@query
+def run_near_members(spark, sf_dir):
+    """The member strings of near groups that a run over one day wrote."""
+    store, _ = _duplicates(spark, sf_dir, data.crawl(spark, sf_dir).withColumn(DAY, F.lit(FIRST_DAY)), 2)
+    rows = store.read(fixed.NEAR_MEMBERS, FIRST_DAY, LAST_DAY_EXCLUSIVE)
+    return rows.select("leader", "samelen", "part", "samefid")
+
+
+def _ranged(spark, sf_dir, steps=("duplicates", "labels", "articles"), models=None):
+    """The backfill of the month."""
     crawl_path = new_path(spark, "crawl")
     tables.write_days(data.crawl(spark, sf_dir), crawl_path)
     store = tables.StageStore(spark, new_path(spark, "store"))
-    models = _words_and_models(spark, sf_dir)[1]
+    models = models or _words_and_models(spark, sf_dir)[1]
+    duplicates = dict(drop_script=data.NOT_LETTERS, threshold=2, token_hash=hashing.md5_64)
     run_range(
-        store,
-        crawl_path,
-        FIRST_DAY,
-        LAST_DAY_EXCLUSIVE,
-        models,
-        models,
-        rules=data.RULES,
-        sources=data.SOURCES,
-        listed=data.LISTED,
-        steps=("duplicates", "labels", "articles"),
-        drop_script=data.NOT_LETTERS,
-        threshold=2,
-        token_hash=hashing.md5_64,
-    )
+        store, crawl_path, FIRST_DAY, LAST_DAY_EXCLUSIVE, models, models,
+        rules=data.RULES, sources=data.SOURCES, listed=data.LISTED, steps=steps, **duplicates,
+    )
+    return store
+
+
+@query
+def label_range(spark, sf_dir):
+    """Rows per day of the backfill's tables."""
+    store = _ranged(spark, sf_dir)
     counts = [
         store.read(name, FIRST_DAY, LAST_DAY_EXCLUSIVE)
         .groupBy(DAY)
         .agg(F.count("*").alias("n"), F.sum("fid").alias("sum_fid"))
         .withColumn("stage", F.lit(name))
-        for name in (HASHES, REPORT, UNION, PUBLISHED)
+        for name in (fixed.HASHES, fixed.REPORT, fixed.UNION, fixed.PUBLISHED)
     ]
     return classify.union_labels(*counts)
+
+
+@query
+def run_union_cat(spark, sf_dir):
+    """The union of labels as the backfill stored it."""
+    return _rounded(_ranged(spark, sf_dir, ("labels",)).read(fixed.UNION, FIRST_DAY, LAST_DAY_EXCLUSIVE))
+
+
+@query
+def run_etl(spark, sf_dir):
+    """The published table as the backfill stored it."""
+    return _rounded(_ranged(spark, sf_dir).read(fixed.PUBLISHED, FIRST_DAY, LAST_DAY_EXCLUSIVE))
+
+
+@query
+def label_run_plugin(spark, sf_dir):
+    """The label run with a user's own model on both levels: the language of the
+    first word's length, then whether the parent's texts are long."""
+
+    def score(model, words, parent=None):
+        if parent is None:
+            return (model[len(words.split()[0]) % 4], 0.75)
+        return None if parent == "fr" else (f"{parent}/{'long' if len(words) > 1000 else 'short'}", 0.25)
+
+    plugin = classify.Plugin(lambda: ("de", "en", "fr", "es"), score)
+    return _ranged(spark, sf_dir, ("labels",), plugin).read(fixed.UNION, FIRST_DAY, LAST_DAY_EXCLUSIVE)

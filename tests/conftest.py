@@ -11,11 +11,12 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_spark(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
+           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

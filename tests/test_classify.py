@@ -96,8 +96,23 @@ def test_plugin_isolates_failures(texts):
         return ("sport" if model["sport"] in words else "other"), 0.5
 
     got = {r.fid: (r.label, r.prob) for r in classify.score_with(texts, load, score).collect()}
-    failed = (fixed.UNKNOWN, fixed.SCORER_FAILED)
-    assert got == {1: ("sport", 0.5), 2: ("sport", 0.5), 3: ("other", 0.5), 4: failed, 5: failed, 6: ("other", 0.5)}
+    failed, blank = (fixed.UNKNOWN, fixed.SCORER_FAILED), (fixed.UNKNOWN, fixed.BLANK_TEXT)
+    assert got == {1: ("sport", 0.5), 2: ("sport", 0.5), 3: blank, 4: blank, 5: failed, 6: blank}
+
+
+def test_plugin_without_an_answer(spark):
+    rows = spark.createDataFrame([("d", 1, "x", "sport"), ("d", 2, "y", "sport"), ("e", 2, None, "tech")], "day string, fid long, words string, cat string")
+    none = lambda model, words, parent=None: None if words == "x" else (f"{parent}!", 1.0)
+    got = classify.score_with(rows, dict, none, ("day", "fid")).collect()
+    assert [(r.day, r.fid, r.label, r.prob) for r in got] == [("d", 1, "unknow", -3.0), ("d", 2, "None!", 1.0), ("e", 2, "unknow", -1.0)]
+    kids = classify.child_labels(rows, classify.Plugin(dict, none), ["sport"], ("day", "fid")).collect()
+    assert [(r.day, r.fid, r.words, r.cat, r.prob) for r in kids] == [("d", 1, "x", "sport_other", -4.0), ("d", 2, "y", "sport!", 1.0)]
+
+
+def test_repeated_ids_are_rows_of_their_own(spark, model):
+    rows = spark.createDataFrame([(1, "ball goal"), (1, "chip"), (1, "chip")], "fid long, words string")
+    assert sorted(r.label for r in classify.score_labels(rows, model, tokens="words").collect()) == ["sport", "tech"]
+    assert sorted((r.words, r.cat) for r in classify.parent_labels(rows.distinct(), model).collect()) == [("ball goal", "sport"), ("chip", "tech")]
 
 
 def test_salted_lookup_of_a_hot_word(spark):

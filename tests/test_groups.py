@@ -92,6 +92,18 @@ def test_full_buckets_take_both_ways(spark):
     assert shown(whole) == shown(again)
 
 
+@pytest.mark.parametrize("small_bucket", [0, 512])
+def test_equal_hashes_merge_either_way(spark, small_bucket):
+    df = spark.createDataFrame([(1, 5, 3), (2, 5, 2), (3, 4, 1)], GROUP)
+    got = near.absorb_block(df, 3, small_bucket=small_bucket).collect()
+    assert [(r.fid, r.hash, r.samelen) for r in got] == [(1, 5, 6)]
+
+
+def test_only_large_buckets_go_to_python(spark):
+    plan = near.absorb_block(spark.createDataFrame([(1, 5, 3)], GROUP), 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Union" in plan
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_invariants(spark, seed):
     rows = random_rows(400, seed)

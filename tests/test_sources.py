@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pagesift import schemas, session
+from pagesift import fixed, schemas, session
+from pagesift.operators import decide, filters
 from pagesift.sources import rules, tables
 from pagesift.testbed import data
 
@@ -21,11 +22,47 @@ def test_label_rules(spark, tmp_path):
     assert got == [("a.com", "new"), ("b.com", "two"), ("e.com", "last")]
 
 
-def test_too_many_rules_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(rules, "MAX_RULES", 2)
-    df = spark.createDataFrame([("a",), ("b",), ("c",)], "pattern string")
+def test_label_rules_come_from_one_file(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.txt").write_text("x.com label")
     with pytest.raises(ValueError):
-        rules.patterns(df)
+        rules.load_label_rules(spark, str(tmp_path))
+
+
+def test_long_lists_stay_tables(spark):
+    urls = ["http://a.com/x", "http://bad.org/", None, "", "http://ok.de/bad.net"]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls * 3)], "fid long, furl string")
+    listed = spark.createDataFrame([("bad.",), ("nowhere",), ("a.com/x",)], "pattern string")
+    got = sorted(r.fid for r in filters.not_listed(rows, listed).collect())
+    assert got == [i for i, u in enumerate(urls * 3) if not any(p in (u or "") for p in ("bad.", "nowhere", "a.com/x"))]
+    assert filters.not_listed(rows, listed.where("pattern = 'x'")).count() == len(urls) * 3
+
+
+def test_rule_files_to_decision(spark, tmp_path):
+    (tmp_path / "useless.txt").write_text("bad.org\n\n")
+    (tmp_path / "labels.txt").write_text("a.com sport\n")
+    made = filters.Rules(
+        useless=rules.patterns(rules.load_rules(spark, str(tmp_path / "useless.txt"))),
+        label_rules=rules.label_pairs(rules.load_label_rules(spark, str(tmp_path / "labels.txt"))),
+    )
+    articles = spark.createDataFrame(
+        [(1, "http://a.com/", "t", "body"), (2, "http://bad.org/", "t", "body")], "fid long, furl string, ftitle string, fcontent string"
+    )
+    kept = decide.with_site_rules(filters.drop_unusable(articles, made), made).collect()
+    assert [(r.fid, r.site_label) for r in kept] == [(1, "sport")]
+
+
+def test_empty_tables_and_days(spark, tmp_path):
+    store = tables.StageStore(spark, str(tmp_path))
+    rows = spark.createDataFrame([(1, 5, "20240101"), (2, 6, "20240102"), (3, 7, "20240104")], "fid long, hash long, stat_date string")
+    store.write(fixed.HASHES, rows.where("fid < 0"), "20240101", "20240105")
+    assert store.read(fixed.HASHES, "20240101", "20240105").count() == 0
+    store.write(fixed.HASHES, rows, "20240101", "20240105")
+    # A day that is written again without a row is empty, days outside stay.
+    store.write(fixed.HASHES, rows.where("fid = 2"), "20240101", "20240104")
+    assert sorted(r.fid for r in store.read(fixed.HASHES, "20240101", "20240105").collect()) == [2, 3]
+    store.write(fixed.HASHES, rows.where("fid < 0").drop("stat_date"), "20240102")
+    assert [r.fid for r in store.read(fixed.HASHES, "20240101", "20240105").collect()] == [3]
 
 
 def test_days(spark, tmp_path):
@@ -74,7 +111,7 @@ class _Session:
     """What ``shared_dir`` asks a session for."""
 
     def __init__(self, master, named=None):
-        self.settings = {session.CHECKPOINT_CONF: named}
+        self.settings = {session.CHECKPOINT_CONF: named, session.WAREHOUSE_CONF: "/warehouse/"}
         self.conf = self
         self.sparkContext = self
         self.master = master
@@ -89,8 +126,7 @@ class _Session:
 
 def test_shared_dir_is_the_named_one():
     assert session.shared_dir(_Session("spark://x", "s3://bucket/tmp/")) == "s3://bucket/tmp"
-    local = _Session("local[2]")
-    assert session.shared_dir(local) == session.shared_dir(local)
+    assert session.shared_dir(_Session("local[2]")) == "/warehouse"
     with pytest.raises(RuntimeError):
         session.shared_dir(_Session("spark://x"))
 
@@ -98,4 +134,6 @@ def test_shared_dir_is_the_named_one():
 def test_stage_reads_back_what_was_written(spark):
     staged = session.stage(spark.range(5).toDF("x"), "five")
     assert staged.count() == 5
+    session.clear_stages(spark)
+    staged = session.stage(spark.range(5).toDF("x"), "five")
     assert staged.inputFiles()[0].removeprefix("file:").lstrip("/").startswith(session.shared_dir(spark).removeprefix("file:").lstrip("/"))
