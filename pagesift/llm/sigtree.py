@@ -340,28 +340,29 @@ class Join:
                     c = parent[c]
                 return c
 
-            for batch in batches:
-                found_a, found_b = [], []
-                texts = batch.column("text")
-                sets = iter(shingle_sets(*buffers(texts), words))
-                is_pair = texts.is_null().to_pylist()
-                for i, j, a, b, ca, cb, pair, own in zip(*(batch.column(c).to_pylist() for c in ("i", "j", *small)), is_pair, sets):
-                    if (i, j) != cell:
-                        cell, known, parent = (i, j), {}, {}
-                    if not pair:
-                        if set_id(own) == a:  # else another text with this id
-                            known[a] = own
-                        continue
-                    ra, rb = root(ca), root(cb)
-                    if ra == rb:
-                        continue
-                    u, v = known[a], known[b]
-                    common = len(np.intersect1d(u, v, assume_unique=True))
-                    if 100 * common >= percent * (len(u) + len(v) - common):
-                        parent[max(ra, rb)] = min(ra, rb)
-                        found_a.append(a)
-                        found_b.append(b)
-                yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+            for whole in batches:
+                for batch in rows_of(whole, SLICE_BYTES, "text"):
+                    found_a, found_b = [], []
+                    texts = batch.column("text")
+                    sets = iter(shingle_sets(*buffers(texts), words))
+                    is_pair = texts.is_null().to_pylist()
+                    for i, j, a, b, ca, cb, pair, own in zip(*(batch.column(c).to_pylist() for c in ("i", "j", *small)), is_pair, sets):
+                        if (i, j) != cell:
+                            cell, known, parent = (i, j), {}, {}
+                        if not pair:
+                            if set_id(own) == a:  # else another text with this id
+                                known[a] = own
+                            continue
+                        ra, rb = root(ca), root(cb)
+                        if ra == rb:
+                            continue
+                        u, v = known[a], known[b]
+                        common = len(np.intersect1d(u, v, assume_unique=True))
+                        if 100 * common >= percent * (len(u) + len(v) - common):
+                            parent[max(ra, rb)] = min(ra, rb)
+                            found_a.append(a)
+                            found_b.append(b)
+                    yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
         return both.mapInArrow(compare, "a long, b long")
 

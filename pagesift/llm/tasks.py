@@ -24,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches of later plans of this session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    drop_shuffles(spark)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Remove a query's shuffle files when it ends, not when the driver happens
+    to collect its garbage: an operator's steps hand over by written tables."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def utf8(column: str = "text") -> F.Column:
@@ -131,4 +138,5 @@ def number(rows: DataFrame, groups: Sequence[str], order: Sequence[str], name: s
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: cuts the lineage, and what
     is read twice is computed once."""
+    drop_shuffles(df.sparkSession)
     return stage(df, name)
