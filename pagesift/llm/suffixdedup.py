@@ -289,7 +289,7 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     firsts = first.where(F.col("n") > 1).select("shard", "segment", place.alias("first"))
     later = segments.drop("bytes").join(firsts, ["shard", "segment"]).where(place != F.col("first"))
     later = later.select("doc", "key", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (LENGTH - 1)).alias("end"))
-    return rows, own.unionByName(later)
+    return rows, staged(own.unionByName(later), "ranges")
 
 
 def _cut(text: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[bytes, int]:
