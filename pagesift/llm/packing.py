@@ -18,14 +18,15 @@ id are packed row by row; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import functools
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,16 +35,18 @@ from pagesift.llm.tasks import number, rows_of, small_batches, staged, utf8
 CAPACITY = 2048
 SLACK = 0.02
 END_ID = 1
-MAX_CACHED = 400_000
+MAX_CACHED = 800_000
 SLICE_BYTES = 4 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class long"
 
-# The pre-tokens of the vocabulary file: its pattern, with the white space that
-# it knows written out. Fixed values.
+# The pre-tokens of the vocabulary file: its pattern, with white space, letters
+# and numbers of the code points below ``PLAIN`` written out. Texts with others
+# (normal forms, case rules) go to the tokenizer whole.
+PLAIN = 0x250
 _SPACE = r"\x09-\x0d\x20\x85\xa0"
-_PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
-# Texts with other characters (normal forms, case rules) go to the tokenizer whole.
-_OTHER = re.compile("[^\x00-ɏ]")
+_LETTERS, _NUMBERS = (re.escape("".join(c for c in map(chr, range(PLAIN)) if unicodedata.category(c)[0] == kind)) for kind in "LN")
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACE}{_LETTERS}{_NUMBERS}]+")
+_OTHER = re.compile(f"[^\x00-{chr(PLAIN - 1)}]")
 
 
 def leftovers(capacity: int = CAPACITY) -> int:
@@ -87,16 +90,23 @@ class Encoder:
         split = [
             None if _OTHER.search(t) or any(s in t for s in self.special) else _PIECES.findall(t.lower()) for t in texts
         ]
-        new = {p for pieces in split if pieces for p in pieces if p not in self.cache}
+        met = set().union(*filter(None, split))
+        new = met.difference(self.cache)
         if len(self.cache) + len(new) > MAX_CACHED:
             self.cache.clear()
-            new = {p for pieces in split if pieces for p in pieces}
+            new = met
         new = list(new)
         self.cache.update(zip(new, self._ids(new)))
         get = self.cache.__getitem__
         return [self._ids([t])[0] if pieces is None else b"".join(map(get, pieces)) for t, pieces in zip(texts, split)]
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One per worker process, which runs task after task."""
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """The pieces of all documents with their classes; ``with_ids`` adds the
     ids themselves, as an array."""
@@ -104,7 +114,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     end = np.asarray([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for whole in batches:
             for batch in rows_of(whole, SLICE_BYTES, "text"):
                 texts = [(t or b"").decode() for t in batch.column("text").to_pylist()]
@@ -154,15 +164,15 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     earlier = Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     bins = F.floor(F.col("_n") / F.col("class"))
     bases = [
-        (r["class"], r["full"], r["base"])
-        for r in sizes.select("class", (bins * F.col("class")).alias("full"), F.coalesce(F.sum(bins).over(earlier), F.lit(0)).alias("base")).collect()
+        (r["class"], r["full"], r["base"], r["_n"])
+        for r in sizes.select("class", "_n", (bins * F.col("class")).alias("full"), F.coalesce(F.sum(bins).over(earlier), F.lit(0)).alias("base")).collect()
     ]
     if not bases:
         return made.select(*[c for c in columns if c != "class"], F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    known = made.sparkSession.createDataFrame(bases, "class long, _full long, _base long")
-    last = max(base + full // j for j, full, base in bases)
+    known = made.sparkSession.createDataFrame([b[:3] for b in bases], "class long, _full long, _base long")
+    last = max(base + full // j for j, full, base, _ in bases)
     order = [c for c in columns if c not in ("class", "ids")]
-    slots = number(made, ["class"], order, "_slot", max(1, made.count() // len(bases)))
+    slots = number(made, ["class"], order, "_slot", max(n for *_, n in bases))
     slots = slots.join(F.broadcast(known), "class")
     full = slots.where(F.col("_slot") < F.col("_full")).select(
         *columns, (F.col("_base") + F.floor(F.col("_slot") / F.col("class"))).cast("long").alias("_bin")
