@@ -11,13 +11,13 @@ Exact: no link between different sets is missed.
    documents share do not fill cells.
 2. Every cell's first set, its hub, is compared with the cell's other sets: a
    number of pairs that grows with the sets. The links give components.
-3. What a cell holds beyond one component is joined with itself: its sets are
-   the leaves of a signature tree, whose nodes hold the OR of their bitmaps and
+3. What the cells of a hub hold beyond one component is joined with itself: the
+   sets are the leaves of a signature tree, whose nodes hold the OR of their bitmaps and
    the range of their sizes; pairs of nodes are followed down together as long
    as the largest possible overlap, the common bits and the shingles that share
    a bit, can reach the least overlap that their sizes ask for. Pairs of nodes
-   inside one component are dropped. A cell with more sets than one task should
-   hold is dealt over pairs of blocks.
+   inside one component are dropped. More sets than one task should hold are
+   dealt over pairs of blocks.
 4. Pairs that are left are compared by their sets.
 
 Defined results: a null or empty text has no shingles and links with nothing;
@@ -41,7 +41,7 @@ from pagesift.llm.tasks import buffers, groups_of, rows_of, small_batches, stage
 
 WORDS = 4
 PERCENT = 85
-BITS = 1024
+BITS = 2048
 SLICE_BYTES = 4 << 20
 # Frequent shingles, by order of frequency. Which are known changes the work,
 # not the result.
@@ -266,8 +266,10 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
 
 
 def _deal(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cells without their hubs, with components, dealt over blocks. In a large
-    cell the sets of the hub's component meet only the others."""
+    """The members of each hub's cells without the hub, with components, dealt
+    over blocks. Near copies share a hub in most of their cells, so a pair comes
+    up once and not in every cell. Where there are many, the sets of the hub's
+    component meet only the others."""
     named = (
         members.where(F.col("size") > 2)
         .join(labels.select("node", "component"), "node", "left")
@@ -275,7 +277,8 @@ def _deal(members: DataFrame, labels: DataFrame) -> DataFrame:
         .join(labels.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")), "hub", "left")
         .withColumn("own", F.col("component") == F.coalesce("hub_component", "hub"))
     )
-    rows = staged(named.where(F.col("node") != F.col("hub")).select("cell", "node", "n", "component", "own"), "cell_rows")
+    rows = named.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("cell"), "node", "n", "component", "own")
+    rows = staged(rows.distinct(), "cell_rows")
     counts = rows.groupBy("cell").agg(F.sum(F.col("own").cast("long")).alias("n_own"), F.count("*").alias("n_all"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     counts = counts.where(F.col("c0") != F.col("c1")).drop("c0", "c1")
     rows = rows.join(counts, "cell")
