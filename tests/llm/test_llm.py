@@ -246,6 +246,33 @@ def test_bloom_rare_words_are_joined(spark, sf_dir, monkeypatch):
         assert math.isclose(r.base_score, want[r.doc_id], rel_tol=1e-9)
 
 
+def test_bloom_has_all_bigrams(spark, monkeypatch):
+    """Against the model with exact bigrams of all words, seen once or often,
+    with few words broadcast and with the filter in several slices."""
+    pairs = [(i, " ".join(f"w{(i * k * k + k) % 900}" for k in range(150))) for i in range(60)] + [(60, "w1 w2 new w3"), (61, None), (1, "w1"), (1, "w1")]
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    texts = [(i, [None, *(t or "").split(), None], zlib.crc32(str(i).encode()) % 5 == 1) for i, t in pairs]
+    count = Counter(w for _, ws, out in texts if not out for w in ws[1:])
+    n, v = sum(count.values()), len(count)
+    big = Counter(p for _, ws, out in texts if not out for p in zip(ws, ws[1:]))
+    quantised = {p: bloomlm.seen_of(bloomlm.level_of(np.array([k])))[0] for p, k in big.items()}
+    taken = Counter()
+    for (h, _), k in quantised.items():
+        taken[h] += k
+
+    def probability(h, w):
+        left = max(1 - taken[h] / count[h], bloomlm.LEAST_LEFT) if count[h] else 1.0
+        return left * (count[w] + 0.5) / (n + 0.5 * (v + 1)) + (min(quantised.get((h, w), 0) / count[h], 1 - left) if count[h] else 0)
+
+    assert any(k == 1 for k in big.values())
+    want = sorted((i, round(sum(math.log10(probability(h, w)) for h, w in zip(ws, ws[1:])), 6)) for i, ws, _ in texts)
+    monkeypatch.setattr(bloomlm, "MEMBER_BITS", 400)  # hardly a false member
+    for frequent, blocks in ((1 << 19, 2048), (50, 3)):
+        monkeypatch.setattr(bloomlm, "FREQUENT", frequent)
+        monkeypatch.setattr(bloomlm, "SLICE_BLOCKS", blocks)
+        assert sorted((r.doc_id, round(r.score, 6)) for r in bloomlm.score(df).collect()) == want
+
+
 def test_filter_levels():
     keys = np.arange(1, 5001, dtype=np.uint64)
     n = np.random.default_rng(0).integers(2, 500, len(keys))
