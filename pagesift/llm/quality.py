@@ -4,8 +4,14 @@ The base rules count words, symbols, repeated lines and repeated five-word
 windows. The method compares two histograms of a document, of its character
 classes and of the common words of the languages, with those of each language
 by Jensen-Shannon distance; a document that is far from every language fails.
-The languages' histograms are counted over all documents. All of it is
-DataFrame functions.
+The languages' histograms are counted over all documents, for every language
+with ``MIN_REFERENCE`` characters. All of it is DataFrame functions.
+
+The common words of a language are its ``COMMON_WORDS`` most frequent ones and
+further ones until they are ``COMMON_SHARE`` of its words. Where words with
+``MIN_SHARE`` do not reach that, any text without them is near, so the language
+judges only texts that are labelled as its own or not at all. A text whose
+language has too few characters for a histogram is judged by the base rules.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 text below the minimum lengths is not compared; with no language to compare
@@ -33,9 +39,11 @@ MIN_COMMON = 40
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.3
 COMMON_WORDS = 12
-# A word of a language's reference has at least this share of its words, and a
-# language this share of the documents; so there are at most a thousand.
+COMMON_SHARE = 0.25
+# A word of a language's reference has at least this share of its words.
 MIN_SHARE = 0.001
+# Characters of a language that make a stable histogram.
+MIN_REFERENCE = 10_000
 
 DIGITS = "0123456789"
 MARKS = ".,;:!?'\"()-"
@@ -137,18 +145,33 @@ class Reference:
     def words(self) -> list[float]:
         return [*self.common.values(), self.n_words - sum(self.common.values())]
 
+    @property
+    def telling(self) -> bool:
+        """Is a text without the common words far from this language?"""
+        return sum(self.common.values()) >= COMMON_SHARE * self.n_words
+
+
+def common_words(counts: list[tuple[int, str]], total: float) -> dict[str, float]:
+    """Of ``(-n, word)``, the most frequent ones that make the share."""
+    out: dict[str, float] = {}
+    for n, w in sorted(counts):
+        if len(out) >= COMMON_WORDS and sum(out.values()) >= COMMON_SHARE * total:
+            break
+        out[w] = float(-n)
+    return out
+
 
 def references(docs: DataFrame) -> dict[str, Reference]:
-    """For each language with a share of the documents: its characters by class
-    and the counts of its common words. Both are counted over all documents;
-    what comes to the driver is at most a thousand languages' histograms."""
+    """For each language with enough characters: its characters by class and the
+    counts of its common words. Both are counted over all documents; what comes
+    to the driver is a row per language and at most a thousand words of each."""
     told = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").alias("lang"), F.col("text").alias("text"))
     per_doc = told.select("lang", F.length("text").alias("length"), without_small(F.col("text")).alias("small"))
     per_doc = per_doc.withColumn("rest", without_letters(F.col("small")))
     per_doc = per_doc.select("lang", class_counts(F.col("length"), F.col("small"), F.col("rest")).alias("c"))
-    sums = per_doc.groupBy("lang").agg(F.count("*").alias("n"), *[F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(CLASSES)])
-    total = told.count()
-    classes = {r["lang"]: [float(r[f"c{i}"]) for i in range(CLASSES)] for r in sums.where(F.col("n") >= MIN_SHARE * total).collect()}
+    sums = per_doc.groupBy("lang").agg(*[F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(CLASSES)])
+    enough = sum(F.col(f"c{i}") for i in range(CLASSES)) >= MIN_REFERENCE
+    classes = {r["lang"]: [float(r[f"c{i}"]) for i in range(CLASSES)] for r in sums.where(enough).collect()}
     words = told.select("lang", F.explode(F.split(F.lower("text"), SPACE)).alias("w")).where(F.col("w") != "")
     by_word = words.groupBy("lang", "w").agg(F.count("*").alias("n"))
     all_words = by_word.groupBy("lang").agg(F.sum("n").alias("all"))
@@ -161,7 +184,7 @@ def references(docs: DataFrame) -> dict[str, Reference]:
         common.setdefault(r["lang"], []).append((-r["n"], r["w"]))
         totals[r["lang"]] = float(r["all"])
     return {
-        lang: Reference(histogram, {w: float(-n) for n, w in sorted(common.get(lang, []))[:COMMON_WORDS]}, totals.get(lang, 0.0))
+        lang: Reference(histogram, common_words(common.get(lang, []), totals.get(lang, 1.0)), totals.get(lang, 1.0))
         for lang, histogram in sorted(classes.items())
     }
 
@@ -176,7 +199,8 @@ def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFra
     """The base counts, the distances to the nearest language, and the verdict."""
     known = references(docs) if known is None else known
     common = sorted({w for r in known.values() for w in r.common})
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select("doc_id", lang.alias("_lang"), F.coalesce("text", F.lit("")).alias("text"))
     words = text_words(F.col("text"))
     # Words in lower case that some language has as a common word, " w  w ".
     shared = F.filter(F.transform("_words", F.lower), lambda w: w.isin(common) if common else F.lit(False))
@@ -184,6 +208,7 @@ def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFra
     rows = rows.withColumn("_rest", without_letters(F.col("_small")))
     rows = rows.select(
         "doc_id",
+        "_lang",
         F.size("_words").cast("long").alias("n_words"),
         (F.length("text") - _without(F.col("_rest"), SPACES)).cast("long").alias("word_chars"),
         _without(F.col("_rest"), SYMBOLS).cast("long").alias("n_symbols"),
@@ -207,9 +232,10 @@ def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFra
     distances = [(F.col(f"_c{i}"), F.col(f"_d{i}")) for i in range(len(langs))]
     near = [_near(c, F.col("_chars") >= MIN_CHARS, MAX_CLASS_DISTANCE) & _near(w, F.col("n_words") >= MIN_COMMON, MAX_WORD_DISTANCE) for c, w in distances]
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    accepted = F.lit(True)
-    for i, x in enumerate(near):
-        accepted = x if i == 0 else accepted | x
+    # Texts labelled as a language without a reference are not compared.
+    accepted = F.coalesce(~F.col("_lang").isin(*known), F.lit(False)) if known else F.lit(True)
+    for (name, r), x in zip(known.items(), near):
+        accepted = accepted | (x if r.telling else x & F.coalesce(F.col("_lang") == name, F.lit(True)))
     least = lambda k: F.least(*[d[k] for d in distances]) if len(distances) > 1 else (distances[0][k] if distances else F.lit(None).cast("double"))
     return rows.withColumns({"base_failed": failed, "class_distance": least(0), "word_distance": least(1), "_accepted": accepted}).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -591,6 +591,30 @@ def test_quality_counts(spark, docs, empty, sf_dir):
     assert quality.judge(empty).count() == 0
 
 
+def test_quality_of_small_languages(spark):
+    """Clean texts of languages with few documents, or without frequent words,
+    are kept; texts without a language's words are not."""
+    r = random.Random(5)
+    text = lambda words, weights, n: " ".join(r.choices(words, weights, k=n))
+    made = lambda start, n: [start + "".join(r.choice("aeioulnrst") for _ in range(6)) for _ in range(n)]
+    zipf = lambda n: [1 / (k + 1) for k in range(n)]
+    large, small, tiny, junk = (made(x, 3000) for x in ("b", "d", "f", "g"))
+    flat = made("k", 400)  # twelve words are 3 % of its words
+    rows_ = [(i, text(large, zipf(3000), 60), "large") for i in range(4000)]
+    rows_ += [(5000 + i, text(small, zipf(3000), 800), "small") for i in range(3)]
+    rows_ += [(6000 + i, text(flat, [1] * 400, 300), "flat") for i in range(30)]
+    rows_ += [(7000, text(tiny, zipf(3000), 60), "tiny"), (8000, text(junk, [1] * 3000, 300), "large"), (8001, text(junk, [1] * 3000, 300), None)]
+    # Words of this one never repeat.
+    rows_ += [(9000 + i, " ".join(made("m" + str(i), 300)), "loose") for i in range(20)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string").repartition(8)
+    got = {x.doc_id: x.kept for x in quality.judge(df).collect()}
+    assert all(got[i] for i, _, lang in rows_ if lang in ("small", "flat", "tiny", "loose"))
+    assert not got[8000] and sum(got[i] for i in range(4000)) > 3900
+    known = quality.references(df)
+    assert set(known) == {"large", "small", "flat", "loose"} and not known["loose"].telling
+    assert len(known["flat"].common) > quality.COMMON_WORDS and known["flat"].telling
+
+
 def test_quality_distances(spark):
     r = np.random.default_rng(6)
     for _ in range(5):
