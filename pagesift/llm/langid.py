@@ -7,11 +7,13 @@ text's words, where every change of language costs ``SWITCH``, labels its spans;
 the text's language is the one with most of its letters, and the score the share
 of letters it has.
 
-The model is counted on a sample: documents whose hashed id falls below
-``TRAIN_DOCUMENTS`` over the number of labelled ones, so about that many at
-most. Nothing but text and label is learned from, and nothing but the text is
-used to predict. Languages with under a thousandth of the sample are not
-learned, so a model holds a thousand at most.
+The model is counted on a sample of each language: rows that differ in id or
+text are counted, and those whose hash of both falls below ``TRAIN_DOCUMENTS``
+over the count are taken, once each; so about that many of every language, or
+all it has. Nothing but text and label is learned from, and nothing but the text
+is used to predict. Every language is learned and takes half a MB of the model.
+Counts are scaled to those of the largest one, so that a feature which languages
+have not met costs each of them the same.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 with nothing to learn from everything is ``und``; ties go to the smaller
@@ -33,8 +35,7 @@ from pagesift.llm.tasks import buffers, rows_of, small_batches, utf8
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
-TRAIN_DOCUMENTS = 20_000
-MIN_SHARE = 0.001
+TRAIN_DOCUMENTS = 5_000
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 SWITCH = 12.0
@@ -118,16 +119,20 @@ class Model:
         return out
 
 
+PARTS = 10**15
 TRAINING = "lang string, kind int, feature int, n double"
 
 
 def train(docs: DataFrame, sample: int = TRAIN_DOCUMENTS) -> Model:
-    """Count the model on the labelled documents that are not held out."""
+    """Count the model on the labelled documents that are not held out, on
+    about ``sample`` of each language."""
     small_batches(docs.sparkSession)
     told = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    n = told.count()
-    rate = min(1.0, sample / max(n, 1))
-    chosen = told.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(rate * 1_000_000)).select("lang", utf8().alias("text"))
+    told = told.select("lang", "text", F.xxhash64("doc_id", "text").alias("hash"))
+    rows = told.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    rates = rows.select("lang", (F.lit(float(sample)) / F.col("n") * F.lit(PARTS)).alias("below"))
+    chosen = told.join(F.broadcast(rates), "lang").where(F.pmod("hash", F.lit(PARTS)) < F.col("below"))
+    chosen = chosen.dropDuplicates(["lang", "hash"]).select("lang", utf8().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[np.ndarray]] = {}
@@ -149,17 +154,18 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCUMENTS) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["lang", "kind", "feature", "n"])
 
     counts = chosen.mapInArrow(run, TRAINING).groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n"))
-    documents = {r["lang"]: r["n"] for r in counts.where((F.col("kind") == 3) & (F.col("n") >= MIN_SHARE * rate * n)).select("lang", "n").collect()}
-    langs = sorted(documents)
+    table = counts.toPandas()  # of the model's size
+    langs = sorted(table["lang"].unique())
     found = [np.zeros((size, len(langs))) for size in (BUCKETS, BUCKETS, SCRIPTS)]
     if langs:
-        table = counts.where((F.col("kind") < 3) & F.col("lang").isin(langs)).toPandas()
         number = table["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
         for kind in range(3):
             of = (table["kind"] == kind).to_numpy()
             found[kind][table["feature"].to_numpy()[of], number[of]] = table["n"].to_numpy()[of]
     weights = []
     for c in found[:2]:
+        size = c.sum(axis=0)
+        c *= size.max(initial=1) / np.maximum(size, 1)
         logs = np.log((c + SMOOTHING) / (c.sum(axis=0) + SMOOTHING * BUCKETS))
         weights.append((logs - logs.mean(axis=1, keepdims=True)).astype(np.float32))
     scripts = found[2] >= SCRIPT_SHARE * np.maximum(found[2].sum(axis=0), 1)

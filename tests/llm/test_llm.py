@@ -312,6 +312,21 @@ def test_languages(spark, docs, empty, sf_dir):
     assert langid.judge(empty).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    """Rare languages, and samples of rows that share an id."""
+    r = random.Random(4)
+    vocabulary = {x: [a + "".join(r.choice(b) for _ in range(r.randrange(2, 7))) for _ in range(300)] for x, a, b in (("aa", "k", "aeioktm"), ("bb", "w", "aeusrwn"), ("cc", "p", "oiulpdz"))}
+    text = lambda x: " ".join(r.choices(vocabulary[x], k=40))
+    many = [(None if i % 3 else i, text("aa"), "aa") for i in range(6000)] + [(1, text("bb"), "bb") for _ in range(3000)]
+    few = [(20_000 + i, text("cc"), "cc") for i in range(8)]
+    df = spark.createDataFrame(many + few, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(df, 500)
+    assert model.langs == ["aa", "bb", "cc"]
+    told = [(30_000 + i, text(x), x) for i in range(40) for x in vocabulary]
+    got = {(x.doc_id, x.lang): x["__lang_pred"] for x in langid.predict(spark.createDataFrame(told, df.schema), model).collect()}
+    assert all(p == lang for (_, lang), p in got.items())
+
+
 def test_best_paths():
     r = np.random.default_rng(3)
     for _ in range(200):
