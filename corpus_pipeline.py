@@ -1,7 +1,7 @@
 """From raw documents to packed sequences: five stages, each on all that the
 one before it kept.
 
-1. language ID: documents without a language go;
+1. language ID: documents without a language (without a letter) go, mixed ones stay;
 2. n-gram Jaccard join: of documents that share four fifths of their five-word
    shingles one stays, the one with the smallest id;
 3. suffix-array dedup: passages that an earlier document has are cut;

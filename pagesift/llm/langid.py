@@ -307,9 +307,11 @@ def judge(docs: DataFrame, model: Model | None = None) -> DataFrame:
     )
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.5, model: Model | None = None) -> DataFrame:
-    """The documents that have a language: not ``und``, and most of the letters
-    in one language."""
+def keep_known(docs: DataFrame, min_score: float = 0.0, model: Model | None = None) -> DataFrame:
+    """The documents that have a language, whatever share of their letters it
+    has (``min_score`` asks for one); with no model, those with a letter."""
     model = train(docs) if model is None else model
+    if not model.langs:
+        return docs.where(F.col("text").rlike("\\p{L}"))
     found = predict(docs, model)
     return found.where((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from pagesift.llm import langid
 from pagesift.llm.queries import word_bpe
 from pagesift.llm.tasks import staged
 from test_llm import brute_groups, brute_hits
@@ -54,6 +55,18 @@ def test_documents_without_language_go(stages):
     assert set(texts(stages[0])) - set(texts(stages[1])) == {9001, 9002, 9003}
 
 
+def test_documents_in_three_languages_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.train(docs)
+    words = {x: max((r.text for r in docs.where(f"lang = '{x}'").collect()), key=len).split() for x in ("de", "en", "fr")}
+    mixed = [(9100, " ".join(words["en"][:80] + words["de"][:60] + words["fr"][:60]), None, "s", 0), (9101, "12 !", None, "s", 0), (9102, None, None, "s", 0)]
+    df = spark.createDataFrame(mixed, docs.schema)
+    assert langid.predict(df, model).where("doc_id = 9100 and __score < 0.5 and __n_spans >= 3").count() == 1
+    assert set(texts(langid.keep_known(df, model=model))) == {9100}
+    # Nothing is labelled, so there is nothing to learn.
+    assert set(texts(corpus_pipeline.language_id(spark, df, sf_dir))) == {9100}
+
+
 def test_one_of_each_near_group_stays(stages):
     before, after = texts(stages[1]), texts(stages[2])
     groups = brute_groups(list(before.items()), 5, 80)
