@@ -178,7 +178,9 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         *columns, (F.col("_base") + F.floor(F.col("_slot") / F.col("class"))).cast("long").alias("_bin")
     )
     rest = slots.where(F.col("_slot") >= F.col("_full")).select(*columns, F.lit(0).cast("long").alias("_bin"))
-    packed = rest.coalesce(1).mapInArrow(lambda batches: _best_fit(batches, capacity), rest.schema)
+    # Behind a shuffle, so that only the left-overs are in one task, not the numbering.
+    rest = rest.repartition(1).sortWithinPartitions(F.desc("length"), *order)
+    packed = rest.mapInArrow(lambda batches: _best_fit(batches, capacity), rest.schema)
     both = full.unionByName(packed.withColumn("_bin", F.col("_bin") + last))
     inside = Window.partitionBy("_bin").orderBy(F.desc("length"), *order)
     before = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1))

@@ -209,6 +209,12 @@ def test_packing(spark, docs, empty, sf_dir):
     assert packing.pack(packing.pieces(empty, word_bpe())).count() == 0
 
 
+def test_left_overs_come_by_a_shuffle(spark, docs):
+    """Numbering all pieces is not part of the task that fits the left-overs."""
+    plan = packing.pack(packing.pieces(docs, word_bpe()))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 1, true" in plan and "Repartition 1, false" not in plan
+
+
 def test_cut_lengths():
     for n in range(1, 5000):
         pieces = packing.cut(n)
