@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagesift.llm import bloomlm, decontam, langid, licenses, packing, quality, sharding, sigtree, suffixdedup, urlfilter
+from pagesift.llm import (
+    bloomlm, decontam, langid, licenses, packing, piececodec, prefixtrie, quality, sharding, sigtree, spelling, suffixdedup, urlfilter,
+)
 from pagesift.llm.sql import ORACLE  # noqa: F401
 from pagesift.llm.tasks import table
 
@@ -21,6 +23,13 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def piece_bpe() -> str:
+    """The SentencePiece model, a public file outside the repository."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), TREE)
 
@@ -61,6 +70,18 @@ def op10_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_rollup_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def op12_bloom_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op13_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piececodec.digest(table(spark, sf_dir, "documents"), piececodec.read_model(piece_bpe()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_suffix_shards": op2_suffix_shards,
@@ -72,4 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_words": op8_host_words,
     "op9_signature_trees": op9_signature_trees,
     "op10_distribution_divergence": op10_distribution_divergence,
+    "op11_rollup_trie": op11_rollup_trie,
+    "op12_bloom_spelling": op12_bloom_spelling,
+    "op13_offset_pieces": op13_offset_pieces,
 }

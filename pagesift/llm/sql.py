@@ -71,4 +71,81 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_shard_tree": _OP1, "op7_suffix_automaton": _OP7}
+_CRC_TABLE = """rem(i, k, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM rem WHERE k < 8
+), tab AS (SELECT list(v ORDER BY i) AS t FROM rem WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a text, with the table ``t`` of 256 remainders."""
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295)::BIGINT"
+
+
+_OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+turns AS (
+  SELECT conv_id AS c, md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS tie,
+    strlen(coalesce(text, ''))::BIGINT AS n, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (SELECT c, tie, n, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, tie) AS pos FROM turns),
+ids AS (SELECT c, c - c % 5 AS f, {_crc("c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT c FROM placed), tab),
+sequences AS (
+  SELECT c, list(tie ORDER BY late, pos) FILTER (tie IS NOT NULL) AS s, list(n ORDER BY late, pos) FILTER (tie IS NOT NULL) AS w
+  FROM (
+    SELECT ids.c, 0 AS late, pos, tie, n FROM ids LEFT JOIN placed p ON p.c = f AND pos <= h
+    UNION ALL SELECT ids.c, 1, pos, tie, n FROM ids JOIN placed p ON p.c = ids.c AND pos > h
+  ) GROUP BY c
+), paths AS (
+  SELECT c, d, coalesce(len(s), 0) AS l, md5(coalesce(array_to_string(s[1:d], ','), '')) || d AS node,
+    CASE WHEN d > 0 THEN md5(coalesce(array_to_string(s[1:d - 1], ','), '')) || (d - 1) END AS parent, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS n
+  FROM (SELECT c, s, w, unnest(range(0, coalesce(len(s), 0) + 1)) AS d FROM sequences)
+), nodes AS (
+  SELECT node, min(parent) AS parent, min(c) AS c, min(d) AS d, count(*) AS members, (count(*) - 1) * min(n) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = l), '')) AS ends
+  FROM paths GROUP BY node
+), children AS (SELECT parent, count(*) AS k FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT DISTINCT a.node AS top, b.node FROM paths a JOIN paths b ON a.c = b.c AND a.d <= b.d
+), sums AS (
+  SELECT top, sum(saved)::BIGINT AS saved, count(*) FILTER (k IS NULL) AS leaves
+  FROM below JOIN nodes USING (node) LEFT JOIN children ON children.parent = below.node GROUP BY top
+)
+SELECT nodes.c AS conv_id, nodes.d AS depth, up.c AS parent_conv_id, nodes.members AS n_convs, coalesce(k, 0) AS n_children,
+  leaves AS n_leaves, sums.saved AS saved_tokens, nodes.ends AS ends_sha256
+FROM nodes JOIN sums ON top = nodes.node LEFT JOIN nodes up ON up.node = nodes.parent LEFT JOIN children ON children.parent = nodes.node
+"""
+
+_OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents
+  ) WHERE length(run) >= 6 GROUP BY 1, 2
+), hashed AS (SELECT run, n, {_crc("concat(doc_id, ':', run)")} AS h FROM runs, tab),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT x.word, y.word AS near, y.n AS near_n FROM cuts x JOIN cuts y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cuts x JOIN words y ON y.word = x.a || x.b
+  UNION SELECT y.word, x.word, x.n FROM cuts x JOIN words y ON y.word = x.a || x.b
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word
+), judged AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS place, 0 AS steps FROM judged
+  UNION ALL SELECT walk.word, j.form, steps + 1 FROM walk JOIN judged j ON j.word = walk.place WHERE j.form IS NOT NULL
+), roots AS (SELECT word, arg_max(place, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)
+"""
+
+ORACLE: dict[str, str] = {"op1_shard_tree": _OP1, "op7_suffix_automaton": _OP7, "op11_rollup_trie": _OP11, "op12_bloom_spelling": _OP12}
