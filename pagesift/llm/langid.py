@@ -22,7 +22,7 @@ language; rows are judged one by one, so repeated ids need no rule.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesift.llm.tasks import buffers, rows_of, small_batches, utf8
+from pagesift.llm.tasks import buffers, free_names, rows_of, small_batches, utf8
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -162,6 +162,8 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCUMENTS) -> Model:
         for kind in range(3):
             of = (table["kind"] == kind).to_numpy()
             found[kind][table["feature"].to_numpy()[of], number[of]] = table["n"].to_numpy()[of]
+    if not langs:
+        return Model([], *(f.astype(np.float32) for f in found[:2]), found[2] > 0)
     weights = []
     for c in found[:2]:
         size = c.sum(axis=0)
@@ -244,19 +246,18 @@ def label_words(words: Words, model: Model, switch: float = SWITCH) -> np.ndarra
     return labels
 
 
+RESULT = ("lang_pred", "score", "n_spans", "spans")
+SPANS = "array<struct<start:long,end:long,lang:string>>"
 
-# Names that no column of the documents has.
-RESULT = "__lang_pred string, __score double, __n_spans long, __spans array<struct<start:long,end:long,lang:string>>"
 
-
-def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
-    """The documents with their language, its score and the labelled spans (in
-    words)."""
+def predict(docs: DataFrame, model: Model, switch: float = SWITCH, names: Sequence[str] = RESULT, spans: bool = True) -> DataFrame:
+    """The documents with their language, its score, the number of labelled
+    spans and, if asked for, the spans (in words), in columns of these names."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     kept = docs.columns
-    added = T.StructType.fromDDL(RESULT)
+    added = T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in list(zip(names, ("string", "double", "long", SPANS)))[: 3 + spans]))
     schema = T.StructType([*docs.schema.fields, *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +266,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
             for batch in rows_of(whole, SLICE_BYTES, "text"):
                 data, offsets = buffers(batch.column("text"))
                 words = split(data, offsets)
-                langs, scores, counts, spans = [], [], [], []
+                langs, scores, counts, marked = [], [], [], []
                 labels = label_words(words, model, switch) if model.langs else np.zeros(len(words.text), np.int64)
                 edges = np.searchsorted(words.text, np.arange(batch.num_rows + 1))
                 for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
@@ -274,18 +275,20 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
                         langs.append(UNKNOWN)
                         scores.append(0.0)
                         counts.append(0)
-                        spans.append([])
+                        marked.append([])
                         continue
                     letters = np.bincount(labels[a:b], weights=words.length[a:b], minlength=len(model.langs))
                     top = int(letters.argmax())
                     cuts = np.flatnonzero(np.diff(labels[a:b])) + 1
-                    starts, ends = [0, *cuts.tolist()], [*cuts.tolist(), b - a]
                     langs.append(model.langs[top])
                     scores.append(float(letters[top] / letters.sum()))
-                    counts.append(len(starts))
-                    spans.append([{"start": s, "end": e, "lang": model.langs[labels[a + s]]} for s, e in zip(starts, ends)])
-                span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
-                columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(span))]
+                    counts.append(len(cuts) + 1)
+                    if spans:
+                        starts, ends = [0, *cuts.tolist()], [*cuts.tolist(), b - a]
+                        marked.append([{"start": s, "end": e, "lang": model.langs[labels[a + s]]} for s, e in zip(starts, ends)])
+                columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())]
+                if spans:
+                    columns.append(pa.array(marked, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*kept, *added.names])
 
     return docs.mapInArrow(run, schema)
@@ -301,17 +304,21 @@ def _has_letter(own: np.ndarray) -> bool:
 def judge(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per document: language and score."""
     model = train(docs) if model is None else model
-    found = predict(docs.select("doc_id", "text"), model)
-    return found.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score"), F.col("__n_spans").alias("n_spans")
-    )
+    found = predict(docs.select("doc_id", "text"), model, spans=False)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_spans")
 
 
 def keep_known(docs: DataFrame, min_score: float = 0.0, model: Model | None = None) -> DataFrame:
     """The documents that have a language, whatever share of their letters it
-    has (``min_score`` asks for one); with no model, those with a letter."""
+    has (``min_score`` asks for one); with no model, those with a letter.
+
+    A document without a label in ``lang`` gets the language that most of its
+    letters have; labels that are there stay."""
     model = train(docs) if model is None else model
     if not model.langs:
         return docs.where(F.col("text").rlike("\\p{L}"))
-    found = predict(docs, model)
-    return found.where((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)
+    names = free_names(docs, *RESULT[:3])
+    found = predict(docs, model, names=names, spans=False)
+    found = found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= min_score))
+    lang = F.coalesce("lang", names[0]).alias("lang")
+    return found.select(*[lang if c == "lang" else F.col(f"`{c}`") for c in docs.columns])

@@ -33,6 +33,15 @@ def drop_shuffles(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """These names with underscores in front, as many as it takes for none to be
+    a column's (Spark's names are the same in upper and lower case)."""
+    taken, front = {c.lower() for c in df.columns}, "_"
+    while any((front + n).lower() in taken for n in names):
+        front += "_"
+    return [front + n for n in names]
+
+
 def utf8(column: str = "text") -> F.Column:
     """A text as bytes, so that Python workers need not decode it; null stays."""
     return F.col(column).cast("binary")
@@ -81,10 +90,13 @@ def with_texts(batch: pa.RecordBatch, columns: Sequence[str], texts: list, chang
     return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(columns))
 
 
-def groups_of(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+def groups_of(batches: Iterator[pa.RecordBatch], keys: Sequence[str], max_bytes: int = 16 << 20) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups of rows that come sorted by the keys, with the
-    places where groups start (and the end)."""
+    places where groups start (and the end). Rows are held until they have
+    ``max_bytes`` or so and end a group; a larger group is looked through again
+    only when it has doubled."""
     held: list[pa.RecordBatch] = []
+    size, limit = 0, max_bytes
 
     def starts(table: pa.Table) -> np.ndarray:
         new = np.zeros(table.num_rows, bool)
@@ -98,14 +110,18 @@ def groups_of(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterato
         if not batch.num_rows:
             continue
         held.append(batch)
-        if sum(b.num_rows for b in held) < 20_000:
+        size += batch.nbytes
+        if size < limit:
             continue
         table = pa.Table.from_batches(held)
         at = starts(table)
+        limit = max(max_bytes, 2 * size)
         if len(at) > 1:
             yield table.slice(0, at[-1]), at
             table = table.slice(at[-1])
+            limit = max_bytes
         held = table.to_batches()
+        size = table.nbytes
     if held:
         table = pa.Table.from_batches(held)
         yield table, np.append(starts(table), table.num_rows)

@@ -61,7 +61,7 @@ def test_documents_in_three_languages_stay(spark, sf_dir):
     words = {x: max((r.text for r in docs.where(f"lang = '{x}'").collect()), key=len).split() for x in ("de", "en", "fr")}
     mixed = [(9100, " ".join(words["en"][:80] + words["de"][:60] + words["fr"][:60]), None, "s", 0), (9101, "12 !", None, "s", 0), (9102, None, None, "s", 0)]
     df = spark.createDataFrame(mixed, docs.schema)
-    assert langid.predict(df, model).where("doc_id = 9100 and __score < 0.5 and __n_spans >= 3").count() == 1
+    assert langid.predict(df, model).where("doc_id = 9100 and score < 0.5 and n_spans >= 3").count() == 1
     assert set(texts(langid.keep_known(df, model=model))) == {9100}
     # Nothing is labelled, so there is nothing to learn.
     assert set(texts(corpus_pipeline.language_id(spark, df, sf_dir))) == {9100}
