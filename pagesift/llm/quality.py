@@ -11,7 +11,8 @@ The common words of a language are its ``COMMON_WORDS`` most frequent ones and
 further ones until they are ``COMMON_SHARE`` of its words. Where words with
 ``MIN_SHARE`` do not reach that, any text without them is near, so the language
 judges only texts that are labelled as its own or not at all. A text whose
-language has too few characters for a histogram is judged by the base rules.
+language has too few characters for a histogram has its classes of characters
+compared with those of all languages; its words are not, as none are known.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 text below the minimum lengths is not compared; with no language to compare
@@ -21,12 +22,14 @@ judged one by one, so repeated ids and ties need no rule.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagesift.llm.tasks import staged
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -124,10 +127,9 @@ def shares(counts: Column) -> Column:
     return F.when(total > 0, F.transform(F.arrays_zip(counts.alias("c"), F.array_repeat(total, F.size(counts)).alias("t")), lambda x: x["c"] / x["t"]))
 
 
-def js_distance(p: Column, reference: Sequence[float]) -> Column:
-    """Square root of the Jensen-Shannon divergence, with base 2: 0 to 1."""
-    whole = sum(reference) or 1.0
-    q = F.array(*[F.lit(float(x / whole)) for x in reference])
+def js_distance(p: Column, q: Column) -> Column:
+    """Square root of the Jensen-Shannon divergence of two arrays of shares,
+    with base 2: 0 to 1; null if one is null."""
     terms = F.zip_with(p, q, lambda x, y: _entropy_terms(x, y) + _entropy_terms(y, x))
     both = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
     return F.sqrt(F.greatest(both / 2 / F.ln(F.lit(2.0)), F.lit(0.0)))
@@ -189,20 +191,43 @@ def references(docs: DataFrame) -> dict[str, Reference]:
     }
 
 
-def _word_counts(kept: Column, words: Sequence[str]) -> list[Column]:
-    """How often each word is in a text that has all words between two spaces
-    each, by what the text loses without it."""
-    return [((F.length(kept) - F.length(F.replace(kept, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("double") for w in words]
+REFERENCES = "array<struct<lang:string,classes:array<double>,common:array<string>,words:array<double>,telling:boolean>>"
+
+
+def reference_array(known: dict[str, Reference]) -> Column:
+    """The references as one constant array, so that the plan has one size
+    however many languages there are."""
+    share = lambda counts: [x / (sum(counts) or 1.0) for x in counts]
+    rows = [
+        {"lang": lang, "classes": share(r.classes), "common": list(r.common), "words": share(r.words), "telling": r.telling} for lang, r in known.items()
+    ]
+    return F.from_json(F.lit(json.dumps(rows)), REFERENCES)
+
+
+def _hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def common_shares(hashes: Column, common: Column, n_words: Column) -> Column:
+    """The shares of common words among a text's words and that of all others,
+    from the hashes of the text's common words of any language. A word's count
+    is what the array loses without it."""
+    counts = F.transform(common, lambda h: (F.size(hashes) - F.size(F.array_remove(hashes, h))) / n_words)
+    return F.concat(counts, F.array(F.lit(1.0) - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)))
 
 
 def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFrame:
-    """The base counts, the distances to the nearest language, and the verdict."""
-    known = references(docs) if known is None else known
+    """The base counts, the distances to the nearest language, and the verdict.
+    Written, so that a filter on the result does not copy its steps."""
+    return staged(verdicts(docs, references(docs) if known is None else known), "quality")
+
+
+def verdicts(docs: DataFrame, known: dict[str, Reference]) -> DataFrame:
     common = sorted({w for r in known.values() for w in r.common})
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.select("doc_id", lang.alias("_lang"), F.coalesce("text", F.lit("")).alias("text"))
     words = text_words(F.col("text"))
-    # Words in lower case that some language has as a common word, " w  w ".
+    # Hashes of words in lower case that some language has as a common word.
     shared = F.filter(F.transform("_words", F.lower), lambda w: w.isin(common) if common else F.lit(False))
     rows = rows.withColumns({"_words": words, "_lines": lines_with_words(F.col("text")), "_small": without_small(F.col("text"))})
     rows = rows.withColumn("_rest", without_letters(F.col("_small")))
@@ -214,7 +239,7 @@ def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFra
         _without(F.col("_rest"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
-        F.concat(F.lit(" "), F.array_join(shared, "  "), F.lit(" ")).alias("_shared"),
+        _hashed(shared).alias("_shared"),
         class_counts(F.length("text"), F.col("_small"), F.col("_rest")).alias("_classes"),
         F.length("text").alias("_chars"),
     )
@@ -222,22 +247,28 @@ def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFra
     rows = rows.withColumn("_ordered", ordered_windows(F.col("_windows"))).drop("_windows")
     rows = rows.withColumn("_places", repeated_places(F.col("_ordered"))).drop("_ordered")
     rows = rows.withColumn("n_repeat_words", covered_words(F.col("_places")).cast("long")).drop("_places")
-    langs = list(known.values())
-    rows = rows.withColumns({f"_f{i}": F.array(*_word_counts(F.col("_shared"), list(r.common))) for i, r in enumerate(langs)})
-    rest = lambda i: F.col("n_words") - F.aggregate(f"_f{i}", F.lit(0.0), lambda a, x: a + x)
-    rows = rows.withColumns({f"_w{i}": F.concat(f"_f{i}", F.array(rest(i))) for i in range(len(langs))})
-    rows = rows.withColumns({"_p": shares(F.col("_classes")), **{f"_p{i}": shares(F.col(f"_w{i}")) for i in range(len(langs))}})
-    rows = rows.withColumns({f"_c{i}": js_distance(F.col("_p"), r.classes) for i, r in enumerate(langs)})
-    rows = rows.withColumns({f"_d{i}": js_distance(F.col(f"_p{i}"), r.words) for i, r in enumerate(langs)})
-    distances = [(F.col(f"_c{i}"), F.col(f"_d{i}")) for i in range(len(langs))]
-    near = [_near(c, F.col("_chars") >= MIN_CHARS, MAX_CLASS_DISTANCE) & _near(w, F.col("n_words") >= MIN_COMMON, MAX_WORD_DISTANCE) for c, w in distances]
+    rows = rows.withColumn("_p", shares(F.col("_classes")))
+    each = F.transform(
+        F.transform(reference_array(known), lambda r: r.withField("hashes", _hashed(r["common"]))),
+        lambda r: F.struct(
+            js_distance(F.col("_p"), r["classes"]).alias("c"),
+            F.when(F.col("n_words") > 0, js_distance(common_shares(F.col("_shared"), r["hashes"], F.col("n_words")), r["words"])).alias("w"),
+            r["lang"].alias("lang"), r["telling"].alias("telling"),
+        ),
+    )
+    rows = rows.withColumn("_each", each if known else F.array().cast("array<struct<c:double,w:double,lang:string,telling:boolean>>"))
+    # A label without a reference says nothing of the words, but lifts no other test.
+    unknown = F.coalesce(~F.col("_lang").isin(*known), F.lit(False)) if known else F.lit(True)
+    judges = lambda x: x["telling"] | F.coalesce(F.col("_lang") == x["lang"], F.lit(True)) | unknown
+    near = lambda x: (
+        judges(x)
+        & _near(x["c"], F.col("_chars") >= MIN_CHARS, MAX_CLASS_DISTANCE)
+        & (unknown | _near(x["w"], F.col("n_words") >= MIN_COMMON, MAX_WORD_DISTANCE))
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    # Texts labelled as a language without a reference are not compared.
-    accepted = F.coalesce(~F.col("_lang").isin(*known), F.lit(False)) if known else F.lit(True)
-    for (name, r), x in zip(known.items(), near):
-        accepted = accepted | (x if r.telling else x & F.coalesce(F.col("_lang") == name, F.lit(True)))
-    least = lambda k: F.least(*[d[k] for d in distances]) if len(distances) > 1 else (distances[0][k] if distances else F.lit(None).cast("double"))
-    return rows.withColumns({"base_failed": failed, "class_distance": least(0), "word_distance": least(1), "_accepted": accepted}).select(
+    accepted = F.exists("_each", near) if known else F.lit(True)
+    least = lambda k: F.array_min(F.transform("_each", lambda x: x[k]))
+    return rows.withColumns({"base_failed": failed, "class_distance": least("c"), "word_distance": least("w"), "_accepted": accepted}).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.col("_accepted")).alias("kept"), "class_distance", "word_distance",
     )
