@@ -3,7 +3,8 @@
 Two documents link when 100 * intersection >= 85 * union of their shingle sets.
 Exact: no link between different sets is missed.
 
-1. Each distinct set is one node. It has a bitmap of its shingles and a prefix,
+1. Each distinct set is one node. It has a bitmap of its shingles (a large set a
+   second one, wide enough for it) and a prefix,
    the first n - ceil(0.85 n) + 1 shingles in one order that all sets share.
    Two linked sets have a prefix shingle in common (each lacks too few of the
    other's), so a cell per prefix shingle holds every linked pair. Shingles
@@ -17,8 +18,11 @@ Exact: no link between different sets is missed.
    as the largest possible overlap, the common bits and the shingles that share
    a bit, can reach the least overlap that their sizes ask for. Pairs of nodes
    inside one component are dropped. More sets than one task should hold are
-   dealt over pairs of blocks.
-4. Pairs that are left are compared by their sets.
+   dealt over pairs of blocks. A first pass, by bitmaps alone, tells which sets have
+   a possible partner in another component; only their texts are sent.
+4. The task that finds a pair compares the sets, unless links that it found before
+   join their components already; so a cell gives fewer links than it has sets,
+   however many of its pairs are near.
 
 Defined results: a null or empty text has no shingles and links with nothing;
 fewer words than a shingle has make one shingle; equal sets are one node, so
@@ -37,20 +41,22 @@ from pyspark.sql import functions as F
 
 from pagesift.llm.components import components
 from pagesift.llm.shingles import set_id, shingle_sets
-from pagesift.llm.tasks import buffers, groups_of, rows_of, small_batches, staged, utf8
+from pagesift.llm.tasks import buffers, free_names, groups_of, rows_of, small_batches, staged, utf8
 
 WORDS = 4
 PERCENT = 85
 BITS = 2048
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Frequent shingles, by order of frequency. Which are known changes the work,
 # not the result.
 MAX_FREQUENT = 1 << 18
 MIN_FREQUENT = 32
-CHUNK_SHINGLES = 4_000_000
-CHUNK_MIN = 3
+CHUNK_SHINGLES = 500_000
+CHUNK_MIN = 2
+# Names of sets that a task remembers, so as to describe a set once.
+MAX_MET = 100_000
 # Sets of one cell in one task.
-CELL = 2048
+CELL = 1024
 FANOUT = 8
 # Sets of one block of pairs that are compared.
 BLOCK_NODES = 1000
@@ -97,12 +103,46 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _signature(shingles: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shingles & np.uint64(BITS - 1)).astype(np.int64)] = 1
+def _bitmap(shingles: np.ndarray, size: int) -> bytes:
+    bits = np.zeros(size, np.uint8)
+    bits[(shingles & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def _signature(shingles: np.ndarray) -> bytes:
+    """A bitmap of ``BITS``, and for a set that would fill it half one of two
+    bits a shingle or more behind it."""
+    own = _bitmap(shingles, BITS)
+    return own if 2 * len(shingles) <= BITS else own + _bitmap(shingles, 1 << (2 * len(shingles) - 1).bit_length())
+
+
+class Signatures:
+    """The signatures of a batch."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data, self.offsets = data, offsets
+        at = offsets[:-1, None] + np.arange(BITS // 8)
+        self.maps = data[at].reshape(len(at), BITS // 8).view(np.uint64)
+        self.wide = np.diff(offsets) > BITS // 8
+
+    def _folded(self, i: int, size: int) -> np.ndarray:
+        own = self.data[self.offsets[i] + BITS // 8 : self.offsets[i + 1]]
+        return np.bitwise_or.reduce(own.reshape(-1, size), axis=0)
+
+
+def _wide_enough(x: Signatures, i: np.ndarray, nx: np.ndarray, y: Signatures, j: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs can be linked by their wide bitmaps, where both have one."""
+    keep = np.ones(len(i), bool)
+    for k in np.flatnonzero(x.wide[i] & y.wide[j]).tolist():
+        a, b = i[k], j[k]
+        size = int(min(x.offsets[a + 1] - x.offsets[a], y.offsets[b + 1] - y.offsets[b])) - BITS // 8
+        u, v = x._folded(a, size), y._folded(b, size)
+        spare = min(int(nx[a] - np.bitwise_count(u).sum()), int(ny[b] - np.bitwise_count(v).sum()))
+        most = int(np.bitwise_count(u & v).sum()) + spare
+        keep[k] = (100 + percent) * most >= percent * (nx[a] + ny[b])
+    return keep
+
+
 def nodes(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``(doc_id, key, node, n, signature, prefix)`` of all documents, where
     ``key`` is a hash of the text; the last two are null for a set that the task
@@ -124,6 +164,8 @@ def nodes(texts: DataFrame, words: int, percent: int) -> DataFrame:
                     signatures.append(None)
                     prefixes.append(None)
                     continue
+                if len(met) >= MAX_MET:
+                    met.clear()
                 met.add(name)
                 want = prefix_size(len(s), percent)
                 first = s
@@ -144,24 +186,58 @@ def nodes(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 CELLS = "cell long, node long, n long, hub long, hub_n long, size long"
+# Sizes above are alike.
+MANY = 3
 
 
 def cells(made: DataFrame) -> DataFrame:
-    """The nodes of prefix shingles that two nodes or more have."""
+    """The nodes of prefix shingles that two nodes or more have, with the first
+    as hub; ``size`` counts to ``MANY``. A cell is sorted by Spark and passes
+    through its task, which holds no more than a batch of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, at in groups_of(batches, ["cell"]):
-            cell, node, n = (table.column(c).to_numpy() for c in ("cell", "node", "n"))
-            # Sorted by node within the cell; a node comes once per task that met it.
+        # Of the cell that goes on: its name, hub, the hub's size and the last node.
+        going = None
+        held = [np.zeros(0, np.int64)] * 3
+
+        def passed(cell, node, n, last: bool):
+            nonlocal going, held
+            cell, node, n = (np.concatenate([h, v]) for h, v in zip(held, (cell, node, n)))
+            held = [np.zeros(0, np.int64)] * 3
+            if not len(cell):
+                return None
+            # A node comes once per task that met it.
             keep = np.ones(len(cell), bool)
             keep[1:] = (cell[1:] != cell[:-1]) | (node[1:] != node[:-1])
-            group = np.repeat(np.arange(len(at) - 1), np.diff(at))[keep]
+            if going and cell[0] == going[0] and node[0] == going[3]:
+                keep[0] = False
             cell, node, n = cell[keep], node[keep], n[keep]
-            size = np.bincount(group)
-            first = np.concatenate([[0], np.cumsum(size)[:-1]])
-            several = size[group] > 1
-            out = (cell, node, n, node[first][group], n[first][group], size[group])
-            yield pa.RecordBatch.from_arrays([pa.array(c[several]) for c in out], names=[f.split()[0] for f in CELLS.split(", ")])
+            if not len(cell):
+                return None
+            first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            size = np.diff(np.append(first, len(cell)))
+            hub, hub_n, more = node[first], n[first], size.copy()
+            if going and cell[0] == going[0]:
+                hub[0], hub_n[0], more[0] = going[1], going[2], MANY
+            end = len(cell)
+            going = None
+            if not last and more[-1] < MANY:
+                # The last cell is too short to tell its size.
+                end = int(first[-1])
+                held = [v[end:] for v in (cell, node, n)]
+            elif not last:
+                going = (cell[-1], hub[-1], hub_n[-1], node[-1])
+            out = (cell, node, n, np.repeat(hub, size), np.repeat(hub_n, size), np.minimum(np.repeat(more, size), MANY))
+            several = out[5][:end] > 1
+            return pa.RecordBatch.from_arrays([pa.array(c[:end][several]) for c in out], names=[f.split()[0] for f in CELLS.split(", ")])
+
+        for batch in batches:
+            made = passed(*(batch.column(c).to_numpy() for c in ("cell", "node", "n")), last=False)
+            if made is not None:
+                yield made
+        made = passed(*[np.zeros(0, np.int64)] * 3, last=True)
+        if made is not None:
+            yield made
 
     postings = made.where(F.col("prefix").isNotNull()).select(F.explode("prefix").alias("cell"), "node", "n")
     return postings.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, CELLS)
@@ -241,28 +317,68 @@ def tree_pairs(x: SignatureTree, y: SignatureTree | None, percent: int) -> tuple
     return i, j
 
 
-def _cell_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _possible_pairs(table: pa.Table, at: np.ndarray, signatures: Signatures, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each cell of two blocks the pairs of rows that may be links."""
+    n, comp, side = (table.column(c).to_numpy() for c in ("n", "component", "side"))
+    crossed, maps = table.column("crossed").to_numpy(), signatures.maps
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        order = a + np.argsort(n[a:b], kind="stable")
+        sides = [order[side[order] == s] for s in (0, 1)]
+        trees = [SignatureTree(maps[s], n[s], comp[s]) if len(s) else None for s in sides]
+        if trees[0] is None or (crossed[a] and trees[1] is None):
+            continue
+        p, q = tree_pairs(trees[0], trees[1] if crossed[a] else None, percent)
+        p, q = sides[0][p], sides[1 if crossed[a] else 0][q]
+        keep = _wide_enough(signatures, p, n, signatures, q, n, percent)
+        yield p[keep], q[keep]
+
+
+DEALT = "cell long, i int, j int, side int, crossed boolean, node long, n long, component long"
+
+
+def _with_partner(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows of cells, without bitmaps, that are in a possible pair."""
     for table, at in groups_of(batches, ["cell", "i", "j"]):
-        node, n, comp, side = (table.column(c).to_numpy() for c in ("node", "n", "component", "side"))
-        data, _ = buffers(table.column("signature").combine_chunks())
-        maps = data.reshape(len(node), BITS // 8).view(np.uint64)
-        left, right = [], []
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-            order = a + np.argsort(n[a:b], kind="stable")
-            sides = [order[side[order] == s] for s in (0, 1)]
-            trees = [SignatureTree(maps[s], n[s], comp[s]) if len(s) else None for s in sides]
-            crossed = bool(table.column("crossed")[a].as_py())
-            if crossed and (trees[0] is None or trees[1] is None):
-                continue
-            p, q = tree_pairs(trees[0], trees[1] if crossed else None, percent)
-            left.append(sides[0][p])
-            right.append(sides[1 if crossed else 0][q])
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            low = np.where(node[a] < node[b], a, b)
-            high = a + b - low
-            columns = (node[low], node[high], comp[low], comp[high])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "ca", "cb"])
+        signatures = Signatures(*buffers(table.column("signature").combine_chunks()))
+        wanted = np.zeros(table.num_rows, bool)
+        for a, b in _possible_pairs(table, at, signatures, percent):
+            wanted[a] = wanted[b] = True
+        yield from table.select([f.split()[0] for f in DEALT.split(", ")]).filter(pa.array(wanted)).combine_chunks().to_batches()
+
+
+def _cell_links(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Of each cell links that join whatever its links join, from texts."""
+    for table, at in groups_of(batches, ["cell", "i", "j"]):
+        sets: list[np.ndarray] = []
+        for batch in table.to_batches():
+            for part in rows_of(batch, SLICE_BYTES, "text"):
+                sets += shingle_sets(*buffers(part.column("text")), words)
+        signatures = Signatures(*buffers(pa.array(map(_signature, sets), pa.large_binary())))
+        node, comp = (table.column(c).to_pylist() for c in ("node", "component"))
+        found_a, found_b = [], []
+        for left, right in _possible_pairs(table, at, signatures, percent):
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while parent.setdefault(c, c) != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
+            for a, b in zip(left.tolist(), right.tolist()):
+                ra, rb = root(comp[a]), root(comp[b])
+                if ra != rb and linked(sets[a], sets[b], percent):
+                    parent[max(ra, rb)] = min(ra, rb)
+                    found_a.append(node[a])
+                    found_b.append(node[b])
+        yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+
+
+def linked(u: np.ndarray, v: np.ndarray, percent: int) -> bool:
+    """Do two sorted sets share enough? Decided by looking the smaller one up."""
+    u, v = (u, v) if len(u) <= len(v) else (v, u)
+    common = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+    return 100 * common >= percent * (len(u) + len(v) - common)
 
 
 def _deal(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -304,6 +420,16 @@ class Join:
         self.texts = docs.select("doc_id", F.xxhash64("text").alias("key"), utf8().alias("text"))
         self.made = staged(nodes(self.texts, words, percent), "nodes")
 
+    def texts_of(self, nodes: DataFrame) -> DataFrame:
+        """``nodes`` (a row per ``node``) with a text that has the node's set."""
+        met = self.made.where(F.col("signature").isNotNull()).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "key", "node")
+        one = met.groupBy("node").agg(F.min("doc").alias("doc"), F.min_by("key", F.struct("doc", "key")).alias("key"))
+        chosen = staged(nodes.join(one, "node"), "chosen")
+        chosen = F.broadcast(chosen) if chosen.count() <= MAX_BROADCAST else chosen
+        texts = self.texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "key", "text").join(chosen, ["doc", "key"])
+        # Rows that repeat both id and text are one; a set of several texts has one of them.
+        return texts.dropDuplicates(["node"]).drop("doc", "key")
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Of pairs ``(a, b, ca, cb)`` of nodes and their components enough
         links ``(a, b)`` to connect whatever the pairs' links connect.
@@ -321,12 +447,7 @@ class Join:
         placed = pairs.select(F.least(first, second).alias("i"), F.greatest(first, second).alias("j"), *small)
         wanted = placed.select("i", "j", F.col("a").alias("node")).unionByName(placed.select("i", "j", F.col("b").alias("node")))
         wanted = wanted.groupBy("node").agg(F.collect_set(F.struct("i", "j")).alias("at"))
-        # One text of each wanted set, with the cells it goes to.
-        met = self.made.where(F.col("signature").isNotNull()).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "node")
-        chosen = met.join(wanted, "node").groupBy("node").agg(F.min("doc").alias("doc"), F.first("at").alias("at"))
-        chosen = staged(chosen, "chosen")
-        chosen = F.broadcast(chosen) if chosen.count() <= MAX_BROADCAST else chosen
-        texts = self.texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text").join(chosen, "doc")
+        texts = self.texts_of(wanted)
         none = F.lit(None).cast("long")
         sets = texts.select("node", "text", F.explode("at").alias("k")).select(
             "k.*", F.col("node").alias("a"), none.alias("b"), none.alias("ca"), none.alias("cb"), "text"
@@ -353,15 +474,12 @@ class Join:
                         if (i, j) != cell:
                             cell, known, parent = (i, j), {}, {}
                         if not pair:
-                            if set_id(own) == a:  # else another text with this id
-                                known[a] = own
+                            known[a] = own
                             continue
                         ra, rb = root(ca), root(cb)
                         if ra == rb:
                             continue
-                        u, v = known[a], known[b]
-                        common = len(np.intersect1d(u, v, assume_unique=True))
-                        if 100 * common >= percent * (len(u) + len(v) - common):
+                        if linked(known[a], known[b], percent):
                             parent[max(ra, rb)] = min(ra, rb)
                             found_a.append(a)
                             found_b.append(b)
@@ -381,10 +499,12 @@ class Join:
         def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-                sa, sb = (buffers(batch.column(c))[0].reshape(len(na), BITS // 8).view(np.uint64) for c in ("sa", "sb"))
-                spare = [n - np.bitwise_count(s).sum(axis=1, dtype=np.int64) for n, s in ((na, sa), (nb, sb))]
-                most = np.bitwise_count(sa & sb).sum(axis=1, dtype=np.int64) + np.minimum(*spare)
+                sa, sb = (Signatures(*buffers(batch.column(c))) for c in ("sa", "sb"))
+                spare = [n - np.bitwise_count(s.maps).sum(axis=1, dtype=np.int64) for n, s in ((na, sa), (nb, sb))]
+                most = np.bitwise_count(sa.maps & sb.maps).sum(axis=1, dtype=np.int64) + np.minimum(*spare)
                 keep = (100 + percent) * most >= percent * (na + nb)
+                at = np.flatnonzero(keep)
+                keep[at] = _wide_enough(sa, at, na, sb, at, nb, percent)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
         near = hubs.mapInArrow(leaves, "a long, b long").withColumns({"ca": F.col("a"), "cb": F.col("b")})
@@ -392,8 +512,12 @@ class Join:
         first = staged(self.verify(near), "hub_links")
         labels = staged(components(first), "hub_components")
         dealt = _deal(members, labels).join(signatures, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-        rest = staged(dealt.mapInArrow(lambda b: _cell_pairs(b, percent), "a long, b long, ca long, cb long").distinct(), "tree_pairs")
-        second = staged(self.verify(rest), "tree_links")
+        wanted = staged(dealt.mapInArrow(lambda b: _with_partner(b, percent), DEALT), "cell_partners")
+        texts = self.texts_of(wanted.select("node").distinct())
+        words = self.words
+        whole = wanted.join(texts, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+        second = whole.select(*wanted.columns, "text").mapInArrow(lambda b: _cell_links(b, words, percent), "a long, b long")
+        second = staged(second.distinct(), "tree_links")
         return first.unionByName(second), components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
     def groups(self) -> DataFrame:
@@ -420,6 +544,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     without words stay. Rows equal in id and text are one document."""
     found = Join(docs, words, percent).groups()
     gone = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = staged(gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "gone")
+    doc, key = free_names(docs, "id", "key")
+    gone = staged(gone.select(F.col("doc_id").alias(doc), F.col("key").alias(key)).distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= MAX_DROPPED else gone
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(key)), "left_anti")
