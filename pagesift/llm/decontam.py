@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.tasks import rows_of, small_batches, with_texts
+from pagesift.llm.tasks import free_names, rows_of, small_batches, with_texts
 
 WINDOW = 10
 # Words of one automaton; it has at most twice as many states.
@@ -36,7 +36,12 @@ MIN_SPAN_WORDS = 1
 MAX_COVERAGE = 0.8
 SLICE_BYTES = 8 << 20
 # Names that no column of the documents has.
-N_WORDS, HIT_WORDS, HIT_ITEMS = "__n_words", "__hit_words", "__hit_items"
+
+
+def _names(docs: DataFrame) -> list[str]:
+    """Columns for the words of a text, the bits of those hit and the items."""
+    return free_names(docs, "n_words", "hit_words", "hit_items")
+
 
 # A-Z to lower case; everything ASCII that is no letter or digit to a space.
 _WORD_BYTES = bytes(
@@ -187,7 +192,8 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     kept = docs.columns
-    out = docs.select("*", F.lit(0).cast("long").alias(N_WORDS), F.lit(b"").alias(HIT_WORDS), F.array().cast("array<string>").alias(HIT_ITEMS))
+    n_words, hit_words, hit_items = _names(docs)
+    out = docs.select("*", F.lit(0).cast("long").alias(n_words), F.lit(b"").alias(hit_words), F.array().cast("array<string>").alias(hit_items))
     schema = out.schema
     for automaton in automata(items, window=window):
         shared = spark.sparkContext.broadcast(automaton)
@@ -198,7 +204,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
                 for batch in rows_of(whole, SLICE_BYTES, "text"):
                     counts, bits, names = [], [], []
                     for text, old_bits, old_names in zip(
-                        batch.column("text"), batch.column(HIT_WORDS).to_pylist(), batch.column(HIT_ITEMS).to_pylist()
+                        batch.column("text"), batch.column(hit_words).to_pylist(), batch.column(hit_items).to_pylist()
                     ):
                         value = text.as_py()
                         n, hits, found = _scan(value.encode() if isinstance(value, str) else value, sam)
@@ -209,7 +215,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
                         names.append([*(old_names or []), *(str(sam.names[i]) for i in found)])
                     columns = [batch.column(c) for c in kept]
                     columns += [pa.array(counts, pa.int64()), pa.array(bits, pa.binary()), pa.array(names, pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*kept, N_WORDS, HIT_WORDS, HIT_ITEMS])
+                    yield pa.RecordBatch.from_arrays(columns, names=[*kept, n_words, hit_words, hit_items])
 
         out = out.mapInArrow(run, schema)
     return out
@@ -217,20 +223,22 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def judge(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: how many of its words lie in windows of items."""
-    found = scan(docs.select("doc_id", "text"), items, window)
+    docs = docs.select("doc_id", "text")
+    found = scan(docs, items, window)
+    n_words, hit_words, hit_items = _names(docs)
     # The bits are counted as the ones of their hexadecimal digits.
-    digits = F.hex(HIT_WORDS)
+    digits = F.hex(hit_words)
     ones = sum(
         (F.length(digits) - F.length(F.translate(digits, d, ""))) * bin(int(d, 16)).count("1") for d in "123456789ABCDEF"
     )
     n_hit = F.coalesce(ones, F.lit(0)).cast("long")
-    names = F.array_sort(HIT_ITEMS)
+    found_items = F.array_sort(hit_items)
     return found.select(
         "doc_id",
-        F.coalesce(N_WORDS, F.lit(0)).cast("long").alias("n_words"),
+        F.coalesce(n_words, F.lit(0)).cast("long").alias("n_words"),
         n_hit.alias("n_hit"),
-        F.size(HIT_ITEMS).cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", names).cast("binary"), 256).alias("items_sha256"),
+        F.size(hit_items).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", found_items).cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
 
@@ -269,10 +277,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_s
     not there, which ten words across one cut make all but impossible."""
     found = scan(docs, items, window)
     columns = docs.columns
+    hit_words = _names(docs)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = batch.column(HIT_WORDS).to_pylist()
+            bits = batch.column(hit_words).to_pylist()
             texts = [clean_text(t, b, min_span, max_coverage) for t, b in zip(batch.column("text").to_pylist(), bits)]
             keep = [new is not None or not own for new, own in zip(texts, bits)]
             yield with_texts(batch, columns, texts, [bool(own) for own in bits]).filter(pa.array(keep, pa.bool_()))

@@ -36,17 +36,15 @@ from pyspark.sql import functions as F
 
 from pagesift.llm.shingles import mix
 from pagesift.llm.suffixes import permuted_lcp, suffix_array
-from pagesift.llm.tasks import buffers, groups_of, rows_of, small_batches, staged, utf8, with_texts
+from pagesift.llm.tasks import buffers, free_names, groups_of, rows_of, small_batches, staged, utf8, with_texts
 
 LENGTH = 100
 ANCHOR = 32
 SLICE_BYTES = 2 << 20  # below 2 ** PLACE_BITS
 PLACE_BITS = 22
 SHARD_BYTES = 2 << 20
-# Texts of one anchor from which on its windows are dealt one by one; at most
-# one anchor in HOT_SHARE repeated ones can be so frequent.
+# Texts of one anchor from which on its windows are dealt one by one.
 HOT_TEXTS = 50_000
-HOT_SHARE = 100_000
 NULL_ID = -(2**63)
 # Rows of a table that is broadcast after it was counted.
 MAX_BROADCAST = 1_000_000
@@ -277,8 +275,9 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     repeated = found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, "doc long, anchor long")
     repeated = staged(repeated, "repeated")
     counts = repeated.groupBy("anchor").agg(F.count("*").alias("n"))
-    hot = counts.where(F.col("n") > max(HOT_TEXTS, repeated.count() // HOT_SHARE)).select("anchor", F.lit(True).alias("is_hot"))
-    of_doc = repeated.join(F.broadcast(hot), "anchor", "left").groupBy("doc").agg(
+    hot = staged(counts.where(F.col("n") > HOT_TEXTS).select("anchor", F.lit(True).alias("is_hot")), "hot")
+    hot = F.broadcast(hot) if hot.count() <= MAX_BROADCAST else hot
+    of_doc = repeated.join(hot, "anchor", "left").groupBy("doc").agg(
         F.collect_list("anchor").alias("repeated"), F.collect_list(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot")
     )
     segments = staged(texts.join(of_doc, "doc").mapInArrow(_segment_rows, SEGMENTS), "segments")
@@ -341,18 +340,17 @@ def remove(docs: DataFrame) -> DataFrame:
     such a column, follows the text."""
     rows, ranges = removals(docs)
     columns = docs.columns
-    copies = rows.where("whole").select(F.col("doc").alias("__doc"), F.col("key").alias("__key"))
-    copies = F.broadcast(copies.distinct()) if copies.count() <= MAX_BROADCAST else copies.distinct()
-    by_doc = ranges.groupBy("doc", "key").agg(F.collect_list(F.struct("begin", "end")).alias("__ranges"))
-    by_doc = by_doc.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), "__ranges")
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__doc")
-    named = docs.select("*", doc, F.xxhash64(F.coalesce(utf8(), F.lit(b""))).alias("__key"))
-    joined = named.join(copies, ["__doc", "__key"], "left_anti").join(by_doc, ["__doc", "__key"], "left").select(*columns, "__ranges")
+    doc, key, cuts = free_names(docs, "doc", "key", "ranges")
+    copies = rows.where("whole").select(F.col("doc").alias(doc), F.col("key").alias(key)).distinct()
+    copies = F.broadcast(copies) if copies.count() <= MAX_BROADCAST else copies
+    by_doc = ranges.groupBy(F.col("doc").alias(doc), F.col("key").alias(key)).agg(F.collect_list(F.struct("begin", "end")).alias(cuts))
+    named = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias(doc), F.xxhash64(F.coalesce(utf8(), F.lit(b""))).alias(key))
+    joined = named.join(copies, [doc, key], "left_anti").join(by_doc, [doc, key], "left").select(*columns, cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = batch.column("text").to_pylist(), []
-            ranges = batch.column("__ranges").to_pylist()
+            ranges = batch.column(cuts).to_pylist()
             for i, own in enumerate(ranges):
                 if own:
                     left, _ = _cut(texts[i].encode(), *(np.array([r[c] for r in own], np.int64) for c in ("begin", "end")))
