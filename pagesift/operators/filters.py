@@ -41,22 +41,6 @@ def not_blacklisted(df: DataFrame, useless: Sequence[str], commerce: Sequence[st
     return df.where(url_ok(Rules(useless=useless, commerce=commerce), url))
 
 
-def not_listed(df: DataFrame, patterns: DataFrame, url: str = "furl") -> DataFrame:
-    """Rows whose URL contains no pattern of a table of any length.
-
-    Each distinct URL's substrings, up to the longest pattern, are joined to the
-    patterns; nothing of either table passes the driver but that one length.
-    """
-    longest = patterns.agg(F.max(F.length("pattern"))).first()[0] or 0
-    text = F.col(url)
-    ends = lambda i: F.sequence(F.lit(1), F.least(F.lit(longest), F.length(text) - i + 1))
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.transform(ends(i), lambda n: F.substring(text, i, n))))
-    urls = df.where(text.isNotNull() & (text != "")).select(url).distinct()
-    pieces = urls.select(url, F.explode(F.array_distinct(parts)).alias("pattern"))
-    listed = pieces.join(patterns.select("pattern").distinct(), "pattern").select(url).distinct()
-    return df.join(listed, url, "left_anti")
-
-
 def error_body(rules: Rules, content: str = "fcontent", trimmed: bool = False) -> Column:
     """The body is an error message; a null body is none.
 

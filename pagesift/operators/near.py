@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pagesift import fixed
 from pagesift.functions.hashing import let, mask_block, signed64, within_bits
 from pagesift.operators.lookup import HOT_KEYS, attach
+from pagesift.operators.near_bits import pairs_within
 from pagesift.session import stage
 
 BLOCKS = range(len(fixed.BLOCK_MASKS))
@@ -32,7 +33,8 @@ def _check(k: int) -> None:
 
 
 def near_pairs(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFrame:
-    """Every pair of hashes one bit apart, once: ``(by, fid_a, fid_b, hash_a, hash_b)``.
+    """Every pair of hashes one bit apart, once: ``(by, fid_a, fid_b, hash_a, hash_b)``;
+    for more bits see ``near_bits``.
 
     Buckets with one hash are dropped right after the shuffle. In the others
     each hash is filed under each bit of the free block cleared; two hashes
@@ -40,6 +42,8 @@ def near_pairs(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFra
     two rows and no pair is formed only to be thrown away. The keys lie within
     buckets, so this needs no second shuffle.
     """
+    if k > 1:
+        return pairs_within(groups, k, by)
     _check(k)
     by = list(by)
     blocks = F.explode_outer(
@@ -199,8 +203,9 @@ def near_passes(
 
 
 def near_groups(groups: DataFrame, k: int = 1, by: Sequence[str] = ()) -> DataFrame:
-    """The groups after the last pass, as one plan."""
-    return near_passes(groups, k, by, store=lambda df, _: df)[-1]
+    """The groups after the last pass; each pass is stored, so that the plan of
+    the next one reads its input once."""
+    return near_passes(stage(groups, "near_input"), k, by)[-1]
 
 
 def near_members(

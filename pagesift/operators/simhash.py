@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.functions.hashing import xxh64
-from pagesift.operators.words import keyword_rows, token_rows
+from pagesift.operators.words import ROW, keyword_rows, row_key, token_rows
 
 # Bits j and j + 32 of a token hash are counted in the two halves of one long:
 # half the sums, half the shuffled bytes. A text has fewer than 2**31 tokens
@@ -16,7 +16,6 @@ from pagesift.operators.words import keyword_rows, token_rows
 _HALF = 32
 _PAIR = (1 << _HALF) | 1
 _LOW = (1 << _HALF) - 1
-_ROW = "_row"
 
 
 def simhash_rows(
@@ -60,8 +59,8 @@ def simhash64(
     Rows that share their ids but not their tokens are kept apart; rows equal in
     both give one row.
     """
-    rows = df.select(*ids, tokens, F.xxhash64(tokens).alias(_ROW))
-    return simhash_rows(token_rows(rows, [*ids, _ROW], tokens), [*ids, _ROW], token_hash).drop(_ROW)
+    rows = df.select(*ids, tokens, row_key(tokens).alias(ROW))
+    return simhash_rows(token_rows(rows, [*ids, ROW], tokens), [*ids, ROW], token_hash).drop(ROW)
 
 
 def simhash_keywords(
@@ -73,6 +72,7 @@ def simhash_keywords(
 ) -> DataFrame:
     """Similarity hash of the lexicon's keywords: ``(ids, hash)``, 0 for a text
     without any. Each text gets a null token besides, which no bag counts."""
-    none = tokens.select(*ids, F.lit(None).cast("string").alias("token"))
-    kept = keyword_rows(tokens, lexicon, ids, **rule).select(*ids, "token")
-    return simhash_rows(kept.unionByName(none), ids, token_hash)
+    row = row_key().alias(ROW)
+    none = tokens.select(*ids, row, F.lit(None).cast("string").alias("token"))
+    kept = keyword_rows(tokens, lexicon, ids, extra=[row], **rule).select(*ids, ROW, "token")
+    return simhash_rows(kept.unionByName(none), [*ids, ROW], token_hash).drop(ROW)

@@ -12,6 +12,14 @@ from pagesift.functions.text import clean_markup, keep_script, tokenize
 from pagesift.operators.lookup import fits, lookup_join
 
 
+ROW = "_row"
+
+
+def row_key(tokens: str = "tokens") -> Column:
+    """Tells rows with the same ids and other tokens apart."""
+    return F.xxhash64(tokens)
+
+
 def title_content_tokens(crawl: DataFrame, ids: Sequence[str] = ("fid",)) -> DataFrame:
     """Cleaned tokens of title and content, both in one pass over the rows."""
     return crawl.select(
@@ -44,8 +52,9 @@ def keyword_rows(
     nature: str = "n",
     min_len: int = 2,
     small: bool | None = None,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per kept token: ``(ids, pos, token)``; dropped texts have no row.
+    """One row per kept token: ``(ids, extra, pos, token)``; dropped texts have no row.
 
     A word is kept if the lexicon gives it a nature starting with ``nature``
     and it has at least ``min_len`` characters. No text moves between executors.
@@ -57,7 +66,7 @@ def keyword_rows(
     )
     if small is None:
         small = fits(wanted)
-    rows = tokens.select(*ids, F.posexplode_outer("tokens").alias("pos", "token"))
+    rows = tokens.select(*ids, *extra, F.posexplode_outer("tokens").alias("pos", "token"))
     rows = rows.where(F.length("token") >= min_len)
     return lookup_join(rows, wanted, ["token"], [*ids, "pos"], small, "left_semi" if small else "inner")
 
@@ -72,19 +81,22 @@ def keywords(
 ) -> DataFrame:
     """Keyword tokens per text, order and repeats kept: ``(ids, tokens)``.
 
-    Without a lexicon only the length rule applies, inside the row.
+    Without a lexicon only the length rule applies, inside the row. Rows that
+    share their ids but not their tokens are kept apart.
     """
     if lexicon is None:
         return tokens.select(*ids, F.filter("tokens", lambda t: F.length(t) >= min_len).alias("tokens"))
+    row = row_key().alias(ROW)
+    # A set, since rows may be equal in ids and tokens.
     kept = (
-        keyword_rows(tokens, lexicon, ids, nature, min_len, small)
-        .groupBy(*ids)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_kept"))
+        keyword_rows(tokens, lexicon, ids, nature, min_len, small, [row])
+        .groupBy(*ids, ROW)
+        .agg(F.array_sort(F.collect_set(F.struct("pos", "token"))).alias("_kept"))
     )
     empty = F.array().cast("array<string>")
     return (
-        tokens.select(*ids)
-        .join(kept, list(ids), "left")
+        tokens.select(*ids, row)
+        .join(kept, [*ids, ROW], "left")
         .select(*ids, F.coalesce(F.col("_kept.token"), empty).alias("tokens"))
     )
 

@@ -49,7 +49,7 @@ def load_label_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def patterns(rules: DataFrame, column: str = "pattern") -> list[str]:
     """Rules as a list for the plan: a site's configuration. A list too long
-    for that stays a table, see ``operators.filters.not_listed``."""
+    for that stays a table, see ``operators.rule_tables``."""
     return [row[0] for row in rules.select(column).orderBy(column).collect()]
 
 

@@ -46,6 +46,10 @@ RULES = Rules(
     search_home="erhe onsh",
     error_body=ERROR_PREFIX,
 )
+# Rule tables made of the pages: each host with a language of its paths.
+HOST = r"://([^/?#]+)"
+PATH_LANG = r"://[^/?#]+/([a-z]+)/"
+BLOCKED_LANG, TITLE_LANG = "fr", "en"
 # Spanish is left out of the parents that have child models.
 LISTED = ("de", "en", "fr")
 
@@ -54,6 +58,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(host, label)`` of all hosts whose paths name a language."""
+    url = F.col("url")
+    named = table(spark, sf_dir, "pages").select(F.regexp_extract(url, HOST, 1).alias("host"), F.regexp_extract(url, PATH_LANG, 1).alias("label"))
+    return named.where((F.col("host") != "") & (F.col("label") != "")).groupBy("host").agg(F.min("label").alias("label"))
+
+
+def host_patterns(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    return host_rules(spark, sf_dir).where(F.col("label") == label).select(F.col("host").alias("pattern"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 

@@ -111,6 +111,11 @@ LEXICON = f"""lexicon AS (
   SELECT word, CASE length(word) % 3 WHEN 0 THEN 'v' WHEN 1 THEN 'n' ELSE 'nz' END AS nature
   FROM (SELECT DISTINCT unnest({_tokens(TITLE)}) AS word FROM pages))"""
 
+HOST_RULES = f"""host_rules AS (
+  SELECT host, min(label) AS label FROM (
+    SELECT regexp_extract(url, '{data.HOST}', 1) AS host, regexp_extract(url, '{data.PATH_LANG}', 1) AS label FROM pages)
+  WHERE host <> '' AND label <> '' GROUP BY host)"""
+
 HASHES = [HASH_WORDS, *_hash_ctes(MD5_64, "hash_words")]
 EXACT = [
     *HASHES,
@@ -437,6 +442,11 @@ ORACLE: dict[str, str] = {
         + ")",
         select="SELECT * FROM paired",
     ),
+    "near_pairs_k3": _with(
+        *EXACT,
+        select="SELECT a.fid AS fid_a, b.fid AS fid_b, a.hash AS hash_a, b.hash AS hash_b FROM exact a JOIN exact b "
+        "ON a.fid < b.fid WHERE bit_count(xor(a.hash, b.hash)) <= 3",
+    ),
     "group_top": _with(
         *EXACT,
         f"masked_hash AS (SELECT hash & ({signed64(fixed.BLOCK_MASKS[3])})::BIGINT AS masked, * FROM exact)",
@@ -517,6 +527,37 @@ ORACLE: dict[str, str] = {
     f"FROM (SELECT page_id, {_site('url')} AS furl FROM pages)",
     "title_only_site": f"SELECT page_id, {TITLE_ONLY} AS is_title_only "
     f"FROM (SELECT page_id, {_site('url')} AS furl FROM pages)",
+    "url_table": _with(
+        HOST_RULES,
+        select="SELECT page_id FROM pages WHERE NOT EXISTS "
+        f"(FROM host_rules WHERE label = '{data.BLOCKED_LANG}' AND contains(url, host))",
+    ),
+    "site_label_table": _with(
+        HOST_RULES,
+        select="SELECT page_id, CASE WHEN count(host) = 1 THEN min(label) ELSE '' END AS site_label "
+        "FROM pages LEFT JOIN host_rules ON contains(url, host) GROUP BY page_id",
+    ),
+    "title_only_table": _with(
+        HOST_RULES,
+        select=f"SELECT page_id, count(host) > 0 AS is_title_only FROM pages LEFT JOIN host_rules "
+        f"ON label = '{data.TITLE_LANG}' AND contains(url, host) GROUP BY page_id",
+    ),
+    "repeated_ids_keywords": _with(
+        CRAWL,
+        LEXICON,
+        # Second rows have ids of their own here.
+        f"""both_rows AS (
+  SELECT doc_id AS fid, {_clean_tokens('text')} AS t FROM documents SEMI JOIN crawl ON fid = doc_id
+  UNION ALL SELECT -1 - fid, {_clean_tokens('ftitle')} FROM crawl WHERE fid % 3 = 0)""",
+        "both_placed AS (SELECT fid, pos, t[pos] AS token FROM (SELECT fid, t, unnest(range(1, len(t) + 1)) AS pos FROM both_rows))",
+        "both_kept AS (SELECT fid, pos, token FROM both_placed JOIN lexicon ON word = token "
+        "WHERE starts_with(nature, 'n') AND length(token) >= 2)",
+        *_hash_ctes(MD5_64, "both_kept"),
+        "both_words AS (SELECT fid, string_agg(token, ' ' ORDER BY pos) AS value FROM both_kept GROUP BY fid)",
+        select="SELECT CASE WHEN fid < 0 THEN -1 - fid ELSE fid END AS fid, value FROM ("
+        "SELECT fid, coalesce(value, '') AS value FROM both_rows LEFT JOIN both_words USING (fid) "
+        "UNION ALL SELECT fid, coalesce(hash, 0)::VARCHAR FROM both_rows LEFT JOIN hashes USING (fid))",
+    ),
     "final_label": _with(
         *_assembled("crawl"), *_published(), select=f"SELECT * EXCLUDE (stat_date) FROM published {NOT_UNKNOWN}"
     ),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagesift import fixed
 from pagesift.functions import hashing, text, urls
-from pagesift.operators import assemble, classify, decide, exact, filters, near, words
+from pagesift.operators import assemble, classify, decide, exact, filters, near, rule_tables, words
 from pagesift.operators import simhash as similarity
 from pagesift.operators.lookup import fits
 from pagesift.plans.articles import publish
@@ -123,6 +123,13 @@ def url_blacklist(spark, sf_dir):
     return filters.not_blacklisted(rows, data.USELESS, data.COMMERCE)
 
 
+@query
+def url_table(spark, sf_dir):
+    """Pages whose URL has no host of a table of blocked ones."""
+    rows = data.pages(spark, sf_dir).select("page_id", F.col("url").alias("furl"))
+    return rule_tables.not_listed(rows, data.host_patterns(spark, sf_dir, data.BLOCKED_LANG)).select("page_id")
+
+
 @query
 def error_body(spark, sf_dir):
     rows = data.documents(spark, sf_dir).select(F.col("doc_id").alias("fid"), F.col("text").alias("fcontent"))
@@ -246,6 +253,12 @@ def near_pairs(spark, sf_dir):
     return near.near_pairs(_exact(spark, sf_dir))
 
 
+@query
+def near_pairs_k3(spark, sf_dir):
+    """Pairs of hashes up to three bits apart."""
+    return near.near_pairs(_exact(spark, sf_dir), k=3)
+
+
 @query
 def group_top(spark, sf_dir):
     return near.group_top(_exact(spark, sf_dir), 3)
@@ -429,6 +442,20 @@ def title_only_site(spark, sf_dir):
     return rows.select("page_id", urls.title_only(F.col("furl"), data.TITLE_ONLY).alias("is_title_only"))
 
 
+@query
+def site_label_table(spark, sf_dir):
+    """The label of the one host in a page's URL, from a table of all hosts."""
+    rows = data.pages(spark, sf_dir).select("page_id", F.col("url").alias("furl"))
+    return rule_tables.site_label(rows, data.host_rules(spark, sf_dir)).select("page_id", "site_label")
+
+
+@query
+def title_only_table(spark, sf_dir):
+    rows = data.pages(spark, sf_dir).select("page_id", F.col("url").alias("furl"))
+    hosts = data.host_patterns(spark, sf_dir, data.TITLE_LANG)
+    return rule_tables.title_only(rows, hosts).select("page_id", "is_title_only")
+
+
 @query
 def final_label(spark, sf_dir):
     """The decision alone: labels of all articles, no row rule before it."""
@@ -478,6 +505,20 @@ def repeated_ids(spark, sf_dir):
     )
 
 
+@query
+def repeated_ids_keywords(spark, sf_dir):
+    """Keywords of articles given twice, the second time with the title as the
+    text: each row keeps its own, and has a hash of its own."""
+    tokens, _ = _words_and_models(spark, sf_dir)
+    first = tokens.select("fid", F.col("content_tokens").alias("tokens"))
+    second = tokens.where(F.col("fid") % 3 == 0).select("fid", F.col("title_tokens").alias("tokens"))
+    rows = stage(first.unionByName(second), "twice")
+    lexicon = data.lexicon(spark, sf_dir)
+    kept = words.keywords(rows, lexicon).select("fid", F.concat_ws(" ", "tokens").alias("value"))
+    hashes = similarity.simhash_keywords(rows, lexicon, token_hash=hashing.md5_64)
+    return classify.union_labels(kept, hashes.select("fid", F.col("hash").cast("string").alias("value")))
+
+
 def _duplicates(spark, sf_dir, crawl, threshold):
     store = tables.StageStore(spark, new_path(spark, "store"))
     report = run_duplicates(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagesift.functions.hashing import fnv1a64, md5_64, signed64, xxh64
-from pagesift.operators import exact, near
+from pagesift.operators import exact, near, near_bits
 from pagesift.operators.simhash import simhash64
 
 GROUP = "fid long, hash long, samelen long"
@@ -140,7 +140,39 @@ def test_near_pairs_match_brute_force(spark):
     }
     assert got == want and want
     with pytest.raises(ValueError):
-        near.near_pairs(spark.createDataFrame(rows, GROUP), k=2)
+        near.near_groups(spark.createDataFrame(rows, GROUP), k=2)
+
+
+@pytest.mark.parametrize("k, max_bucket", [(2, 256), (3, 256), (3, 8), (5, 32)])
+def test_pairs_within_more_bits(spark, k, max_bucket):
+    """Small buckets make the cutting go on to the last bits."""
+    r = random.Random(k)
+    hashes = {0, -1}
+    for _ in range(25):
+        base = r.getrandbits(64)
+        hashes |= {signed64(base ^ sum(1 << b for b in r.sample(range(64), r.randrange(k + 2)))) for _ in range(6)}
+    # Hashes that agree in all but a few neighbouring bits.
+    hashes |= {signed64((0xABCDEF << 40) | x) for x in range(70)}
+    rows = [(i, h, 1) for i, h in enumerate(sorted(hashes))]
+    days = [(d, *row) for d in ("a", "b") for row in rows]
+    got = near_bits.pairs_within(spark.createDataFrame(days, "day string, " + GROUP), k, ["day"], max_bucket)
+    want = [
+        (d, a[0], b[0], a[1], b[1])
+        for d in ("a", "b")
+        for i, a in enumerate(rows)
+        for b in rows[i + 1 :]
+        if ((a[1] ^ b[1]) & (2**64 - 1)).bit_count() <= k
+    ]
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 1000
+
+
+def test_pairs_of_many_bits_are_refused(spark):
+    rows = spark.createDataFrame([(1, 0, 1)], GROUP)
+    assert near.near_pairs(rows, k=3).count() == 0
+    for k in (0, 8):
+        with pytest.raises(ValueError):
+            near.near_pairs(rows, k=k)
+    assert near.near_pairs(rows.where("false"), k=3).count() == 0
 
 
 def test_days_do_not_mix(spark):

@@ -51,6 +51,8 @@ def test_keywords(spark):
     for small in (None, True, False):
         got = {r.fid: r.tokens for r in keywords(tokens, lexicon, small=small).collect()}
         assert got == {1: ["cat", "cat"], 2: [], 3: []}
+        twice = spark.createDataFrame([(1, ["cat"]), (1, ["x", "cat", "run"]), (1, ["cat"]), (1, ["cat", "cat"])], "fid long, tokens array<string>")
+        assert sorted(r.tokens for r in keywords(twice, lexicon, small=small).collect()) == [["cat"], ["cat"], ["cat"], ["cat", "cat"]]
     by_length = {r.fid: r.tokens for r in keywords(tokens).collect()}
     assert by_length == {1: ["cat", "run", "cat"], 2: ["run"], 3: []}
 

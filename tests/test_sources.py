@@ -1,10 +1,12 @@
 """Rule files, daily tables and the shared folder."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from pagesift import fixed, schemas, session
-from pagesift.operators import decide, filters
+from pagesift.operators import decide, filters, rule_tables
 from pagesift.sources import rules, tables
 from pagesift.testbed import data
 
@@ -33,9 +35,32 @@ def test_long_lists_stay_tables(spark):
     urls = ["http://a.com/x", "http://bad.org/", None, "", "http://ok.de/bad.net"]
     rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls * 3)], "fid long, furl string")
     listed = spark.createDataFrame([("bad.",), ("nowhere",), ("a.com/x",)], "pattern string")
-    got = sorted(r.fid for r in filters.not_listed(rows, listed).collect())
+    got = sorted(r.fid for r in rule_tables.not_listed(rows, listed).collect())
     assert got == [i for i, u in enumerate(urls * 3) if not any(p in (u or "") for p in ("bad.", "nowhere", "a.com/x"))]
-    assert filters.not_listed(rows, listed.where("pattern = 'x'")).count() == len(urls) * 3
+    assert rule_tables.not_listed(rows, listed.where("pattern = 'x'")).count() == len(urls) * 3
+
+
+def test_tables_of_many_rules(spark):
+    """Fifty thousand rules on all three uses, against a look at each."""
+    r = random.Random(1)
+    hosts = sorted({"".join(r.choice("abcdefghij.") for _ in range(r.randrange(1, 12))) for _ in range(60_000)})[:50_000]
+    labels = [(h, r.choice(["sport", "news"])) for h in hosts]
+    urls = [None, "", "x", "http://zzzz/"] + ["http://" + "".join(r.choice("abcdefghij./z") for _ in range(r.randrange(9))) + "/z" for _ in range(200)]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls + urls)], "fid long, furl string")
+    table = spark.createDataFrame(labels, "host string, label string").repartition(8)
+    patterns = table.selectExpr("host AS pattern").unionByName(spark.createDataFrame([(None,), ("",)], "pattern string"))
+    known = dict(labels)
+    hits = {u: [h for h in hosts if h in u] for u in urls if u}
+    long = {u: [h for h in of if len(h) > 4] for u, of in hits.items()}
+    got = rule_tables.with_site_rules(rows, table, patterns.where("length(pattern) > 4"))
+    want = sorted((i, known[hits[u][0]] if u and len(hits[u]) == 1 else "", bool(u and long[u])) for i, u in enumerate(urls + urls))
+    assert sorted(tuple(x) for x in got.select("fid", "site_label", "is_title_only").collect()) == want
+    assert any(label for _, label, _ in want) and any(t for *_, t in want)
+    kept = sorted(x.fid for x in rule_tables.not_listed(rows, patterns).collect())
+    assert kept == [i for i, u in enumerate(urls + urls) if not u or not hits[u]]
+    none = patterns.where("false")
+    assert rule_tables.not_listed(rows, none).count() == len(urls) * 2
+    assert rule_tables.title_only(rows, none).where("is_title_only").count() == 0
 
 
 def test_rule_files_to_decision(spark, tmp_path):
