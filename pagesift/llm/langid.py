@@ -250,48 +250,53 @@ RESULT = ("lang_pred", "score", "n_spans", "spans")
 SPANS = "array<struct<start:long,end:long,lang:string>>"
 
 
+def _labelled(batch: pa.RecordBatch, model: Model, switch: float, spans: bool) -> Iterator[dict]:
+    """For each text of a batch its language, score and spans."""
+    data, offsets = buffers(batch.column("text"))
+    words = split(data, offsets)
+    labels = label_words(words, model, switch) if model.langs else np.zeros(len(words.text), np.int64)
+    edges = np.searchsorted(words.text, np.arange(batch.num_rows + 1))
+    for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+        if a == b or not model.langs or not _has_letter(data[offsets[i] : offsets[i + 1]]):
+            yield {"lang_pred": UNKNOWN, "score": 0.0, "n_spans": 0, "spans": []}
+            continue
+        letters = np.bincount(labels[a:b], weights=words.length[a:b], minlength=len(model.langs))
+        top = int(letters.argmax())
+        cuts = np.flatnonzero(np.diff(labels[a:b])) + 1
+        row = {"lang_pred": model.langs[top], "score": float(letters[top] / letters.sum()), "n_spans": len(cuts) + 1, "spans": []}
+        if spans:
+            starts, ends = [0, *cuts.tolist()], [*cuts.tolist(), b - a]
+            row["spans"] = [{"start": s, "end": e, "lang": model.langs[labels[a + s]]} for s, e in zip(starts, ends)]
+        yield row
+
+
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH, names: Sequence[str] = RESULT, spans: bool = True) -> DataFrame:
     """The documents with their language, its score, the number of labelled
-    spans and, if asked for, the spans (in words), in columns of these names."""
+    spans and, if asked for, the spans (in words), in columns of these names.
+
+    Only the texts go to Python workers, and only labels come back.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = docs.columns
-    added = T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in list(zip(names, ("string", "double", "long", SPANS)))[: 3 + spans]))
-    schema = T.StructType([*docs.schema.fields, *added.fields])
+    made = T.StructType.fromDDL(f"lang_pred string, score double, n_spans long, spans {SPANS}")
+    kind = pa.struct([
+        ("lang_pred", pa.string()), ("score", pa.float64()), ("n_spans", pa.int64()),
+        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))),
+    ])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for whole in batches:
-            for batch in rows_of(whole, SLICE_BYTES, "text"):
-                data, offsets = buffers(batch.column("text"))
-                words = split(data, offsets)
-                langs, scores, counts, marked = [], [], [], []
-                labels = label_words(words, model, switch) if model.langs else np.zeros(len(words.text), np.int64)
-                edges = np.searchsorted(words.text, np.arange(batch.num_rows + 1))
-                for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-                    own = data[offsets[i] : offsets[i + 1]]
-                    if a == b or not model.langs or not _has_letter(own):
-                        langs.append(UNKNOWN)
-                        scores.append(0.0)
-                        counts.append(0)
-                        marked.append([])
-                        continue
-                    letters = np.bincount(labels[a:b], weights=words.length[a:b], minlength=len(model.langs))
-                    top = int(letters.argmax())
-                    cuts = np.flatnonzero(np.diff(labels[a:b])) + 1
-                    langs.append(model.langs[top])
-                    scores.append(float(letters[top] / letters.sum()))
-                    counts.append(len(cuts) + 1)
-                    if spans:
-                        starts, ends = [0, *cuts.tolist()], [*cuts.tolist(), b - a]
-                        marked.append([{"start": s, "end": e, "lang": model.langs[labels[a + s]]} for s, e in zip(starts, ends)])
-                columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())]
-                if spans:
-                    columns.append(pa.array(marked, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*kept, *added.names])
-
-    return docs.mapInArrow(run, schema)
+        for texts in batches:
+            batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+            yield pa.array([row for part in rows_of(batch, SLICE_BYTES, "text") for row in _labelled(part, model, switch, spans)], kind)
+
+    # Not deterministic for the planner, so that a filter does not run it again.
+    labels = F.arrow_udf(label, made).asNondeterministic()
+    (own,) = free_names(docs, "labels")
+    found = docs.withColumn(own, labels(utf8()))
+    fields = [F.col(f"{own}.{field}").alias(name) for field, name in list(zip(RESULT, names))[: 3 + spans]]
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], *fields)
 
 
 def _has_letter(own: np.ndarray) -> bool:

@@ -14,6 +14,7 @@ from pagesift.session import stage
 
 # Rows of one Arrow batch: a batch of long texts must fit a Python worker.
 BATCH_ROWS = 500
+BATCH_BYTES = 4 << 20
 NUMBER_BLOCK = 4_000
 
 
@@ -24,6 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches of later plans of this session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     drop_shuffles(spark)
 
 
