@@ -35,8 +35,8 @@ from pagesift.llm.tasks import number, rows_of, small_batches, staged, utf8
 CAPACITY = 2048
 SLACK = 0.02
 END_ID = 1
-MAX_CACHED = 800_000
-SLICE_BYTES = 4 << 20
+MAX_CACHED = 600_000
+SLICE_BYTES = 1 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class long"
 
 # The pre-tokens of the vocabulary file: its pattern, with white space, letters

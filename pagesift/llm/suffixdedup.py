@@ -40,7 +40,7 @@ from pagesift.llm.tasks import buffers, free_names, groups_of, rows_of, small_ba
 
 LENGTH = 100
 ANCHOR = 32
-SLICE_BYTES = 2 << 20  # below 2 ** PLACE_BITS
+SLICE_BYTES = 1 << 20  # below 2 ** PLACE_BITS
 PLACE_BITS = 22
 SHARD_BYTES = 2 << 20
 # Texts of one anchor from which on its windows are dealt one by one.
