@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from pagesift.llm.tasks import rows_of, small_batches, utf8
 
 SPACE = "▁"
-MAX_CACHED = 400_000
+MAX_CACHED = 1_000_000
 LONG_RUN = 48
 PART_CHARS = 1 << 18
 SLICE_BYTES = 4 << 20
@@ -233,8 +233,23 @@ class Codec:
 
     # Merging
 
-    def _merge(self, run: str) -> list[int]:
-        """The ids of a run: best pair first, leftmost of equals."""
+    def _merge_short(self, run: str) -> list[str]:
+        """The pieces of a short run: best pair first, leftmost of equals."""
+        get, none = self.rank.get, len(self.rank)
+        symbols = list(run)
+        ranks = [get(a + b, none) for a, b in zip(run, run[1:])]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(symbols[i] + symbols[i + 1], none)
+            if i:
+                ranks[i - 1] = get(symbols[i - 1] + symbols[i], none)
+        return symbols
+
+    def _merge_long(self, run: str) -> list[str]:
+        """The same for a run of any length, with a heap of pairs."""
         rank = self.rank
         symbols: list[str | None] = list(run)
         n = len(symbols)
@@ -255,10 +270,12 @@ class Codec:
                     heapq.heappush(heap, (r, i, len(s)))
             if (h := before[i]) >= 0 and (r := rank.get(s := symbols[h] + left)) is not None:
                 heapq.heappush(heap, (r, h, len(s)))
+        return [s for s in symbols if s is not None]
+
+    def _merge(self, run: str) -> list[int]:
+        """The ids of a run."""
         out: list[int] = []
-        for s in symbols:
-            if s is None:
-                continue
+        for s in self._merge_short(run) if len(run) <= LONG_RUN else self._merge_long(run):
             i = self.id.get(s)
             if i is not None:
                 out.append(i)
@@ -275,7 +292,8 @@ class Codec:
                 return b"".join(self._ids(run[a:b]) for a, b in zip([0, *cuts], [*cuts, len(run)]))
         ids = self.cache.get(run)
         if ids is None:
-            ids = np.array(self._merge(run), "<u4").tobytes()
+            merged = self._merge(run)
+            ids = struct.pack(f"<{len(merged)}I", *merged)
             if len(run) <= LONG_RUN:
                 if len(self.cache) >= MAX_CACHED:
                     self.cache.clear()
