@@ -25,9 +25,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagesift.functions.hashing import let, signed64
 from pagesift.llm.tasks import staged
 
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -191,15 +193,15 @@ def references(docs: DataFrame) -> dict[str, Reference]:
     }
 
 
-REFERENCES = "array<struct<lang:string,classes:array<double>,common:array<string>,words:array<double>,telling:boolean>>"
+REFERENCES = "array<struct<lang:string,classes:array<double>,hashes:array<bigint>,words:array<double>,telling:boolean>>"
 
 
 def reference_array(known: dict[str, Reference]) -> Column:
     """The references as one constant array, so that the plan has one size
-    however many languages there are."""
+    however many languages there are; words are given by Spark's hash of them."""
     share = lambda counts: [x / (sum(counts) or 1.0) for x in counts]
     rows = [
-        {"lang": lang, "classes": share(r.classes), "common": list(r.common), "words": share(r.words), "telling": r.telling} for lang, r in known.items()
+        {"lang": lang, "classes": share(r.classes), "hashes": [signed64(xxhash.xxh64_intdigest(w.encode(), 42)) for w in r.common], "words": share(r.words), "telling": r.telling} for lang, r in known.items()
     ]
     return F.from_json(F.lit(json.dumps(rows)), REFERENCES)
 
@@ -213,7 +215,7 @@ def common_shares(hashes: Column, common: Column, n_words: Column) -> Column:
     from the hashes of the text's common words of any language. A word's count
     is what the array loses without it."""
     counts = F.transform(common, lambda h: (F.size(hashes) - F.size(F.array_remove(hashes, h))) / n_words)
-    return F.concat(counts, F.array(F.lit(1.0) - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)))
+    return let(counts, lambda c: F.concat(c, F.array(F.lit(1.0) - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
 
 
 def judge(docs: DataFrame, known: dict[str, Reference] | None = None) -> DataFrame:
@@ -249,7 +251,7 @@ def verdicts(docs: DataFrame, known: dict[str, Reference]) -> DataFrame:
     rows = rows.withColumn("n_repeat_words", covered_words(F.col("_places")).cast("long")).drop("_places")
     rows = rows.withColumn("_p", shares(F.col("_classes")))
     each = F.transform(
-        F.transform(reference_array(known), lambda r: r.withField("hashes", _hashed(r["common"]))),
+        reference_array(known),
         lambda r: F.struct(
             js_distance(F.col("_p"), r["classes"]).alias("c"),
             F.when(F.col("n_words") > 0, js_distance(common_shares(F.col("_shared"), r["hashes"], F.col("n_words")), r["words"])).alias("w"),
