@@ -1,5 +1,6 @@
 """The training-data operators against brute force, on tables with every awkward row."""
 
+import functools
 import hashlib
 import math
 import random
@@ -10,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from pagesift.llm import bloomlm, components, decontam, langid, licenses, packing, quality, sharding, sigtree, suffixdedup, suffixes, urlfilter
@@ -489,6 +491,52 @@ def test_host_words():
         assert math.isclose(sum(map(known.cost, known.split(name))), max(sum(map(known.cost, c)) for c in cuts))
 
 
+def brute_scores(pages, rules=urlfilter.RULES):
+    """Plain naive Bayes: {(host, path): log odds} of (url, html) rows."""
+    counts = Counter(w for _, html in pages for t in re.findall("(?s)<title>(.*?)</title>", html or "")[:1] for w in regex.findall(r"\p{L}+", t.lower()))
+    total = float(sum(counts.values()) + len(counts) + 1)
+    known = urlfilter.Lexicon({w: math.log((n + 1) / total) for w, n in counts.items()}, total)
+    split = functools.cache(known.split)
+    parts = [brute_url(u) for u, _ in pages]
+    tokens = {}
+    for host, path, *_ in parts:
+        if (host, path) not in tokens:
+            runs = [(k, r) for k, t in (("h", host), ("p", path)) for r in regex.findall(r"\p{L}+|\p{Nd}+", t.lower())]
+            tokens[host, path] = [(k, w) for k, r in runs for w in (["0"] if r[0].isdecimal() else split(r))]
+    seen = {v: Counter(t for h, p, _, w in parts if w == v for t in tokens[h, p]) for v in ("block", "allow")}
+    docs = Counter(p[3] for p in parts)
+    both = set(seen["block"]) | set(seen["allow"])
+    odds = {t: math.log((seen["block"][t] + 1) / (seen["block"].total() + len(both))) - math.log((seen["allow"][t] + 1) / (seen["allow"].total() + len(both))) for t in both}
+    prior = math.log(docs["block"] / docs["allow"])
+    return {hp: prior + sum(odds.get(t, 0.0) for t in own) for hp, own in tokens.items()}
+
+
+@pytest.mark.parametrize("small", [200_000, 0])
+def test_url_scores(spark, sf_dir, small, monkeypatch):
+    monkeypatch.setattr(urlfilter, "SMALL_TABLE", small)
+    monkeypatch.setattr(urlfilter, "PIECE", 8)
+    given = [(r.url, r.html) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    long, once = "donaudampfschifffahrtskapitän" * 2, "quetzalcoatl"
+    title = f"<title>Stone River {long} {once} Ärger</title>"
+    given += [(u, title) for u in URLS] + [(None, None)] * 40
+    given += [(f"http://stone{long}river{k}.example.{t}/{once}ärger/{'riverstone' * 40}/x٣", None) for k in range(3) for t in ("net", "org", "de")]
+    given += [(f"http://stoneriver.example.org/en/{once}/{k}", title) for k in range(60)]
+    want = brute_scores(given)
+    rows_ = [(n, u, h, "extra") for n, (u, h) in enumerate(given)]
+    got = urlfilter.judge(spark.createDataFrame(rows_, "page_id long, url string, html string, part string").repartition(3)).collect()
+    assert sorted(r.page_id for r in got) == list(range(len(given)))
+    for r in got:
+        assert math.isclose(r.score, want[r.host, r.path], abs_tol=1e-6)
+        assert r.verdict == (brute_url(given[r.page_id][0])[3] or ("block" if want[r.host, r.path] > 0 else "allow"))
+
+
+def test_urls_of_one_class(spark):
+    schema = "page_id long, url string, html string"
+    only = lambda *urls: [r.verdict for r in urlfilter.judge(spark.createDataFrame([(1, u, None) for u in urls], schema)).collect()]
+    assert only("http://a.de/x", None) == ["allow"] * 2 and only("http://a.net/", "http://b.de/") == ["block"] * 2
+    assert only("http://a.org/fr/", "http://b.de/") == ["allow"] * 2
+
+
 # 9
 
 
