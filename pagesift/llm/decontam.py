@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.tasks import free_names, rows_of, small_batches, with_texts
+from pagesift.llm.tasks import free_names, lean, rows_of, small_batches, with_texts
 
 WINDOW = 10
 # Words of one automaton; it has at most twice as many states.
@@ -217,7 +217,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
                     columns += [pa.array(counts, pa.int64()), pa.array(bits, pa.binary()), pa.array(names, pa.list_(pa.string()))]
                     yield pa.RecordBatch.from_arrays(columns, names=[*kept, n_words, hit_words, hit_items])
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(lean(run), schema)
     return out
 
 
@@ -286,4 +286,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_s
             keep = [new is not None or not own for new, own in zip(texts, bits)]
             yield with_texts(batch, columns, texts, [bool(own) for own in bits]).filter(pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(run, docs.schema)
+    return found.mapInArrow(lean(run), docs.schema)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesift.llm.tasks import buffers, free_names, rows_of, small_batches, utf8
+from pagesift.llm.tasks import buffers, free_names, lean, rows_of, small_batches, utf8
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -153,7 +153,7 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCUMENTS) -> Model:
                 at = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["lang", "kind", "feature", "n"])
 
-    counts = chosen.mapInArrow(run, TRAINING).groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n"))
+    counts = chosen.mapInArrow(lean(run), TRAINING).groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n"))
     table = counts.toPandas()  # of the model's size
     langs = sorted(table["lang"].unique())
     found = [np.zeros((size, len(langs))) for size in (BUCKETS, BUCKETS, SCRIPTS)]
@@ -292,7 +292,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH, names: Sequen
             yield pa.array([row for part in rows_of(batch, SLICE_BYTES, "text") for row in _labelled(part, model, switch, spans)], kind)
 
     # Not deterministic for the planner, so that a filter does not run it again.
-    labels = F.arrow_udf(label, made).asNondeterministic()
+    labels = F.arrow_udf(lean(label), made).asNondeterministic()
     (own,) = free_names(docs, "labels")
     found = docs.withColumn(own, labels(utf8()))
     fields = [F.col(f"{own}.{field}").alias(name) for field, name in list(zip(RESULT, names))[: 3 + spans]]

@@ -18,7 +18,6 @@ id are packed row by row; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
-import functools
 import os
 import re
 import unicodedata
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagesift.llm.tasks import number, rows_of, small_batches, staged, utf8
+from pagesift.llm.tasks import held, lean, number, rows_of, small_batches, staged, utf8
 
 CAPACITY = 2048
 SLACK = 0.02
@@ -101,10 +100,9 @@ class Encoder:
         return [self._ids([t])[0] if pieces is None else b"".join(map(get, pieces)) for t, pieces in zip(texts, split)]
 
 
-@functools.lru_cache(maxsize=1)
 def encoder_of(path: str) -> Encoder:
     """One per worker process, which runs task after task."""
-    return Encoder(path)
+    return held(("word_bpe", path), lambda: Encoder(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -134,7 +132,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select("doc_id", utf8().alias("text")).mapInArrow(run, PIECES + ", ids array<long>" * with_ids)
+    return docs.select("doc_id", utf8().alias("text")).mapInArrow(lean(run, keeps=True), PIECES + ", ids array<long>" * with_ids)
 
 
 def _best_fit(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.RecordBatch]:
@@ -180,7 +178,7 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rest = slots.where(F.col("_slot") >= F.col("_full")).select(*columns, F.lit(0).cast("long").alias("_bin"))
     # Behind a shuffle, so that only the left-overs are in one task, not the numbering.
     rest = rest.repartition(1).sortWithinPartitions(F.desc("length"), *order)
-    packed = rest.mapInArrow(lambda batches: _best_fit(batches, capacity), rest.schema)
+    packed = rest.mapInArrow(lean(lambda batches: _best_fit(batches, capacity)), rest.schema)
     both = full.unionByName(packed.withColumn("_bin", F.col("_bin") + last))
     inside = Window.partitionBy("_bin").orderBy(F.desc("length"), *order)
     before = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from pagesift.llm.components import components
 from pagesift.llm.shingles import set_id, shingle_sets
-from pagesift.llm.tasks import buffers, free_names, groups_of, rows_of, small_batches, staged, utf8
+from pagesift.llm.tasks import buffers, free_names, groups_of, lean, rows_of, small_batches, staged, utf8
 
 WORDS = 4
 PERCENT = 85
@@ -94,7 +94,7 @@ def frequent_shingles(texts: DataFrame, words: int) -> np.ndarray:
         if held:
             yield count(held)
 
-    sums = texts.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT)
+    sums = texts.select("text").mapInArrow(lean(run), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_FREQUENT)
     top = sums.orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).toPandas()
     return top["shingle"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
 
@@ -182,7 +182,7 @@ def nodes(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 names=["doc_id", "key", "node", "n", "signature", "prefix"],
             )
 
-    return texts.mapInArrow(run, "doc_id long, key long, node long, n long, signature binary, prefix array<long>")
+    return texts.mapInArrow(lean(run), "doc_id long, key long, node long, n long, signature binary, prefix array<long>")
 
 
 CELLS = "cell long, node long, n long, hub long, hub_n long, size long"
@@ -240,7 +240,7 @@ def cells(made: DataFrame) -> DataFrame:
             yield made
 
     postings = made.where(F.col("prefix").isNotNull()).select(F.explode("prefix").alias("cell"), "node", "n")
-    return postings.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, CELLS)
+    return postings.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(lean(run), CELLS)
 
 
 def least_overlap(n, m, percent: int):
@@ -485,7 +485,7 @@ class Join:
                             found_b.append(b)
                     yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
-        return both.mapInArrow(compare, "a long, b long")
+        return both.mapInArrow(lean(compare), "a long, b long")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links ``(a, b)`` that connect every component, and the components."""
@@ -507,16 +507,16 @@ class Join:
                 keep[at] = _wide_enough(sa, at, na, sb, at, nb, percent)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-        near = hubs.mapInArrow(leaves, "a long, b long").withColumns({"ca": F.col("a"), "cb": F.col("b")})
+        near = hubs.mapInArrow(lean(leaves), "a long, b long").withColumns({"ca": F.col("a"), "cb": F.col("b")})
         near = staged(near, "hub_pairs")
         first = staged(self.verify(near), "hub_links")
         labels = staged(components(first), "hub_components")
         dealt = _deal(members, labels).join(signatures, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-        wanted = staged(dealt.mapInArrow(lambda b: _with_partner(b, percent), DEALT), "cell_partners")
+        wanted = staged(dealt.mapInArrow(lean(lambda b: _with_partner(b, percent)), DEALT), "cell_partners")
         texts = self.texts_of(wanted.select("node").distinct())
         words = self.words
         whole = wanted.join(texts, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-        second = whole.select(*wanted.columns, "text").mapInArrow(lambda b: _cell_links(b, words, percent), "a long, b long")
+        second = whole.select(*wanted.columns, "text").mapInArrow(lean(lambda b: _cell_links(b, words, percent)), "a long, b long")
         second = staged(second.distinct(), "tree_links")
         return first.unionByName(second), components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 

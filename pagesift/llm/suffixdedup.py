@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pagesift.llm.shingles import mix
 from pagesift.llm.suffixes import permuted_lcp, suffix_array
-from pagesift.llm.tasks import buffers, free_names, groups_of, rows_of, small_batches, staged, utf8, with_texts
+from pagesift.llm.tasks import buffers, free_names, groups_of, lean, rows_of, small_batches, staged, utf8, with_texts
 
 LENGTH = 100
 ANCHOR = 32
@@ -271,8 +271,8 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = rows.where("whole").select("doc", "key")
     copies = F.broadcast(copies) if copies.count() <= MAX_BROADCAST else copies
     texts = texts.where(F.octet_length("text") >= LENGTH).select("doc", "key", "text").join(copies, ["doc", "key"], "left_anti")
-    found = texts.select("doc", "text").mapInArrow(_anchor_rows, "anchor long, doc long, several boolean")
-    repeated = found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, "doc long, anchor long")
+    found = texts.select("doc", "text").mapInArrow(lean(_anchor_rows), "anchor long, doc long, several boolean")
+    repeated = found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lean(_repeated), "doc long, anchor long")
     repeated = staged(repeated, "repeated")
     counts = repeated.groupBy("anchor").agg(F.count("*").alias("n"))
     hot = staged(counts.where(F.col("n") > HOT_TEXTS).select("anchor", F.lit(True).alias("is_hot")), "hot")
@@ -280,11 +280,11 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     of_doc = repeated.join(hot, "anchor", "left").groupBy("doc").agg(
         F.collect_list("anchor").alias("repeated"), F.collect_list(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot")
     )
-    segments = staged(texts.join(of_doc, "doc").mapInArrow(_segment_rows, SEGMENTS), "segments")
+    segments = staged(texts.join(of_doc, "doc").mapInArrow(lean(_segment_rows), SEGMENTS), "segments")
     place = F.struct("doc", "key", "start")
     first = segments.groupBy("shard", "segment").agg(F.min(place).alias("first"), F.max("bytes").alias("bytes"), F.count("*").alias("n"))
     first = staged(first.select("shard", "segment", "first.*", "bytes", "n"), "firsts")
-    own = first.select("shard", "doc", "key", "start", "bytes").repartition("shard").sortWithinPartitions("shard").mapInArrow(_ranges, RANGES)
+    own = first.select("shard", "doc", "key", "start", "bytes").repartition("shard").sortWithinPartitions("shard").mapInArrow(lean(_ranges), RANGES)
     firsts = first.where(F.col("n") > 1).select("shard", "segment", place.alias("first"))
     later = segments.drop("bytes").join(firsts, ["shard", "segment"]).where(place != F.col("first"))
     later = later.select("doc", "key", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (LENGTH - 1)).alias("end"))
@@ -315,7 +315,7 @@ def cut_texts(docs: DataFrame, ranges: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("key"), pa.array(kept, pa.binary()), pa.array(runs, pa.int64())], names=["doc", "key", "kept", "spans"])
 
     texts = _texts(docs).select("doc", "key", "text")
-    return texts.join(by_doc, ["doc", "key"]).mapInArrow(run, "doc long, key long, kept binary, spans long")
+    return texts.join(by_doc, ["doc", "key"]).mapInArrow(lean(run), "doc long, key long, kept binary, spans long")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -358,4 +358,4 @@ def remove(docs: DataFrame) -> DataFrame:
                 keep.append(not own or bool(texts[i].strip()))
             yield with_texts(batch, columns, texts, [bool(own) for own in ranges]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(lean(run), docs.schema)

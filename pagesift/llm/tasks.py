@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import functools
+from collections.abc import Callable, Hashable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,8 @@ from pagesift.session import stage
 BATCH_ROWS = 500
 BATCH_BYTES = 4 << 20
 NUMBER_BLOCK = 4_000
+# Rows that a reader of Parquet holds at once: thousands of texts are large arrays.
+READER_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +30,7 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches of later plans of this session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
     drop_shuffles(spark)
 
 
@@ -35,6 +40,44 @@ def drop_shuffles(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+_held: dict = {}
+
+
+def held(name: Hashable, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the worker process from task to task until
+    it keeps another thing or runs a ``lean`` task of another kind."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def forget() -> None:
+    _held.clear()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator], keeps: bool = False) -> Callable[[Iterator], Iterator]:
+    """A task's function that leaves a small worker behind: idle workers count
+    towards an executor's memory, and the next step's run beside them."""
+
+    @functools.wraps(run)
+    def task(batches):
+        if not keeps:
+            forget()
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """These names with underscores in front, as many as it takes for none to be
     a column's (Spark's names are the same in upper and lower case)."""
