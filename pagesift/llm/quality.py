@@ -54,10 +54,6 @@ DIGITS = "0123456789"
 MARKS = ".,;:!?'\"()-"
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
-
-
 def text_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+``."""
     return F.filter(F.split(text, SPACE), lambda w: w != "")
@@ -107,12 +103,26 @@ def without_letters(text: Column) -> Column:
     return F.regexp_replace(text, "\\p{L}+", "")
 
 
-def class_counts(length: Column, no_small: Column, no_letters: Column) -> Column:
+def marked_kinds(no_letters: Column) -> Column:
+    """Every character of the four kinds as the first of its kind, in one pass."""
+    kinds = (SPACES, DIGITS, MARKS, SYMBOLS)
+    return F.translate(no_letters, "".join(kinds), "".join(k[0] * len(k) for k in kinds))
+
+
+def kind_counts(kinds: Column) -> Column:
+    """Of a text from ``marked_kinds``: its spaces, digits, marks, symbols and
+    others. Each kind is taken out of what the one before left."""
+    left = [kinds]
+    for k in (SPACES, DIGITS, MARKS, SYMBOLS):
+        left.append(F.replace(left[-1], F.lit(k[0]), F.lit("")))
+    return F.array(*[F.length(a) - F.length(b) for a, b in zip(left, left[1:])], F.length(left[-1]))
+
+
+def class_counts(length: Column, no_small: Column, no_letters: Column, counts: Column) -> Column:
     """Characters by class, as an array of doubles, from a text's length, the
-    text without small letters and the text without letters."""
-    rest = F.length(no_letters)
-    digits, marks, symbols, spaces = (_without(no_letters, c) for c in (DIGITS, MARKS, SYMBOLS, SPACES))
-    parts = [F.length(no_small) - rest, length - F.length(no_small), digits, marks, symbols, spaces, rest - digits - marks - symbols - spaces]
+    text without small letters, that without letters and its ``kind_counts``."""
+    spaces, digits, marks, symbols, others = (F.get(counts, F.lit(i)) for i in range(5))
+    parts = [F.length(no_small) - F.length(no_letters), length - F.length(no_small), digits, marks, symbols, spaces, others]
     return F.array(*[p.cast("double") for p in parts])
 
 
@@ -172,12 +182,15 @@ def references(docs: DataFrame) -> dict[str, Reference]:
     told = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").alias("lang"), F.col("text").alias("text"))
     per_doc = told.select("lang", F.length("text").alias("length"), without_small(F.col("text")).alias("small"))
     per_doc = per_doc.withColumn("rest", without_letters(F.col("small")))
-    per_doc = per_doc.select("lang", class_counts(F.col("length"), F.col("small"), F.col("rest")).alias("c"))
+    per_doc = per_doc.withColumn("kinds", kind_counts(marked_kinds(F.col("rest"))))
+    per_doc = per_doc.select("lang", class_counts(F.col("length"), F.col("small"), F.col("rest"), F.col("kinds")).alias("c"))
     sums = per_doc.groupBy("lang").agg(*[F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(CLASSES)])
     enough = sum(F.col(f"c{i}") for i in range(CLASSES)) >= MIN_REFERENCE
     classes = {r["lang"]: [float(r[f"c{i}"]) for i in range(CLASSES)] for r in sums.where(enough).collect()}
-    words = told.select("lang", F.explode(F.split(F.lower("text"), SPACE)).alias("w")).where(F.col("w") != "")
-    by_word = words.groupBy("lang", "w").agg(F.count("*").alias("n"))
+    # Outer, since an inner one has the words made a second time to look for none;
+    # written, since it is read twice: a row for each word of a language.
+    words = told.select("lang", F.explode_outer(F.split(F.lower("text"), SPACE)).alias("w"))
+    by_word = staged(words.groupBy("lang", "w").agg(F.count("*").alias("n")).where(F.col("w") != ""), "words")
     all_words = by_word.groupBy("lang").agg(F.sum("n").alias("all"))
     frequent = by_word.join(F.broadcast(all_words.where(F.col("lang").isin(*classes) if classes else F.lit(False))), "lang").where(
         F.col("n") >= MIN_SHARE * F.col("all")
@@ -193,28 +206,51 @@ def references(docs: DataFrame) -> dict[str, Reference]:
     }
 
 
-REFERENCES = "array<struct<lang:string,classes:array<double>,hashes:array<bigint>,words:array<double>,telling:boolean>>"
+REFERENCES = "array<struct<lang:string,classes:array<double>,slots:array<int>,words:array<double>,telling:boolean>>"
+
+
+def word_hash(word: str) -> int:
+    """Spark's ``xxhash64`` of a word."""
+    return signed64(xxhash.xxh64_intdigest(word.encode(), 42))
+
+
+def vocabulary(known: dict[str, Reference]) -> list[int]:
+    """The hashes of all languages' common words, in order."""
+    return sorted({word_hash(w) for r in known.values() for w in r.common})
+
+
+def constant(value: list, kind: str) -> Column:
+    """One constant, so that the plan has one size however long the value is."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def reference_array(known: dict[str, Reference]) -> Column:
-    """The references as one constant array, so that the plan has one size
-    however many languages there are; words are given by Spark's hash of them."""
+    """The references as one constant array; words are given by their places
+    in the vocabulary."""
     share = lambda counts: [x / (sum(counts) or 1.0) for x in counts]
+    place = {h: i for i, h in enumerate(vocabulary(known))}
     rows = [
-        {"lang": lang, "classes": share(r.classes), "hashes": [signed64(xxhash.xxh64_intdigest(w.encode(), 42)) for w in r.common], "words": share(r.words), "telling": r.telling} for lang, r in known.items()
+        {"lang": lang, "classes": share(r.classes), "slots": [place[word_hash(w)] for w in r.common], "words": share(r.words), "telling": r.telling} for lang, r in known.items()
     ]
-    return F.from_json(F.lit(json.dumps(rows)), REFERENCES)
+    return constant(rows, REFERENCES)
+
+
+def ordered_with(hashes: Column, vocabulary: Column) -> Column:
+    """A text's common words and one more of each, in order: as many runs of
+    equal values as there are common words."""
+    return F.sort_array(F.concat(hashes, vocabulary))
 
 
-def _hashed(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def run_starts(ordered: Column) -> Column:
+    """Where the runs of equal values start, and the end."""
+    starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: ~F.get(ordered, i).eqNullSafe(F.get(ordered, i - 1)))
+    return F.when(F.size(ordered) > 0, F.concat(starts, F.array(F.size(ordered)))).otherwise(F.array().cast("array<int>"))
 
 
-def common_shares(hashes: Column, common: Column, n_words: Column) -> Column:
-    """The shares of common words among a text's words and that of all others,
-    from the hashes of the text's common words of any language. A word's count
-    is what the array loses without it."""
-    counts = F.transform(common, lambda h: (F.size(hashes) - F.size(F.array_remove(hashes, h))) / n_words)
+def common_shares(starts: Column, slots: Column, n_words: Column) -> Column:
+    """The shares of common words among a text's words and that of all others.
+    A word's count is the length of its run without the one that was added."""
+    counts = F.transform(slots, lambda s: (F.get(starts, s + 1) - F.get(starts, s) - 1) / n_words)
     return let(counts, lambda c: F.concat(c, F.array(F.lit(1.0) - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
 
 
@@ -233,28 +269,31 @@ def verdicts(docs: DataFrame, known: dict[str, Reference]) -> DataFrame:
     shared = F.filter(F.transform("_words", F.lower), lambda w: w.isin(common) if common else F.lit(False))
     rows = rows.withColumns({"_words": words, "_lines": lines_with_words(F.col("text")), "_small": without_small(F.col("text"))})
     rows = rows.withColumn("_rest", without_letters(F.col("_small")))
+    rows = rows.withColumn("_kinds", kind_counts(marked_kinds(F.col("_rest"))))
     rows = rows.select(
         "doc_id",
         "_lang",
         F.size("_words").cast("long").alias("n_words"),
-        (F.length("text") - _without(F.col("_rest"), SPACES)).cast("long").alias("word_chars"),
-        _without(F.col("_rest"), SYMBOLS).cast("long").alias("n_symbols"),
+        (F.length("text") - F.get("_kinds", F.lit(0))).cast("long").alias("word_chars"),
+        F.get("_kinds", F.lit(3)).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
-        _hashed(shared).alias("_shared"),
-        class_counts(F.length("text"), F.col("_small"), F.col("_rest")).alias("_classes"),
+        F.transform(shared, lambda w: F.xxhash64(w)).alias("_shared"),
+        class_counts(F.length("text"), F.col("_small"), F.col("_rest"), F.col("_kinds")).alias("_classes"),
         F.length("text").alias("_chars"),
     )
     rows = rows.withColumn("_windows", window_hashes(F.col("_hashes"))).drop("_hashes")
     rows = rows.withColumn("_ordered", ordered_windows(F.col("_windows"))).drop("_windows")
     rows = rows.withColumn("_places", repeated_places(F.col("_ordered"))).drop("_ordered")
     rows = rows.withColumn("n_repeat_words", covered_words(F.col("_places")).cast("long")).drop("_places")
+    rows = rows.withColumn("_shared", ordered_with(F.col("_shared"), constant(vocabulary(known), "array<bigint>")))
+    rows = rows.withColumn("_starts", run_starts(F.col("_shared"))).drop("_shared")
     rows = rows.withColumn("_p", shares(F.col("_classes")))
     each = F.transform(
         reference_array(known),
         lambda r: F.struct(
             js_distance(F.col("_p"), r["classes"]).alias("c"),
-            F.when(F.col("n_words") > 0, js_distance(common_shares(F.col("_shared"), r["hashes"], F.col("n_words")), r["words"])).alias("w"),
+            F.when(F.col("n_words") > 0, js_distance(common_shares(F.col("_starts"), r["slots"], F.col("n_words")), r["words"])).alias("w"),
             r["lang"].alias("lang"), r["telling"].alias("telling"),
         ),
     )
