@@ -33,6 +33,7 @@ def run_range(
 ) -> None:
     """Run ``start <= day < end`` (today if none). ``"articles"`` may be added to ``steps``."""
     end = end or date.today().strftime("%Y%m%d")
+    store.recover(start, end)
     crawl = read_crawl(store.spark, crawl_path, start, end)
     if "duplicates" in steps:
         run_duplicates(store, crawl, start, end, rules=rules, sources=sources, **duplicate_options)

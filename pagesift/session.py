@@ -51,10 +51,16 @@ def _own_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/pagesift/{spark.sparkContext.applicationId}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system that a path is on, and the class of its paths."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is, if it is there."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    fs, at = file_system(spark, path)
+    fs.delete(at(path), True)
 
 
 def clear_stages(spark: SparkSession) -> None:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesift import fixed, schemas
-from pagesift.session import remove
+from pagesift.session import file_system, remove
 
 DAY = "stat_date"
+# Names that Spark does not read: rows not yet in their place, and what is to be done with them.
+_NEW, _COMMIT = "_new_", "_commit_"
 
 
 def read_days(
@@ -66,25 +70,91 @@ def write_days(
     text is not moved for the sake of files. ``rebalance`` is for narrow tables
     over many days: it gathers each day, and AQE splits a day that is larger
     than a file should be, so no day ends up in one task.
+
+    All days change or none: the rows are written beside the table, then a
+    commit file names the days that come and go, then folders are renamed. A
+    write that stopped before the commit file has changed nothing; one that
+    stopped after it is finished by ``recover_days`` or by the next write of
+    any of its days.
     """
+    spark = df.sparkSession
+    recover_days(spark, path, day, end)
     if day is not None and DAY not in df.columns:
         df = df.withColumn(DAY, F.lit(day))
-    written = Observation()
-    df = df.observe(written, F.collect_set(DAY).alias("days"))
     if rebalance:
         df = df.hint("rebalance", DAY)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
-    if day is not None:
-        spark, held = df.sparkSession, set(written.get["days"])
-        empty = T.StructType([T.StructField(DAY, T.StringType())])
-        for (old,) in read_days(spark, path, day, end, [DAY], empty).distinct().collect():  # days of the range
-            if old not in held:
-                remove(spark, f"{path}/{DAY}={old}")
+    name = uuid.uuid4().hex
+    new = f"{path}/{_NEW}{name}"
+    df.write.partitionBy(DAY).parquet(new)
+    written = _day_folders(spark, new)
+    stale = [f for f in _day_folders(spark, path) if day is not None and _within(f, day, end) and f not in written]
+    commit = f"{path}/{_COMMIT}{name}"
+    _write_whole(spark, commit, json.dumps({"new": f"{_NEW}{name}", "come": written, "go": stale}))
+    _finish(spark, path, commit)
+
+
+def recover_days(spark: SparkSession, path: str, day: str | None = None, end: str | None = None, clean: bool = False) -> None:
+    """Finish writes that stopped after their commit file, of the given days or
+    of all. Not beside a running write of the same days. ``clean`` removes what
+    other stopped writes left, so no write of any day may be running."""
+    for entry in _names(spark, path):
+        if entry.startswith(_COMMIT) and not entry.endswith(".tmp"):
+            commit = f"{path}/{entry}"
+            todo = json.loads(_read(spark, commit))
+            if day is None or any(_within(f, day, end) for f in todo["come"] + todo["go"]):
+                _finish(spark, path, commit)
+    if clean:
+        for entry in _names(spark, path):
+            if entry.startswith(_NEW) or (entry.startswith(_COMMIT) and entry.endswith(".tmp")):
+                remove(spark, f"{path}/{entry}")
+
+
+def _finish(spark: SparkSession, path: str, commit: str) -> None:
+    """Put the days of a commit file in their places; may be done again."""
+    todo = json.loads(_read(spark, commit))
+    fs, at = file_system(spark, path)
+    for folder in todo["come"]:
+        new, old = at(f"{path}/{todo['new']}/{folder}"), at(f"{path}/{folder}")
+        if fs.exists(new):  # else it is in its place already
+            fs.delete(old, True)
+            if not fs.rename(new, old):
+                raise OSError(f"could not rename {new} to {old}")
+    for gone in (*todo["go"], todo["new"]):
+        remove(spark, f"{path}/{gone}")
+    remove(spark, commit)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, at = file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at(path))) if fs.exists(at(path)) else []
+
+
+def _day_folders(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in _names(spark, path) if name.startswith(f"{DAY}=")]
+
+
+def _within(folder: str, day: str, end: str | None) -> bool:
+    value = folder.removeprefix(f"{DAY}=")
+    return value == day if end is None else day <= value < end
+
+
+def _write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    fs, at = file_system(spark, path)
+    out = fs.create(at(f"{path}.tmp"))
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(at(f"{path}.tmp"), at(path)):
+        raise OSError(f"could not write {path}")
+
+
+def _read(spark: SparkSession, path: str) -> str:
+    fs, at = file_system(spark, path)
+    stream = fs.open(at(path))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 class StageStore:
@@ -105,3 +175,8 @@ class StageStore:
 
     def read(self, name: str, start: str, end: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         return read_days(self.spark, self.path(name), start, end, columns, schemas.STAGES[name])
+
+    def recover(self, start: str, end: str | None = None) -> None:
+        """Finish writes of these days that stopped on the way, in every table."""
+        for name in _names(self.spark, self.base):
+            recover_days(self.spark, self.path(name), start, end)

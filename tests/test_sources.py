@@ -107,6 +107,74 @@ def test_days(spark, tmp_path):
     assert tables.drop_day(back).columns == ["fid"]
 
 
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("stop_at", ["_write_whole", "_finish", "remove", "second day"])
+def test_days_change_all_or_none(spark, tmp_path, monkeypatch, stop_at):
+    """A write that stops anywhere leaves the old days, or is finished later."""
+    path = str(tmp_path / "days")
+    old = {(1, "20240101"), (2, "20240102"), (3, "20240103"), (4, "20240105")}
+    new = {(7, "20240101"), (8, "20240102"), (4, "20240105")}
+    tables.write_days(spark.createDataFrame(sorted(old), "fid long, stat_date string"), path)
+    rows = spark.createDataFrame([(7, "20240101"), (8, "20240102")], "fid long, stat_date string")
+    read = lambda: {tuple(r) for r in tables.read_days(spark, path, "20240101", "20240201", ["fid", "stat_date"]).collect()}
+
+    def stop(*_):
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        if stop_at == "second day":
+            own = tables.file_system
+
+            def one_rename(spark, path):
+                fs, at = own(spark, path)
+                done = []
+
+                class Once:
+                    def __getattr__(self, name):
+                        return getattr(fs, name)
+
+                    def rename(self, a, b):
+                        if done:
+                            raise Stopped
+                        if f"{tables._NEW}" in a.toString():
+                            done.append(a)
+                        return fs.rename(a, b)
+
+                return Once(), at
+
+            patch.setattr(tables, "file_system", one_rename)
+        else:
+            patch.setattr(tables, stop_at, stop)
+        with pytest.raises(Stopped):
+            tables.write_days(rows, path, "20240101", end="20240104")
+    if stop_at in ("_write_whole", "_finish"):
+        assert read() == old
+    tables.recover_days(spark, path, "20240105")  # no day of that write
+    before = read()
+    tables.recover_days(spark, path, clean=True)
+    assert read() == (old if stop_at == "_write_whole" else new)
+    assert stop_at not in ("remove", "second day") or before != new
+    tables.write_days(rows, path, "20240101", end="20240104")
+    assert read() == new
+    assert not [n for n in tables._names(spark, path) if n.startswith((tables._COMMIT, tables._NEW))]
+
+
+def test_the_next_write_finishes_a_stopped_one(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "days")
+    both = spark.createDataFrame([(1, "20240101"), (2, "20240102")], "fid long, stat_date string")
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_finish", lambda *_: (_ for _ in ()).throw(Stopped()))
+        with pytest.raises(Stopped):
+            tables.write_days(both, path)
+    tables.write_days(spark.createDataFrame([(9,)], "fid long"), path, "20240102")
+    assert {tuple(r) for r in tables.read_days(spark, path, "20240101", "20240103", ["fid", "stat_date"]).collect()} == {
+        (1, "20240101"), (9, "20240102"),
+    }
+
+
 def test_day_prunes_partitions(spark, sf_dir, tmp_path):
     path = str(tmp_path / "crawl")
     tables.write_days(data.crawl(spark, sf_dir), path)
