@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,12 +160,35 @@ def _read(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _fingerprint(spark: SparkSession, folders: set[str], day: str, end: str | None) -> str:
+    """Of the names, sizes and times of the files in these folders, but for
+    those of other days."""
+    out = hashlib.sha256()
+    for folder in sorted(folders):
+        of_day = re.search(rf"/({DAY}=[^/]*)", folder)
+        if of_day and not _within(of_day[1], day, end):
+            continue
+        fs, at = file_system(spark, folder)
+        files = fs.listStatus(at(folder)) if fs.exists(at(folder)) else []
+        for line in sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files if not f.isDirectory()):
+            out.update(line.encode() + b"\n")
+    return out.hexdigest()
+
+
 class StageStore:
-    """The intermediate and final tables of the daily runs under one folder."""
+    """The intermediate and final tables of the daily runs under one folder.
 
-    def __init__(self, spark: SparkSession, base: str):
+    With a ``run``, a name for the rules, models and options in use, a ledger
+    notes each table that was written: one whose files, and those of the days it
+    is made from, are still as noted is not written again. So a run that failed
+    goes on after its last finished step. Inputs that are not files (rows held by
+    the driver) are known by the name only.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, run: str | None = None):
         self.spark = spark
         self.base = base.rstrip("/")
+        self.run = run
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -171,7 +197,21 @@ class StageStore:
         """Replace the day ``start``, or the days up to ``end``; the table's
         columns are checked."""
         rows = schemas.conform(df, schemas.STAGES[name], *([DAY] if DAY in df.columns else []))
+        if self.run is None:
+            return write_days(rows, self.path(name), start, rebalance, end)
+        key = hashlib.sha256(f"{self.run}/{name}/{start}/{end}".encode()).hexdigest()
+        note = f"{self.base}/_ledger/{key}"
+        made_from = _fingerprint(self.spark, {unquote(f).rsplit("/", 1)[0] for f in rows.inputFiles()}, start, end)
+        fs, at = file_system(self.spark, note)
+        if fs.exists(at(note)) and json.loads(_read(self.spark, note)) == [made_from, self._written(name, start, end)]:
+            return
         write_days(rows, self.path(name), start, rebalance, end)
+        remove(self.spark, note)
+        _write_whole(self.spark, note, json.dumps([made_from, self._written(name, start, end)]))
+
+    def _written(self, name: str, start: str, end: str | None) -> str:
+        path = self.path(name)
+        return _fingerprint(self.spark, {f"{path}/{f}" for f in _day_folders(self.spark, path)}, start, end)
 
     def read(self, name: str, start: str, end: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         return read_days(self.spark, self.path(name), start, end, columns, schemas.STAGES[name])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagesift import fixed, schemas, session
 from pagesift.operators import decide, filters, rule_tables
+from pagesift.plans import duplicates
 from pagesift.sources import rules, tables
 from pagesift.testbed import data
 
@@ -175,6 +176,44 @@ def test_the_next_write_finishes_a_stopped_one(spark, tmp_path, monkeypatch):
     }
 
 
+def test_a_failed_run_goes_on_after_its_last_step(spark, sf_dir, tmp_path, monkeypatch):
+    crawl_path, day = str(tmp_path / "crawl of 100 %"), "20240101"
+    tables.write_days(data.crawl(spark, sf_dir), crawl_path)
+    options = dict(rules=data.RULES, sources=data.SOURCES, drop_script=data.NOT_LETTERS, threshold=1)
+    written = []
+    own = tables.write_days
+
+    def count(df, path, *args):
+        name = path.rsplit("/", 1)[1]
+        if fail and name == fixed.EXACT_MEMBERS:
+            raise Stopped
+        written.append(name)
+        own(df, path, *args)
+
+    def run(name="first"):
+        written.clear()
+        store = tables.StageStore(spark, str(tmp_path / "store"), name)
+        return duplicates.run_duplicates(store, tables.read_crawl(spark, crawl_path, day), day, **options).collect()
+
+    monkeypatch.setattr(tables, "write_days", count)
+    fail = True
+    with pytest.raises(Stopped):
+        run()
+    assert written == [fixed.KEYWORDS, fixed.HASHES, fixed.EXACT]
+    fail = False
+    rows = run()
+    assert rows and written[0] == fixed.EXACT_MEMBERS and not {fixed.KEYWORDS, fixed.HASHES, fixed.EXACT} & set(written)
+    again = run()
+    assert not written and sorted(map(str, again)) == sorted(map(str, rows))
+    # Another day of the crawl changes nothing; this day's rows, or other rules, do.
+    own(data.crawl(spark, sf_dir).where("stat_date = '20240102'"), crawl_path, "20240102")
+    run()
+    assert not written
+    own(data.crawl(spark, sf_dir).where(f"stat_date = '{day}'"), crawl_path, day)
+    run()
+    assert fixed.KEYWORDS in written and fixed.REPORT in written
+
+
 def test_day_prunes_partitions(spark, sf_dir, tmp_path):
     path = str(tmp_path / "crawl")
     tables.write_days(data.crawl(spark, sf_dir), path)
