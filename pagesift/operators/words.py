@@ -66,7 +66,10 @@ def keyword_rows(
     )
     if small is None:
         small = fits(wanted)
-    rows = tokens.select(*ids, *extra, F.posexplode_outer("tokens").alias("pos", "token"))
+    # Ahead of the explode: beside it, ``extra`` is computed anew for every token.
+    given = tokens.select(*ids, *extra, "tokens")
+    kept = [c for c in given.columns if c != "tokens"]
+    rows = given.select(*kept, F.posexplode_outer("tokens").alias("pos", "token"))
     rows = rows.where(F.length("token") >= min_len)
     return lookup_join(rows, wanted, ["token"], [*ids, "pos"], small, "left_semi" if small else "inner")
 

@@ -7,7 +7,7 @@ from pagesift import fixed
 from pagesift.functions import hashing, text, urls
 from pagesift.operators import filters
 from pagesift.operators.filters import Rules
-from pagesift.operators.words import keywords
+from pagesift.operators.words import ROW, keyword_rows, keywords, row_key
 
 
 def column(spark, values, expression, kind="string"):
@@ -57,6 +57,16 @@ def test_keywords(spark):
     assert by_length == {1: ["cat", "run", "cat"], 2: ["run"], 3: []}
 
 
+def test_row_key_is_taken_once_per_text(spark):
+    """Computed above the explode, it would hash the whole text for every token."""
+    tokens = spark.createDataFrame([(1, ["cat", "x"])], "fid long, tokens array<string>")
+    lexicon = spark.createDataFrame([("cat", "n")], "word string, nature string")
+    made = keyword_rows(tokens, lexicon, small=True, extra=[row_key().alias(ROW)])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("xxhash64") > plan.index("Generate")
+    assert [(r.pos, r.token) for r in made.collect()] == [(0, "cat")]
+
+
 def _fnv(data: bytes) -> int:
     h = fixed.FNV_OFFSET_BASIS
     for b in data:
