@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagesift import fixed
 
-_WORD = 0xFFFFFFFF
+_ALL = (1 << 64) - 1
+# Bytes of a word that are hashed for all words of a batch at once.
+_LONG = 64
 
 
 def signed64(value: int) -> int:
@@ -20,32 +25,43 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _fnv1a64_of(words: pa.Array) -> np.ndarray:
+    """FNV-1a of each word's bytes, place by place over all words together;
+    what words have beyond ``_LONG`` bytes is added word by word."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+    starts, lengths = offsets[:-1], np.diff(offsets)
+    raw = words.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
+    order = np.argsort(-lengths, kind="stable")
+    ranked = lengths[order]
+    found = np.full(len(words), fixed.FNV_OFFSET_BASIS, np.uint64)
+    for place in range(min(int(ranked[0]) if len(ranked) else 0, _LONG)):
+        longer = int(np.searchsorted(-ranked, -place, "left"))
+        found[:longer] = (found[:longer] ^ data[starts[order[:longer]] + place]) * np.uint64(fixed.FNV_PRIME)
+    for i in range(int(np.searchsorted(-ranked, -_LONG, "left"))):
+        value, start = int(found[i]), int(starts[order[i]])
+        for byte in data[start + _LONG : start + int(ranked[i])].tobytes():
+            value = (value ^ byte) * fixed.FNV_PRIME & _ALL
+        found[i] = value
+    out = np.empty(len(words), np.uint64)
+    out[order] = found
+    return out.view(np.int64)
+
+
+@F.arrow_udf(T.LongType())
+def _fnv1a64(text: pa.Array) -> pa.Array:
+    coded = text.dictionary_encode()
+    hashes = pa.array(_fnv1a64_of(coded.dictionary.cast(pa.large_binary())), pa.int64())
+    return hashes.take(coded.indices)
+
+
 def fnv1a64(text: Column) -> Column:
-    """64-bit FNV-1a of the UTF-8 bytes.
+    """64-bit FNV-1a of the UTF-8 bytes; null stays null.
 
-    The prime is 2**40 + 435. Products are taken on 32-bit halves because a
-    64-bit overflow is an error in ANSI mode.
+    In Arrow batches, each distinct word of a batch once: as a fold over an
+    array of characters it took a thousand times as long.
     """
-    # As Latin-1, each byte is one character whose code is the byte.
-    as_bytes = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
-    prime_low = fixed.FNV_PRIME & 0xFFFF
-
-    def step(state: Column, char: Column) -> Column:
-        def multiply(x: Column) -> Column:
-            low = x.bitwiseAND(F.lit(_WORD))
-            product = low * prime_low
-            high = (
-                F.shiftrightunsigned(x, 32) * prime_low
-                + F.shiftrightunsigned(product, 32)
-                + F.shiftleft(low, 8)
-            )
-            return F.shiftleft(high, 32).bitwiseOR(product.bitwiseAND(F.lit(_WORD)))
-
-        return let(state.bitwiseXOR(F.ascii(char).cast("bigint")), multiply)
-
-    start = F.lit(signed64(fixed.FNV_OFFSET_BASIS)).cast("bigint")
-    chars = F.when(F.length(as_bytes) == 0, F.array().cast("array<string>")).otherwise(F.split(as_bytes, ""))
-    return F.aggregate(chars, start, step)
+    return _fnv1a64(text)
 
 
 def md5_64(text: Column) -> Column:

@@ -67,6 +67,19 @@ def test_row_key_is_taken_once_per_text(spark):
     assert [(r.pos, r.token) for r in made.collect()] == [(0, "cat")]
 
 
+def test_fnv1a64_is_no_fold_over_characters(spark):
+    plan = spark.createDataFrame([("a",)], "w string").select(hashing.fnv1a64(F.col("w")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "ArrowEvalPython" in plan
+
+
+def test_fnv1a64_over_many_batches(spark):
+    """Repeats, long words around the length that is hashed word by word, nulls between."""
+    words = [None if i % 7 == 0 else chr(97 + i % 26) * (i % 90) for i in range(3000)]
+    df = spark.createDataFrame([(w,) for w in words], "w string").repartition(3)
+    got = {r.w: r.h for r in df.select("w", hashing.fnv1a64(F.col("w")).alias("h")).collect()}
+    assert got == {w: None if w is None else _fnv(w.encode()) for w in words}
+
+
 def _fnv(data: bytes) -> int:
     h = fixed.FNV_OFFSET_BASIS
     for b in data:
