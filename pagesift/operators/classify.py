@@ -17,12 +17,16 @@ from pyspark.sql import types as T
 
 from pagesift import fixed
 from pagesift.functions.hashing import let
-from pagesift.operators.lookup import MAX_BROADCAST_ROWS, fits, lookup_join
+from pagesift.operators.lookup import fits
+from pagesift.operators.parts import pack, sums_by_part
 from pagesift.operators.words import token_rows
 from pagesift.session import stage
 
 # Labels whose probabilities agree to this many places are ordered by name.
 TIE_PLACES = 6
+# Most weights of a model that is sent to every executor: rows of a token and
+# eight numbers, several hundred bytes each once hashed.
+MAX_BROADCAST_WEIGHTS = 100_000
 _ROW = "_row"
 
 
@@ -51,7 +55,7 @@ class Plugin:
     score: Callable[..., tuple[str, float] | None]
 
 
-def topic_model(model: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> TopicModel:
+def topic_model(model: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_WEIGHTS) -> TopicModel:
     """Prepare a model table, reading it twice: pass one that is stored.
 
     The prepared weights are stored too, since every scoring reads them.
@@ -130,7 +134,8 @@ def score_labels(
     the root model and (<model>_other, -4) for others. Rows that share their ids
     but not their tokens are kept apart, and equal rows give one. With a broadcast model the tokens of a text never leave their
     task: what is shuffled is one row of sums per text, and not even that if
-    ``df`` is already partitioned by ``ids``.
+    ``df`` is already partitioned by ``ids``. With a larger one texts move once
+    and only distinct tokens meet the weights (``parts``); sums are stored.
     """
     ids = list(ids)
     words = F.col(tokens)
@@ -139,13 +144,19 @@ def score_labels(
     which = F.col(key) if key else F.lit(fixed.ROOT_MODEL)
     keys = [*ids, _ROW]
     df = df if _ROW in df.columns else df.withColumn(_ROW, F.xxhash64(tokens))
-    rows = token_rows(df, [*keys, which.alias("model")], words)
-    found = lookup_join(rows, model.weights, ["model", "token"], [*ids, "token"], model.small)
-    sums = found.groupBy(*keys, "model").agg(
-        F.count("token").alias("_tokens"),
-        F.count("w0").alias("_known"),
-        *[F.sum(f"w{i}").alias(f"m{i}") for i in range(model.slots)],
-    )
+    if model.small:
+        rows = token_rows(df, [*keys, which.alias("model")], words)
+        found = rows.join(F.broadcast(model.weights), ["model", "token"], "left")
+        sums = found.groupBy(*keys, "model").agg(
+            F.count("token").alias("_tokens"),
+            F.count("w0").alias("_known"),
+            *[F.sum(f"w{i}").alias(f"m{i}") for i in range(model.slots)],
+        )
+    else:
+        # Stored, since what follows reads the labels more than once.
+        packed = words if isinstance(df.schema[tokens].dataType, T.StructType) else pack(words)
+        texts = df.select(*keys, which.alias("model"), packed.alias("_words"))
+        sums = stage(sums_by_part(texts, keys, model.weights, model.slots), "sums")
     if key:
         sums = sums.join(F.broadcast(model.heads) if model.small_heads else model.heads, "model", "left")
         head = F.col("head")
@@ -232,18 +243,25 @@ def score_with(
     return given.mapInArrow(run, schema)
 
 
+def _spread(texts: DataFrame, ids: Sequence[str], *models: TopicModel) -> DataFrame:
+    """Texts by their ids, which scoring by broadcast models keeps; larger models
+    deal the texts out themselves."""
+    return texts.repartition(*ids, _ROW) if all(m.small for m in models) else texts
+
+
 def parent_labels(
     words: DataFrame, model: TopicModel | Plugin, ids: Sequence[str] = ("fid",), column: str = "words"
 ) -> DataFrame:
     """``(ids, words, cat, prob)`` by the root model.
 
-    Texts are spread by ``ids`` once; scoring and the join back both keep that.
+    Texts are spread by ``ids`` once; scoring by a broadcast model and the join
+    back both keep that.
     A user's own model scores them where they are.
     """
     if isinstance(model, Plugin):
         scored = score_with(words, model.load, model.score, ids, column)
         return scored.select(*ids, column, F.col("label").alias("cat"), "prob")
-    spread = words.select(*ids, column, F.xxhash64(column).alias(_ROW)).repartition(*ids, _ROW)
+    spread = _spread(words.select(*ids, column, F.xxhash64(column).alias(_ROW)), ids, model)
     scores = score_labels(spread, model, ids, column, keep_row=True).withColumnRenamed("label", "cat")
     return spread.join(scores, [*ids, _ROW]).select(*ids, column, "cat", "prob")
 
@@ -285,11 +303,13 @@ def two_level_labels(
     """Parent and child label of each text in one row:
     ``(ids, {prefix}_pcat, {prefix}_pprob, {prefix}_ccat, {prefix}_cprob)``.
 
-    The words are spread by ``ids`` once. Parent scores, the join that gives
-    each text its parent's model, and child scores all keep that partitioning.
+    With broadcast models the words are spread by ``ids`` once: parent scores, the
+    join that gives each text its parent's model, and child scores all keep that.
     """
     pcat, pprob, ccat, cprob = (f"{prefix}_{name}" for name in ("pcat", "pprob", "ccat", "cprob"))
-    spread = tokens.select(*ids, column, F.xxhash64(column).alias(_ROW)).repartition(*ids, _ROW)
+    spread = _spread(tokens.select(*ids, column, F.xxhash64(column).alias(_ROW)), ids, parent, children)
+    if not parent.small and not children.small and isinstance(tokens.schema[column].dataType, T.ArrayType):
+        spread = spread.withColumn(column, pack(F.col(column)))
     above = score_labels(spread, parent, ids, column, keep_row=True).select(
         *ids, _ROW, F.col("label").alias(pcat), F.col("prob").alias(pprob)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagesift import fixed
 from pagesift.operators import classify
 from pagesift.operators.lookup import fits, lookup_join
+from pagesift.operators.parts import pack, sums_by_part
 
 WEIGHTS = [
     ("all", "ball", "__label__sport", 2.0), ("all", "ball", "__label__tech", 0.5),
@@ -122,3 +123,48 @@ def test_salted_lookup_of_a_hot_word(spark):
         ways = [sorted(lookup_join(rows, table, ["token"], ["id"], small, how).collect(), key=str) for small in (True, False)]
         assert ways[0] == ways[1] and ways[0]
     assert fits(table, 3) and not fits(table, 2)
+
+
+def _both_ways(spark, table, score):
+    """The rows that ``score`` gives with a broadcast model and with a large one."""
+    made = [classify.topic_model(table, max_broadcast_rows=rows) for rows in (10**6, 0)]
+    assert [m.small for m in made] == [True, False]
+    return [sorted((*r[:-1], round(r[-1], 9)) if isinstance(r[-1], float) else tuple(r) for r in score(m).collect()) for m in made]
+
+
+ODD = [
+    (1, ["ball", "goal"]), (1, ["chip"]), (1, ["chip"]), (2, []), (3, None), (4, [None, None]), (5, ["", "ball"]), (6, [""]),
+    (7, ["ball\x00chip", None, "ball"]), (8, ["ball\x00chip"]), (None, ["net", "ball"]), (9, ["zzz"] * 300 + ["app"]),
+]
+
+
+def test_large_model_scores_odd_rows_alike(spark):
+    table = spark.createDataFrame(WEIGHTS, "model string, token string, label string, weight double")
+    rows = spark.createDataFrame(ODD, "fid long, tokens array<string>").repartition(3)
+    few = lambda m: classify.score_labels(rows, m).na.fill(-99)
+    a, b = _both_ways(spark, table, few)
+    assert a == b and len(a) == len(ODD) - 1
+    named = rows.withColumn("of", F.when(F.col("fid") % 3 == 0, "sport").when(F.col("fid") % 3 == 1, "tech"))
+    a, b = _both_ways(spark, table, lambda m: classify.score_labels(named, m, key="of").na.fill(-99).na.fill("none"))
+    assert a == b
+
+
+def test_large_model_scores_two_levels_alike(spark):
+    table = spark.createDataFrame(WEIGHTS, "model string, token string, label string, weight double")
+    rows = spark.createDataFrame(ODD, "fid long, tokens array<string>")
+    two = lambda m: classify.two_level_labels(rows, m, m, ["sport", "tech"], ["fid"], "tokens", "t").select(
+        F.coalesce("fid", F.lit(-1)), "t_pcat", F.coalesce("t_ccat", F.lit("none")), F.round("t_pprob", 9), F.coalesce("t_cprob", F.lit(0.0))
+    )
+    a, b = _both_ways(spark, table, two)
+    assert a == b
+
+
+def test_large_model_moves_texts_and_not_tokens(spark):
+    """No join or explode sees a row per token: a word a text repeats is asked for once."""
+    table = spark.createDataFrame(WEIGHTS, "model string, token string, label string, weight double")
+    model = classify.topic_model(table, max_broadcast_rows=0)
+    rows = spark.range(40).select(F.col("id").alias("model"), F.array(F.lit("ball"), F.lit("ball")).alias("w"))
+    rows = rows.select(F.col("model").alias("fid"), F.lit("all").alias("model"), pack(F.col("w")).alias("_words"))
+    made = sums_by_part(rows, ["fid"], model.weights, model.slots)
+    assert "Generate" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["_tokens"], r["_known"]) for r in made.collect()} == {(2, 2)}
