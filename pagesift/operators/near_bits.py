@@ -14,10 +14,14 @@ comes once and needs no distinct.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagesift.functions.hashing import signed64
 from pagesift.session import stage
@@ -49,18 +53,36 @@ def _cut(rows: DataFrame, keep: Sequence[str], k: int) -> DataFrame:
     return rows.select(*keep, F.explode_outer(F.transform("_parts", child)).alias("_c")).select(*keep, "_c.*")
 
 
-def _pairs_of(rows: Column, k: int) -> Column:
-    """The pairs within a bucket, an array of at most ``MAX_BUCKET`` rows."""
-
-    def near(a: Column, b: Column) -> Column:
-        x = a["hash"].bitwiseXOR(b["hash"])
-        return (F.bit_count(x) <= k) & F.forall(a["earlier"], lambda mask: x.bitwiseAND(mask) != 0)
-
-    def later(a: Column, i: Column) -> Column:
-        others = F.filter(F.slice(rows, i + 2, F.lit(MAX_BUCKET)), lambda b: near(a, b))
-        return F.transform(others, lambda b: F.struct(a.alias("a"), b.alias("b")))
-
-    return F.flatten(F.transform(rows, later))
+def _pairs_of(k: int, by: Sequence[str]):
+    """The pairs within each bucket, ``_rows`` of at most ``MAX_BUCKET`` hashes,
+    compared all at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(batch.schema.names.index("_rows"))
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+            rows = lists.flatten()
+            hashes, earlier = rows.field("hash").to_numpy(zero_copy_only=False), rows.field("earlier")
+            left, right, of = [], [], []
+            for i in range(batch.num_rows):
+                start, end = int(ends[i]), int(ends[i + 1])
+                h = hashes[start:end].view(np.uint64)
+                unlike = h[:, None] ^ h[None, :]
+                near = np.bitwise_count(unlike) <= k
+                # Hashes of a bucket have been cut alike.
+                for mask in earlier[start].as_py():
+                    near &= unlike & np.int64(mask).view(np.uint64) != 0
+                a, b = np.nonzero(np.triu(near, 1))
+                left.append(a + start)
+                right.append(b + start)
+                of.append(np.full(len(a), i))
+            sides = [pa.array(np.concatenate(x)) for x in (left, right)] if left else [pa.array([], pa.int64())] * 2
+            at = pa.array(np.concatenate(of)) if of else pa.array([], pa.int64())
+            columns = [batch.column(batch.schema.names.index(c)).take(at) for c in by]
+            columns += [rows.field(name).take(side) for name in ("fid", "hash") for side in sides]
+            yield pa.RecordBatch.from_arrays(columns, names=[*by, "fid_a", "fid_b", "hash_a", "hash_b"])
+
+    return run
 
 
 def pairs_within(groups: DataFrame, k: int, by: Sequence[str] = (), max_bucket: int = MAX_BUCKET) -> DataFrame:
@@ -80,6 +102,9 @@ def pairs_within(groups: DataFrame, k: int, by: Sequence[str] = (), max_bucket:
         *keep, F.lit("").alias("path"), F.lit(0).cast("bigint").alias("fixed"),
         F.sequence(F.lit(0), F.lit(63)).alias("free"), F.array().cast("array<bigint>").alias("earlier"),
     )
+    kinds = {f.name: f.dataType for f in groups.schema.fields}
+    sides = [(c, kinds[c.split("_")[0]]) for c in ("fid_a", "fid_b", "hash_a", "hash_b")]
+    shown = T.StructType([T.StructField(c, kind) for c, kind in [*((c, kinds[c]) for c in by), *sides]])
     found = []
     while True:
         bucket = [*by, "path", "key"]
@@ -89,13 +114,7 @@ def pairs_within(groups: DataFrame, k: int, by: Sequence[str] = (), max_bucket:
         counts = stage(counts, "near_bits_counts")
         small = filed.join(counts.where(F.col("_n") <= max_bucket).select(*bucket), bucket, "left_semi")
         lists = small.groupBy(*bucket).agg(F.array_sort(F.collect_list(F.struct("fid", "hash", "earlier"))).alias("_rows"))
-        pairs = lists.select(*by, F.explode(_pairs_of(F.col("_rows"), k)).alias("_p"))
-        found.append(
-            pairs.select(
-                *by, F.col("_p.a.fid").alias("fid_a"), F.col("_p.b.fid").alias("fid_b"),
-                F.col("_p.a.hash").alias("hash_a"), F.col("_p.b.hash").alias("hash_b"),
-            )
-        )
+        found.append(lists.select(*by, "_rows").mapInArrow(_pairs_of(k, by), shown))
         large = counts.where(F.col("_n") > max_bucket).drop("_n")
         if large.isEmpty():
             break

@@ -243,3 +243,14 @@ def test_same_result_for_any_partitioning(spark, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
     assert before == after
+
+
+def test_bucket_of_near_bits_is_compared_at_once(spark):
+    """A full bucket has 32,640 pairs: no fold over arrays goes through them."""
+    rows = [(i, i << 40, 1) for i in range(256)]
+    df = spark.createDataFrame(rows, GROUP)
+    made = near_bits.pairs_within(df, 3)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "forall" not in plan
+    got = {(r.fid_a, r.fid_b) for r in made.collect()}
+    assert got == {(a, b) for a in range(256) for b in range(a + 1, 256) if (a ^ b).bit_count() <= 3}
