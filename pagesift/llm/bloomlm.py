@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ FREQUENT = 1 << 19
 BIGRAM_WORDS = 1 << 17
 MIN_BIGRAM = 1
 BASE = 1.6
-# Blocks of a filter made by hand; trained ones have as many as they need.
+# Blocks of a filter made by hand; trained ones have as many as they need. Bits
+# are cut from hashes, so their number is a power of two.
 BLOCKS, BLOCK_BITS = 512, 1 << 19
 MEMBER_BITS = 12
 SLICE_BLOCKS = 2048
@@ -53,6 +55,9 @@ SLICE_BYTES = 2 << 20
 CHUNK = 3_000_000
 PAIR_ROWS = 20_000
 END = np.uint64(0x5E6D0F3A1B2C4D97)
+KEY, LEVEL = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+# Leading bits of a word's hash by which frequent words are found.
+LEADING = 20
 THRESHOLDS = [*range(1, 17), *(2**k for k in range(5, 60))]
 
 
@@ -73,11 +78,11 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _counted(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
     key, *others = map(np.concatenate, zip(*parts))
-    if others:
-        values, at, n = np.unique(key, return_index=True, return_counts=True)
-    else:
-        (values, n), at = np.unique(key, return_counts=True), None
-    columns = [values, *(c[at] for c in others)]
+    # What goes with a key is the same wherever it occurs.
+    order = np.argsort(key)
+    at = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+    n = np.diff(np.append(at, len(key)))
+    columns = [c[order[at]] for c in (key, *others)]
     return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in columns), pa.array(n.astype(np.int64))], names=[*names, "n"])
 
 
@@ -112,9 +117,13 @@ class Filter:
     @staticmethod
     def places(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
         """Bits of members within their block, a row per hash."""
-        h = mix(keys * np.uint64(0x9E3779B97F4A7C15) + levels.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+        h = mix(keys * np.uint64(KEY) + levels.astype(np.uint64) * np.uint64(LEVEL))
         step = mix(h) | np.uint64(1)
-        return np.stack([(h + np.uint64(k) * step) % np.uint64(BLOCK_BITS) for k in range(HASHES)]).astype(np.int64)
+        return np.stack([Filter.place(h + np.uint64(k) * step) for k in range(HASHES)])
+
+    @staticmethod
+    def place(h: np.ndarray) -> np.ndarray:
+        return (h & np.uint64(BLOCK_BITS - 1)).view(np.int64)
 
     @staticmethod
     def block(keys: np.ndarray, blocks: int = BLOCKS) -> np.ndarray:
@@ -130,10 +139,24 @@ class Filter:
         out = np.zeros(len(keys), np.int64)
         live, level = np.arange(len(keys)), 1
         base = (self.block(keys, self.blocks) - self.first) * BLOCK_BITS
+        keys = keys * np.uint64(KEY)
+
+        def found(base: np.ndarray, h: np.ndarray) -> np.ndarray:
+            at = base + self.place(h)
+            return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+
         while len(live):
-            at = base[live] + self.places(keys[live], np.full(len(live), level))
-            found = ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
-            live = live[found]
+            h = mix(keys + np.uint64(level * LEVEL % (1 << 64)))
+            # Most of the keys that stop here stop at their first bit.
+            here = np.flatnonzero(found(base, h))
+            live, keys, base, h = live[here], keys[here], base[here], h[here]
+            step = mix(h) | np.uint64(1)
+            member = np.ones(len(live), np.uint8)
+            for _ in range(HASHES - 1):
+                h = h + step
+                member &= found(base, h)
+            here = np.flatnonzero(member)
+            live, keys, base = live[here], keys[here], base[here]
             out[live] = level
             level += 1
         return out
@@ -166,12 +189,25 @@ class Model:
     def total(self) -> float:
         return self.n + 0.5 * (self.v + 1)
 
+    @cached_property
+    def _starts(self) -> np.ndarray:
+        """Where the words with each leading bits start, as hashes are even."""
+        heads = self.frequent >> np.uint64(64 - LEADING)
+        return np.searchsorted(heads, np.arange(1 << LEADING, dtype=np.uint64)).astype(np.int32)
+
     def find(self, words: np.ndarray) -> np.ndarray:
         """Places among the frequent words, -1 for others."""
         if not len(self.frequent):
             return np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == words, at, -1)
+        last = len(self.frequent) - 1
+        at = np.minimum(self._starts[words >> np.uint64(64 - LEADING)], last).astype(np.int64)
+        met = self.frequent[at]
+        behind = np.flatnonzero((met < words) & (at < last))
+        while len(behind):
+            at[behind] += 1
+            met[behind] = self.frequent[at[behind]]
+            behind = behind[(met[behind] < words[behind]) & (at[behind] < last)]
+        return np.where(met == words, at, -1)
 
 
 def bigram_keys(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,7 +223,6 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     table ``(block, bits)``."""
     small_batches(docs.sparkSession)
     texts = docs.where(~held_out(F.col("doc_id"))).select(F.coalesce(utf8(), F.lit(b"")).alias("text"))
-    counted = staged(_sums(texts, lambda w, _: (w,), ["word"]), "counted")
     # The largest table; it goes when the filter is built.
     spark, path = docs.sparkSession, new_path(docs.sparkSession, "bigrams")
     sums = _sums(texts, bigram_keys, ["pair", "history"])
@@ -195,18 +230,23 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     bigrams = spark.read.schema(sums.schema).parquet(path)
     level = (1 + F.floor(F.log(F.col("n") / MIN_BIGRAM) / math.log(BASE) + 1e-9)).cast("long")
     seen = F.greatest(MIN_BIGRAM * F.pow(F.lit(BASE), F.col("level") - 1) - DISCOUNT, F.lit(0.0))
-    levels = bigrams.select("pair", "history", level.alias("level"))
-    taken = levels.groupBy(F.col("history").alias("word")).agg(F.sum(seen).alias("taken"), F.sum("level").alias("members"))
-    left = F.greatest(1 - F.coalesce("taken", F.lit(0.0)) / F.col("n"), F.lit(LEAST_LEFT))
-    words = staged(counted.join(taken, "word", "left").select("word", "n", left.alias("left"), "members"), "words")
+    levels = bigrams.select("pair", "history", "n", level.alias("level"))
+    # A word is a history as often as it occurs, since an end follows the last
+    # word; the end is that of each text's first token. So words need no count.
+    counted = levels.groupBy(F.col("history").alias("word")).agg(
+        F.sum("n").alias("n"), F.sum(seen).alias("taken"), F.sum("level").alias("members")
+    )
+    left = F.greatest(1 - F.col("taken") / F.col("n"), F.lit(LEAST_LEFT))
+    words = staged(counted.select("word", "n", left.alias("left"), "members"), "words")
     sums = [F.count(F.when(F.col("n") >= t, 1)) for t in THRESHOLDS]
     n, v, members, *above = words.agg(F.sum("n"), F.count("*"), F.sum("members"), *sums).collect()[0]
     least = next(t for t, k in zip(THRESHOLDS, above) if k <= FREQUENT)
-    table = words.where(F.col("n") >= least).select("word", "n", "left").toPandas()
-    frequent = table["word"].to_numpy(np.int64).view(np.uint64)
+    table = words.where(F.col("n") >= least).select("word", "n", "left").toArrow()
+    frequent, counts, of = (table.column(c).to_numpy() for c in ("word", "n", "left"))
+    frequent = frequent.view(np.uint64)
     order = np.argsort(frequent)
     blocks = max(1, -(-int(members or 0) * MEMBER_BITS // BLOCK_BITS))
-    model = Model(frequent[order], table["n"].to_numpy(np.int64)[order], table["left"].to_numpy(float)[order], blocks, int(n or 0), int(v))
+    model = Model(frequent[order], counts[order], of[order], blocks, int(n or 0), int(v))
 
     # Pairs by the filter's blocks.
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,15 +317,18 @@ def _scored(rows: DataFrame, model: Model, own: Filter) -> DataFrame:
                 n_tokens = np.bincount(text, minlength=n)
                 key, history = bigram_keys(words, text)
                 of_slice = filter_.has(key)
+                before = None
                 if filter_.first:  # the base is of the first pass
                     words, history, key, text = (x[of_slice] for x in (words, history, key, text))
                     of_slice = np.ones(len(words), bool)
                 at = lm.find(words)
+                if not filter_.first and len(at):  # here a history is the token before, or the end
+                    before = np.where(history == END, lm.find(np.array([END]))[0], np.roll(at, 1))
                 known = at >= 0
                 # Rare words have a base of 1 here; theirs is joined.
                 base = np.where(known, (lm.counts[at] + 0.5) / lm.total if len(lm.counts) else 1.0, 1.0)
                 words, history, key, at, inner = (x[of_slice] for x in (words, history, key, at, text))
-                before = lm.find(history)
+                before = lm.find(history) if before is None else before[of_slice]
                 seen = seen_of(filter_.levels(key))
                 both = (at >= 0) & (before >= 0)
                 left = lm.left[before[both]]

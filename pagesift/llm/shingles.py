@@ -6,9 +6,7 @@ import hashlib
 
 import numpy as np
 
-# Words end at white space; A-Z fold to lower case.
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Words end at white space (0x20, 0x09 to 0x0D); A-Z fold to lower case.
 _FOLD = np.arange(256, dtype=np.int64)
 _FOLD[65:91] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -25,32 +23,51 @@ def mix(h: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)[_FOLD]
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _ODD, np.uint64)
+# _ODD has an inverse among 64-bit numbers, so a word's sum can be cut from a running one.
+_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+
+
+def _powers(of: np.uint64, n: int) -> np.ndarray:
+    out = np.full(max(n, 1), of, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+# Bytes that are summed at once, which a processor's cache holds.
+_WINDOW = 1 << 15
+_RISING, _FALLING = _powers(_ODD, _WINDOW), _powers(_INVERSE, _WINDOW)
+
+
+def _word_sums(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    out = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        low = int(starts[a])
+        # Whole words; one that is longer than the window is summed by itself.
+        b = max(a + 1, int(np.searchsorted(stops, low + _WINDOW, "right")))
+        size = int(stops[b - 1]) - low
+        rising, falling = (_RISING, _FALLING) if size <= _WINDOW else (_powers(_ODD, size), _powers(_INVERSE, 1))
+        running = np.zeros(size + 1, np.uint64)
+        np.cumsum(_BYTE[data[low : low + size]] * rising[:size], out=running[1:])
+        first = starts[a:b] - low
+        out[a:b] = (running[stops[a:b] - low] - running[first]) * falling[first]
+        a = b
+    return out
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and where each text's words start (one more entry)."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
-    before = np.empty(len(data), bool)
-    before[0], before[1:] = False, inside[:-1]
-    inner = offsets[(offsets > 0) & (offsets < len(data))]
-    before[inner] = False
-    starts = np.flatnonzero(inside & ~before)
+    inside = (data != 0x20) & (data - np.uint8(0x09) > 4)
+    breaks = np.ones(len(data) + 1, bool)
+    np.not_equal(inside[1:], inside[:-1], out=breaks[1:-1])
+    breaks[offsets[(offsets > 0) & (offsets < len(data))]] = True
+    starts, stops = np.flatnonzero(inside & breaks[:-1]), np.flatnonzero(inside & breaks[1:]) + 1
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    word = np.cumsum(inside & ~before)[inside] - 1
-    at = np.flatnonzero(inside)
-    place = at - starts[word]
-    h = _BYTE[data[at]] * _powers(int(place.max()) + 1)[place]
-    firsts = np.flatnonzero(np.diff(word, prepend=-1))
-    sums = np.add.reduceat(h, firsts)
-    lengths = np.diff(np.append(firsts, len(word))).astype(np.uint64)
-    return mix(sums + lengths * _M2), np.searchsorted(starts, offsets)
+    sums = _word_sums(data, starts, stops)
+    return mix(sums + (stops - starts).astype(np.uint64) * _M2), np.searchsorted(starts, offsets)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
