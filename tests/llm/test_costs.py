@@ -5,7 +5,8 @@ import zlib
 
 import numpy as np
 
-from pagesift.llm import bloomlm, shingles
+from pagesift.llm import bloomlm, packing, shingles
+from pagesift.llm.queries import word_bpe
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
 
@@ -55,3 +56,27 @@ def test_words_are_counted_by_their_bigrams(spark, monkeypatch):
     want = dict(zip(hashes.view(np.int64).tolist(), (3, 2, 1))) | {int(bloomlm.END.view(np.int64)): 5}
     assert {r.word: r.n for r in words.collect()} == want
     assert (model.n, model.v, len(counts)) == (11, 4, 1)
+
+
+class _Counting:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_pre_tokens_are_encoded_together():
+    """Few texts for many distinct words, with the ids of the whole texts."""
+    odd = "don't we'll İzmir ŉ ß Ÿ \x00 a b 1a2 <|x|> </w> ''s ' 's ½ ² é\x85f _-_ ..."
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)), odd, "", " "]
+    encoder = packing.Encoder(word_bpe())
+    whole = encoder.tokenizer
+    encoder.tokenizer = counting = _Counting(whole)
+    got = encoder.encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counting.texts < 20
+    encoder.cache.clear()
+    encoder.ends[:] = False  # a vocabulary without the mark
+    assert encoder.encode(texts) == got
