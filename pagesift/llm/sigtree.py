@@ -420,12 +420,12 @@ class Join:
         self.texts = docs.select("doc_id", F.xxhash64("text").alias("key"), utf8().alias("text"))
         self.made = staged(nodes(self.texts, words, percent), "nodes")
 
-    def texts_of(self, nodes: DataFrame) -> DataFrame:
-        """``nodes`` (a row per ``node``) with a text that has the node's set."""
+    def texts_of(self, nodes: DataFrame, count: int) -> DataFrame:
+        """``nodes`` (a row per ``node``, ``count`` of them) with a text that has the node's set."""
         met = self.made.where(F.col("signature").isNotNull()).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "key", "node")
         one = met.groupBy("node").agg(F.min("doc").alias("doc"), F.min_by("key", F.struct("doc", "key")).alias("key"))
-        chosen = staged(nodes.join(one, "node"), "chosen")
-        chosen = F.broadcast(chosen) if chosen.count() <= MAX_BROADCAST else chosen
+        chosen = nodes.join(one, "node")
+        chosen = F.broadcast(chosen) if count <= MAX_BROADCAST else chosen
         texts = self.texts.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "key", "text").join(chosen, ["doc", "key"])
         # Rows that repeat both id and text are one; a set of several texts has one of them.
         return texts.dropDuplicates(["node"]).drop("doc", "key")
@@ -447,7 +447,7 @@ class Join:
         placed = pairs.select(F.least(first, second).alias("i"), F.greatest(first, second).alias("j"), *small)
         wanted = placed.select("i", "j", F.col("a").alias("node")).unionByName(placed.select("i", "j", F.col("b").alias("node")))
         wanted = wanted.groupBy("node").agg(F.collect_set(F.struct("i", "j")).alias("at"))
-        texts = self.texts_of(wanted)
+        texts = self.texts_of(wanted, n_nodes)
         none = F.lit(None).cast("long")
         sets = texts.select("node", "text", F.explode("at").alias("k")).select(
             "k.*", F.col("node").alias("a"), none.alias("b"), none.alias("ca"), none.alias("cb"), "text"
@@ -513,7 +513,8 @@ class Join:
         labels = staged(components(first), "hub_components")
         dealt = _deal(members, labels).join(signatures, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
         wanted = staged(dealt.mapInArrow(lean(lambda b: _with_partner(b, percent)), DEALT), "cell_partners")
-        texts = self.texts_of(wanted.select("node").distinct())
+        partners = wanted.select("node").distinct()
+        texts = self.texts_of(partners, partners.count())
         words = self.words
         whole = wanted.join(texts, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
         second = whole.select(*wanted.columns, "text").mapInArrow(lean(lambda b: _cell_links(b, words, percent)), "a long, b long")

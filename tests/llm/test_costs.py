@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 
-from pagesift.llm import bloomlm, packing, shingles
+from pagesift.llm import bloomlm, components, packing, shingles
 from pagesift.llm.queries import word_bpe
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -80,3 +80,21 @@ def test_pre_tokens_are_encoded_together():
     encoder.cache.clear()
     encoder.ends[:] = False  # a vocabulary without the mark
     assert encoder.encode(texts) == got
+
+
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    """Links that a task can contract at once are not gone through in rounds; more of them give the same."""
+    r = np.random.default_rng(5)
+    chain = list(range(40))
+    r.shuffle(chain)
+    links = [*zip(chain, chain[1:]), (100, 101), (101, 100), (102, 100), (7, 7), (-3, 200), *zip([300] * 30, range(400, 430))]
+    want = {n: 0 for n in range(40)} | {n: 100 for n in (100, 101, 102)} | {-3: -3, 200: -3} | {n: 300 for n in (300, *range(400, 430))}
+    frame = spark.createDataFrame([(int(a), int(b)) for a, b in links], "a long, b long").repartition(5)
+    stages, staged = [], components.staged
+    monkeypatch.setattr(components, "staged", lambda df, name: stages.append(name) or staged(df, name))
+    rows = components.components(frame).collect()
+    assert len(rows) == len(want) and {x.node: x.component for x in rows} == want
+    assert len(stages) == 2
+    for chunk in (1, 7, 60):
+        rows = components.components(frame, chunk).collect()
+        assert len(rows) == len(want) and {x.node: x.component for x in rows} == want
