@@ -2,16 +2,17 @@
 
 ``suffix_array`` classifies suffixes as larger (L) or smaller (S) than the next,
 sorts the substrings between leftmost S suffixes (LMS) by induction, names them,
-sorts the string of names recursively and induces all suffixes from the LMS ones
-(Nong, Zhang and Chan). Buckets of bytes are scanned as arrays, a bucket at a
-time; the shorter strings of names, whose buckets are tiny, element by element.
+sorts the string of names and induces all suffixes from the LMS ones (Nong, Zhang
+and Chan). Buckets of bytes are scanned as arrays, a bucket at a time. Names have
+tiny buckets, so their string is sorted by doubled prefixes instead of by
+recursion: only equals are sorted again, all at once (Larsson and Sadakane).
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-# Alphabets up to this size are scanned bucket by bucket.
+# Larger alphabets are not scanned bucket by bucket but sorted by doubled prefixes.
 SMALL_ALPHABET = 300
 
 
@@ -93,35 +94,6 @@ def _induce_buckets(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, k: int) ->
     return np.concatenate(out[::-1])
 
 
-def _induce_elements(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
-    n = len(s)
-    ends = np.cumsum(np.bincount(s, minlength=k))
-    symbols, small = s.tolist(), is_s.tolist()
-    sa = [-1] * n
-    tail = ends.tolist()
-    for i in lms[::-1].tolist():
-        c = symbols[i]
-        tail[c] -= 1
-        sa[tail[c]] = i
-    head = [0, *ends[:-1].tolist()]
-    for i in range(n):
-        j = sa[i] - 1
-        if j >= 0 and not small[j]:
-            c = symbols[j]
-            sa[head[c]] = j
-            head[c] += 1
-    tail = ends.tolist()
-    tail[0] -= 1  # the last suffix keeps its place
-    for i in range(n - 1, 0, -1):
-        j = sa[i] - 1
-        if j >= 0 and small[j]:
-            c = symbols[j]
-            tail[c] -= 1
-            sa[tail[c]] = j
-    sa[0] = n - 1
-    return np.array(sa, np.int32)
-
-
 def _names(s: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Names of the LMS substrings in sorted order: equal ones share a name."""
     m = len(ordered)
@@ -142,24 +114,50 @@ def _names(s: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
+def _by_doubling(ordered: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """The order of all suffixes of a string of names, from its places in the
+    order of their first names, and these. The last name is the only one of its kind."""
+    order, m = ordered.copy(), len(ordered)
+    at, key, h = np.arange(m), names, 1
+    rank = np.empty(m, np.int64)
+    while True:
+        # A place's rank is where its group of equals starts.
+        new = np.ones(len(at), bool)
+        new[1:] = key[1:] != key[:-1]
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(at)))
+        rank[order[at]] = np.repeat(at[first], size)
+        at = at[np.repeat(size > 1, size)]
+        if not len(at):
+            return order
+        # Equals have none of the last name among their h names, so there is one behind.
+        place = order[at]
+        key = rank[place] * m + rank[place + h]
+        by = np.argsort(key)
+        order[at], key = place[by], key[by]
+        h *= 2
+
+
 def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     """Of symbols below ``k``; the last symbol is 0 and the only 0."""
     n = len(s)
     if n == 1:
         return np.zeros(1, np.int32)
-    induce = _induce_buckets if k <= SMALL_ALPHABET else _induce_elements
+    if k > SMALL_ALPHABET:
+        order = np.argsort(s, kind="stable").astype(np.int32)
+        return _by_doubling(order, s[order])
     is_s = _s_types(s)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]).astype(np.int32) + np.int32(1)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
-    rough = induce(s, is_s, lms, k)
+    rough = _induce_buckets(s, is_s, lms, k)
     ordered = rough[is_lms[rough]]
     names = _names(s, ordered, lms)
     if names[-1] + 1 < len(lms):
-        of = np.empty(n, np.int32)
-        of[ordered] = names
-        ordered = lms[suffix_array(of[lms], int(names[-1]) + 1)]
-    return induce(s, is_s, ordered, k)
+        place = np.empty(n, np.int32)
+        place[lms] = np.arange(len(lms), dtype=np.int32)
+        ordered = lms[_by_doubling(place[ordered], names)]
+    return _induce_buckets(s, is_s, ordered, k)
 
 
 def permuted_lcp(s: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:

@@ -1,11 +1,12 @@
 """What operators save, with the results as they were."""
 
 import re
+import sys
 import zlib
 
 import numpy as np
 
-from pagesift.llm import bloomlm, components, packing, shingles
+from pagesift.llm import bloomlm, components, packing, shingles, suffixes
 from pagesift.llm.queries import word_bpe
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -98,3 +99,25 @@ def test_few_links_take_no_rounds(spark, monkeypatch):
     for chunk in (1, 7, 60):
         rows = components.components(frame, chunk).collect()
         assert len(rows) == len(want) and {x.node: x.component for x in rows} == want
+
+
+def test_names_are_not_sorted_one_by_one():
+    """Repeats of repeats, whose names repeat too, are sorted without a Python step per symbol."""
+    r = np.random.default_rng(6)
+    block = r.integers(2, 9, 300)
+    once = np.concatenate([block, block, r.integers(2, 5, 200), block[:150], block, np.full(40, 3), np.tile([2, 4, 3], 30)])
+    s = np.append(np.tile(once, 4), 0).astype(np.uint8)
+    want = sorted(range(len(s)), key=lambda i: s[i:].tobytes())
+    assert suffixes.suffix_array(s.astype(np.int32), 1000).tolist() == want
+    steps, before = [], sys.gettrace()
+
+    def trace(frame, event, arg):
+        steps.append(event)
+        return trace
+
+    sys.settrace(trace)
+    try:
+        found = suffixes.suffix_array(s, 10)
+    finally:
+        sys.settrace(before)
+    assert found.tolist() == want and len(steps) < 5 * len(s)
