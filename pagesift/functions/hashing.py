@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -69,11 +71,21 @@ def md5_64(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("bigint")
 
 
+def _md5_64_of(words: pa.Array) -> np.ndarray:
+    """``md5_64`` of each word's bytes."""
+    digests = b"".join(hashlib.md5(w, usedforsecurity=False).digest() for w in words.to_pylist())
+    return np.frombuffer(digests, ">i8")[::2].astype(np.int64)
+
+
 def xxh64(text: Column) -> Column:
     """Spark's own xxhash64: compiled and by far the cheapest of the three."""
     return F.when(text.isNotNull(), F.xxhash64(text))
 
 
+# Hashes that tasks can take of the distinct words of a batch, as large_binary.
+OF_WORDS = {fnv1a64: _fnv1a64_of, md5_64: _md5_64_of}
+
+
 def mask_block(hash_: Column, block: int) -> Column:
     """The hash with one of its four 16-bit blocks cleared."""
     if not 0 <= block < len(fixed.BLOCK_MASKS):

@@ -44,7 +44,8 @@ def tokenize(text: Column) -> Column:
         )
         return F.when(run.rlike(_HAN), pairs).otherwise(F.array(run))
 
-    plain = F.regexp_extract_all(lower, F.lit(r"[\p{L}\p{N}]+"), 0)
+    # Cut between the words: extracting each makes a matcher for every word.
+    plain = F.array_remove(F.split(lower, r"[^\p{L}\p{N}]+"), "")
     mixed = F.flatten(F.transform(F.regexp_extract_all(lower, F.lit(_RUNS), 0), bigrams))
     return F.when(lower.rlike(_HAN), mixed).otherwise(plain)
 

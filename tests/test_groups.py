@@ -4,11 +4,12 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pagesift.functions.hashing import fnv1a64, md5_64, signed64, xxh64
-from pagesift.operators import exact, near, near_bits
+from pagesift.operators import exact, near, near_bits, simhash
 from pagesift.operators.simhash import simhash64
 
 GROUP = "fid long, hash long, samelen long"
@@ -231,6 +232,28 @@ def test_simhash_matches_definition(spark):
         assert h[1] == h[2] and h[3] == 0
 
 
+def test_simhash_of_costly_hashes_unrolls_no_tokens(spark, monkeypatch):
+    """Hashes of distinct tokens, counted in batches, give what one row per token
+    gives: with null tokens, rows that come twice, and texts longer than a run."""
+    texts = [(1, ["a", None, "b"]), (1, ["b"]), (1, ["b"]), (2, []), (3, None), (4, [None]), (None, ["é", "", "a"]),
+             (6, ["y"])]
+    df = spark.createDataFrame(texts, "fid long, tokens array<string>").coalesce(1)
+    for token_hash in (md5_64, fnv1a64):
+        made = simhash64(df, token_hash=token_hash)
+        assert "Generate" not in made._jdf.queryExecution().optimizedPlan().toString()
+        rows = df.select("fid", "tokens", F.xxhash64("tokens").alias("row")).select("fid", "row", F.explode_outer("tokens").alias("token"))
+        wanted = simhash.simhash_rows(rows, ["fid", "row"], token_hash).select("fid", "hash")
+        assert sorted(map(str, made.collect())) == sorted(map(str, wanted.collect()))
+    lengths, code = np.array([0, 3, 9, 0, 1]), np.array([0, 1, 1, 0, 0, 0, 2, 1, 2, 0, 1, 1, 2])
+    hashes = np.array([5, -1, 1 << 40])
+    bits = (hashes.view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+    right = [bits[code[e - n : e]].sum(axis=0).tolist() for n, e in zip(lengths, np.cumsum(lengths))]
+    for at_once, run in ((4, 2), (1, 1), (100, 3)):
+        monkeypatch.setattr(simhash, "_AT_ONCE", at_once)
+        monkeypatch.setattr(simhash, "_LONGEST", run)
+        assert simhash._bit_counts(hashes, code, lengths).tolist() == right
+
+
 @pytest.mark.parametrize("partitions", ["1", "200"])
 def test_same_result_for_any_partitioning(spark, partitions):
     rows = random_rows(200, 8)

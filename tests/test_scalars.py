@@ -175,3 +175,12 @@ def test_drop_unusable(spark):
         assert filters.drop_unusable(given, rules, "as_built").count() == 6
     with pytest.raises(ValueError):
         filters.drop_unusable(df, rules, "other")
+
+
+def test_plain_words_are_cut_not_extracted(spark):
+    """Words of texts without Han are cut at what parts them, without empty ones."""
+    given = [None, "", " ", "..a..É1²_\n", "a", " a b", "\x00x\U0001d400-\U0001f600y", "½ Ⅷ"]
+    assert column(spark, given, text.tokenize) == [[], [], [], ["a", "é1²"], ["a"], ["a", "b"], ["x\U0001d400", "y"], ["½", "ⅷ"]]
+    rows = spark.createDataFrame([("a b",)], "t string")
+    plan = rows.select(text.tokenize(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ELSE array_remove(split(" in plan
