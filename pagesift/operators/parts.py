@@ -9,7 +9,7 @@ sums are one row per text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ _PART = "_part"
 _WORDS = "_words"
 # Parts the words of a packed text.
 _BREAK = "\x00"
+# Most (model, token) pairs of a batch that are counted off in a table.
+_MOST_CODES = 8_000_000
 
 
 def pack(words: Column) -> Column:
@@ -48,20 +50,41 @@ def _words_of(texts: pa.Table) -> list[tuple[pa.RecordBatch, pa.ListArray]]:
     return out
 
 
-def _codes(batch: pa.RecordBatch, words: pa.ListArray, models: pa.Array, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _codes(batch: pa.RecordBatch, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
     """For each token of the batch's texts, nulls left out, its text's place in the
-    batch and its number among (model, token) pairs, -1 if there is none."""
-    lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    batch and the number of its (model, token) pair, negative without a model; then the
+    batch's models and its distinct tokens, which the numbers count row by row."""
     flat = words.flatten()
+    coded = flat.dictionary_encode()
+    models = batch.column(batch.schema.names.index("model")).dictionary_encode()
+    lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
     text = np.repeat(np.arange(batch.num_rows), lengths)
-    token = pc.fill_null(pc.index_in(flat, value_set=tokens), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    model = pc.fill_null(pc.index_in(batch.column(batch.schema.names.index("model")), value_set=models), -1)
-    model = model.to_numpy(zero_copy_only=False).astype(np.int64)[text]
-    code = np.where((model >= 0) & (token >= 0), model * len(tokens) + token, -1)
+    token = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)
     if flat.null_count:
-        there = flat.is_valid().to_numpy(zero_copy_only=False)
-        text, code = text[there], code[there]
-    return text, code
+        text, token = text[token >= 0], token[token >= 0]
+    model = pc.fill_null(models.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    code = (model * len(coded.dictionary))[text] + token
+    return text, code, models.dictionary, coded.dictionary
+
+
+def _for_each(code: np.ndarray, size: int, find: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """``find(code)``, asked once for each distinct code below ``size`` unless
+    these are too many for a table."""
+    if size > _MOST_CODES:
+        return find(code)
+    seen = _seen(code, size)
+    table = np.zeros(size, np.int64)
+    table[seen] = find(seen)
+    return table[code]
+
+
+def _seen(code: np.ndarray, size: int) -> np.ndarray:
+    """The distinct codes, in order."""
+    if size > _MOST_CODES:
+        return np.unique(code)
+    flags = np.zeros(size, bool)
+    flags[code] = True
+    return np.flatnonzero(flags)
 
 
 def _distinct(values: Sequence[pa.Array], kind: pa.DataType) -> pa.Array:
@@ -71,14 +94,14 @@ def _distinct(values: Sequence[pa.Array], kind: pa.DataType) -> pa.Array:
 
 def _wanted(texts: pa.Table) -> pa.Table:
     """The distinct (model, token) pairs of a part."""
-    batches = _words_of(texts)
-    models = _distinct([b.column(b.schema.names.index("model")) for b, _ in batches], pa.string())
-    tokens = _distinct([words.flatten() for _, words in batches], pa.string())
-    codes = np.unique(np.concatenate([np.unique(_codes(b, words, models, tokens)[1]) for b, words in batches]))
-    codes = codes[codes >= 0]
-    model, token = np.divmod(codes, max(1, len(tokens)))
-    part = np.full(len(codes), texts.column(_PART)[0].as_py(), np.int32)
-    return pa.table({_PART: pa.array(part), "model": models.take(pa.array(model)), "token": tokens.take(pa.array(token))})
+    pairs = []
+    for batch, words in _words_of(texts):
+        _, code, models, tokens = _codes(batch, words)
+        model, token = np.divmod(_seen(code[code >= 0], len(models) * len(tokens)), max(1, len(tokens)))
+        pairs.append(pa.table({"model": models.take(pa.array(model)), "token": tokens.take(pa.array(token))}))
+    found = pairs[0] if len(pairs) == 1 else pa.concat_tables(pairs).group_by(["model", "token"]).aggregate([])
+    part = np.full(found.num_rows, texts.column(_PART)[0].as_py(), np.int32)
+    return pa.table({_PART: pa.array(part), "model": found.column("model"), "token": found.column("token")})
 
 
 def _summing(keys: Sequence[str], slots: int):
@@ -92,22 +115,38 @@ def _summing(keys: Sequence[str], slots: int):
         order = np.argsort(at)
         at = at[order]
         weights = [found.column(f"w{i}").to_numpy()[order] for i in range(slots)]  # null as NaN
+        known = [~np.isnan(w) for w in weights]
         out = []
         for batch, words in _words_of(texts):
-            text, code = _codes(batch, words, models, tokens)
-            n = batch.num_rows
-            place = np.searchsorted(at, code)
-            hit = place < len(at)
-            hit[hit] = at[place[hit]] == code[hit]
-            of, place = text[hit], place[hit]
-            sums = []
-            for i in range(slots):
-                weight = weights[i][place]
-                known = ~np.isnan(weight)
-                count = np.bincount(of[known], minlength=n)
-                if i == 0:
-                    first = count
-                sums.append(pa.array(np.bincount(of[known], weight[known], minlength=n), pa.float64(), mask=count == 0))
+            text, code, own_models, own_tokens = _codes(batch, words)
+            n, width = batch.num_rows, max(1, len(own_tokens))
+            model_at, token_at = (
+                pc.fill_null(pc.index_in(own, value_set=all_), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                for own, all_ in ((own_models, models), (own_tokens, tokens))
+            )
+
+            def find(codes: np.ndarray) -> np.ndarray:
+                """The places of pairs among the weights, -1 if there is none."""
+                model, token = model_at[codes // width], token_at[codes % width]
+                pair = np.where((model >= 0) & (token >= 0), model * len(tokens) + token, -1)
+                place = np.searchsorted(at, pair)
+                place[place == len(at)] = -1
+                place[place >= 0] = np.where(at[place[place >= 0]] == pair[place >= 0], place[place >= 0], -1)
+                return place
+
+            modelled = code >= 0
+            of, place = text[modelled], _for_each(code[modelled], len(own_models) * len(own_tokens), find)
+            of, place = of[place >= 0], place[place >= 0]
+            sums, first, every = [], None, np.bincount(of, minlength=n)
+            for weight, there in zip(weights, known):
+                if there.all():
+                    count, total = every, np.bincount(of, weight[place], minlength=n)
+                else:
+                    some = there[place]
+                    count = np.bincount(of[some], minlength=n)
+                    total = np.bincount(of[some], weight[place[some]], minlength=n)
+                first = count if first is None else first
+                sums.append(pa.array(total, pa.float64(), mask=count == 0))
             columns = [batch.column(batch.schema.names.index(c)) for c in (*keys, "model")]
             counts = [pa.array(np.bincount(text, minlength=n), pa.int64()), pa.array(first, pa.int64())]
             out.append(pa.table([*columns, *counts, *sums], names=[*keys, "model", "_tokens", "_known", *(f"m{i}" for i in range(slots))]))

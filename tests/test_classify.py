@@ -2,11 +2,12 @@
 
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pagesift import fixed
-from pagesift.operators import classify
+from pagesift.operators import classify, parts
 from pagesift.operators.lookup import fits, lookup_join
 from pagesift.operators.parts import pack, sums_by_part
 
@@ -168,3 +169,28 @@ def test_large_model_moves_texts_and_not_tokens(spark):
     made = sums_by_part(rows, ["fid"], model.weights, model.slots)
     assert "Generate" not in made._jdf.queryExecution().optimizedPlan().toString()
     assert {(r["_tokens"], r["_known"]) for r in made.collect()} == {(2, 2)}
+
+
+def test_large_model_looks_up_distinct_tokens_only(spark, monkeypatch):
+    """A token that texts of a batch repeat is looked up among the weights once;
+    where pairs are too many for a table of them, sums are the same."""
+    asked = []
+    monkeypatch.setattr(parts.np, "searchsorted", lambda a, v, f=parts.np.searchsorted: asked.append(len(v)) or f(a, v))
+    words = [["ball"] * 5 + ["zzz"] * 4, ["chip", "ball", None], [None], [], None, ["net", "ball\x00net"]]
+    packed = [{"text": "\x00".join(w), "words": None} if w and None not in w and "ball\x00net" not in w else {"text": None, "words": w} for w in words]
+    kind = pa.struct([("text", pa.string()), ("words", pa.list_(pa.string()))])
+    texts = pa.table({"_part": pa.array([3] * 6, pa.int32()), "fid": pa.array(range(6)),
+                      "model": ["all", "all", "all", "sport", None, "none"], "_words": pa.array(packed, kind)})
+    found = pa.table({"_part": pa.array([3] * 3, pa.int32()), "model": ["all", "all", "sport"], "token": ["ball", "chip", "net"],
+                      "w0": [2.0, None, 1.0], "w1": [0.5, 3.0, None]})
+    made, wanted = [], []
+    for most in (10**6, 0):
+        monkeypatch.setattr(parts, "_MOST_CODES", most)
+        made.append(sorted(map(str, parts._summing(["fid"], 2)(texts, found).to_pylist())))
+        wanted.append(sorted(map(str, parts._wanted(texts).to_pylist())))
+        if most:
+            assert sum(asked) == 6  # all: ball, zzz; all: ball, chip; none: net, ball\0net
+    assert made[0] == made[1] and wanted[0] == wanted[1] and len(wanted[0]) == 5
+    assert str({"fid": 0, "model": "all", "_tokens": 9, "_known": 5, "m0": 10.0, "m1": 2.5}) in made[0]
+    assert str({"fid": 1, "model": "all", "_tokens": 2, "_known": 1, "m0": 2.0, "m1": 3.5}) in made[0]
+    assert str({"fid": 5, "model": "none", "_tokens": 2, "_known": 0, "m0": None, "m1": None}) in made[0]
